@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textmill.functions.keys import hash_key
+from textmill.sources.readers import spread
 
 # Patterns in the syntax of the SQL engine.
 SQL_TOKEN = r"\p{L}+|\p{N}+|[^\t-\r \p{L}\p{N}]"
@@ -15,8 +16,13 @@ SQL_PUNCTUATION = r"([!\"#$%&''()*+,\-./:;<=>?@\[\]^_`{|}~])"
 VOCAB = 5000
 
 
+# Tables of long texts and the key that spreads them over the cores when the file is small.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "text"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

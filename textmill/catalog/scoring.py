@@ -40,13 +40,13 @@ def q_batch_predict(spark, sf_dir):
 
 
 def first_line_model():
-    """A text model that answers with the first line of its input, upper-cased."""
-    return lambda texts: [text.split("\n")[0].upper() for text in texts]
+    """A text model that answers with the first line of its input, in brackets."""
+    return lambda texts: ["[" + text.split("\n")[0] + "]" for text in texts]
 
 
 @query(
     "batch_predict_text",
-    f"""WITH {SQL_PAIRS} SELECT _row_id, upper(split_part(question, chr(10), 1)) AS prediction FROM pairs""",
+    f"""WITH {SQL_PAIRS} SELECT _row_id, '[' || split_part(question, chr(10), 1) || ']' AS prediction FROM pairs""",
 )
 def q_batch_predict_text(spark, sf_dir):
     rows = pairs(spark, sf_dir)

@@ -34,11 +34,10 @@ def mt_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(VISIBLE), F.lit(0))
 
 
-def _grams(words: str, order: int) -> Column:
-    """All n-grams of a row as space-joined strings."""
-    starts = F.sequence(F.lit(1), F.size(words) - (order - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(order)), " "))
-    return F.when(F.size(words) >= order, grams).otherwise(F.array().cast("array<string>"))
+def _windows(words: str) -> Column:
+    """Each token of a row with the three that follow it; past the end they are null."""
+    later = [F.slice(words, place, F.greatest(F.size(words), F.lit(1))) for place in (2, 3, 4)]
+    return F.arrays_zip(*(c.alias(name) for c, name in zip([F.col(words), *later], "abcd")))
 
 
 def bleu_counts(
@@ -63,20 +62,31 @@ def bleu_counts(
         pairs = df.groupBy(p.alias("p"), t.alias("t")).agg(F.count(F.lit(1)).alias("weight"))
         key = F.sha2(F.to_json(F.struct("p", "t")), 256)
         rows = pairs.select(key.alias("row"), "p", "t", "weight")
-    rows = rows.repartition("row").select(
+    # A fixed number of partitions: the n-grams need the parallelism, small as the texts may be.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(partitions, "row").select(
         "row", "weight", tokenize(F.col("p")).alias("p"), tokenize(F.col("t")).alias("t")
     )
-    sides = [
-        F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), _grams(side, n).alias("grams"))
+    sides = [F.struct(F.lit(side).alias("side"), _windows(side).alias("windows")) for side in ("p", "t")]
+    windows = (
+        rows.select("row", "weight", F.explode(F.array(*sides)).alias("s"))
+        .select("row", "weight", "s.side", F.explode("s.windows").alias("w"))
+        .select("row", "weight", "side", "w.*")
+    )
+    # The n-gram at a token is the first n words of its window, if the window has that many.
+    grams = [
+        F.struct(
+            F.when(F.col("abcd"[n - 1]).isNotNull(), n).alias("n"),
+            *(F.when(F.lit(place < n), F.col(word)).alias(word) for place, word in enumerate("abcd")),
+        )
         for n in range(1, BLEU_ORDER + 1)
-        for side in ("p", "t")
     ]
-    grams = rows.select("row", "weight", F.explode(F.array(*sides)).alias("s")).select(
-        "row", "weight", "s.n", "s.side", F.explode("s.grams").alias("gram")
-    )
     predicted = F.when(F.col("side") == "p", 1).otherwise(0)
-    per_gram = grams.groupBy("row", "weight", "n", "gram").agg(
-        F.sum(predicted).alias("p"), F.sum(1 - predicted).alias("t")
+    per_gram = (
+        windows.select("row", "weight", "side", F.inline(F.array(*grams)))
+        .filter(F.col("n").isNotNull())
+        .groupBy("row", "weight", "n", *"abcd")
+        .agg(F.sum(predicted).alias("p"), F.sum(1 - predicted).alias("t"))
     )
     return per_gram.groupBy("n").agg(
         *(

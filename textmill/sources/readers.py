@@ -72,6 +72,16 @@ def read_splits(
     raise ValueError(f"cannot tell the format of {first!r}: the path must contain 'csv' or 'json'")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a table with fewer scan tasks than cores to all cores, by ``key``.
+
+    Text work is bound by the CPU, and a small file with one row group is one task. A table that
+    already fills the cluster is returned as it is, so no large table is shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def pick_splits(table: Mapping[str, object], splits: Iterable[str] | None) -> dict:
     """The chosen splits, in the chosen order; all of them by default."""
     if splits is None:
