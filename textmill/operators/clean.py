@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from textmill.functions.text import pad_punct, render_expr, strip_html
+from textmill.sources.staging import SHIP_BYTES, SHIP_ROWS
 
 LITERAL_LABELS = 256  # a larger label map is joined as a table
 
@@ -20,8 +21,9 @@ def label_to_word(
 ) -> DataFrame:
     """Add the name of each class label; an id without a name is an error.
 
-    A small map becomes a literal. A large one, or a ``(id, name)`` DataFrame, is joined, and Spark
-    decides from its size whether to broadcast it.
+    A small map becomes a literal. A large one, or a ``(id, name)`` DataFrame, is joined: broadcast if
+    it is counted to be small, so that a frequent label costs nothing, else as a shuffle join, where
+    adaptive execution splits a frequent label.
     """
     unknown = F.raise_error(F.concat(F.lit("unknown label: "), F.col(label).cast("string")))
     if not isinstance(id2label, DataFrame):
@@ -31,6 +33,9 @@ def label_to_word(
             return df.withColumn(out, F.coalesce(F.try_element_at(names, F.col(label)), unknown))
         id2label = df.sparkSession.createDataFrame(pairs, "_label bigint, _word string")
     names = id2label.toDF("_label", "_word")
+    rows, size = names.agg(F.count(F.lit(1)), F.sum(F.octet_length("_word"))).first()
+    if rows <= SHIP_ROWS and (size or 0) <= SHIP_BYTES:
+        names = F.broadcast(names)
     return (
         df.join(names, F.col(label) == F.col("_label"), "left")
         .withColumn(out, F.coalesce(F.col("_word"), unknown))
@@ -127,7 +132,9 @@ def inputs_and_targets(
         df = render(df, "target", target_template, roles["target"])
         texts.append("target")
     df = clean_text(df, texts, remove_html=remove_html, pad_punctuation=pad_punctuation)
-    if drop_tables_flag:
+    # Once tags are stripped, or spaced out by punctuation padding, no text can hold "<table>".
+    # Leaving the filter out then saves a second run of the same patterns below the projection.
+    if drop_tables_flag and not (remove_html or pad_punctuation):
         df = drop_tables(df)
     if keep is not None and row_id is not None:
         keep = [*keep, row_id]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textmill.functions.arrays import (
     IGNORE,
@@ -81,10 +81,11 @@ def add_special(ids: Column, *, bos: int | None = None, eos: int | None = None)
 def _batch_longest(df: DataFrame, columns: Sequence[str], batch: Sequence[str]) -> DataFrame:
     """Add ``<column>_longest``, the longest array of the row's batch.
 
-    The maxima are a small aggregate by batch, joined back; batches themselves are never collected.
+    A window over the batch, so the rows cross one shuffle and are computed once; a window partition
+    is a batch and never large.
     """
-    longest = df.groupBy(*batch).agg(*(F.max(F.size(c)).alias(f"{c}_longest") for c in columns))
-    return df.join(longest, list(batch))
+    inside = Window.partitionBy(*batch)
+    return df.withColumns({f"{c}_longest": F.max(F.size(c)).over(inside) for c in columns})
 
 
 def pack(
@@ -100,7 +101,7 @@ def pack(
 
     The encoded columns are replaced. A table without the target column, and every predict table, gets
     no labels. The work is array expressions only, except that ``padding="longest"`` needs the
-    batches of :func:`textmill.operators.shard.batch_rows` and one small aggregate over them.
+    batches of :func:`textmill.operators.shard.batch_rows` and a shuffle by batch.
     """
     s = settings or PackSettings()
     s = replace(s, **changes) if changes else s

@@ -71,10 +71,10 @@ def sampled_rows(df: DataFrame, n: int, seed: str | int, row_id: str) -> Column:
     return rank_cut(df, leading_number(key), [key, F.col(row_id)], n)
 
 
-def _with_offsets(df: DataFrame, group: str) -> DataFrame:
-    """Join the number of rows before each group (``_before``) and of all rows (``_total``).
+def _shift(df: DataFrame, group: str, position: Column, out: str, total: str) -> DataFrame:
+    """Turn a position inside a group into a place in the whole: add the rows of the groups before it.
 
-    The group table is bounded by construction (hash buckets or shuffle partitions), which is what
+    The table of groups is bounded by construction (hash buckets or shuffle partitions), which is what
     makes its one-task running sum and its broadcast safe.
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows"))
@@ -83,9 +83,10 @@ def _with_offsets(df: DataFrame, group: str) -> DataFrame:
     offsets = counts.select(
         group,
         (F.sum("_rows").over(running) - F.col("_rows")).alias("_before"),
-        F.sum("_rows").over(whole).alias("_total"),
+        F.sum("_rows").over(whole).cast("bigint").alias(total),
     )
-    return df.join(F.broadcast(offsets), group)
+    placed = df.withColumn(out, position).join(F.broadcast(offsets), group)
+    return placed.withColumn(out, (F.col(out) + F.col("_before")).cast("bigint")).drop(group, "_before")
 
 
 def number_by_hash(df: DataFrame, seed: str | int, row_id: str, out: str, total: str) -> DataFrame:
@@ -98,12 +99,8 @@ def number_by_hash(df: DataFrame, seed: str | int, row_id: str, out: str, total:
         "_bucket", F.substring("_key", 1, BUCKET_DIGITS)
     )
     inside = Window.partitionBy("_bucket").orderBy("_key", row_id)
-    return (
-        _with_offsets(keyed, "_bucket")
-        .withColumn(out, (F.row_number().over(inside) - 1 + F.col("_before")).cast("bigint"))
-        .withColumn(total, F.col("_total").cast("bigint"))
-        .drop("_key", "_bucket", "_before", "_total")
-    )
+    position = F.row_number().over(inside) - 1
+    return _shift(keyed, "_bucket", position, out, total).drop("_key")
 
 
 def number_by_order(df: DataFrame, order: list[str], out: str, total: str) -> DataFrame:
@@ -120,9 +117,4 @@ def number_by_order(df: DataFrame, order: list[str], out: str, total: str) -> Da
     )
     parts = laid_out.withColumn("_part", F.shiftright("_place", _LOCAL_BITS))
     position = F.col("_place").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return (
-        _with_offsets(parts, "_part")
-        .withColumn(out, (position + F.col("_before")).cast("bigint"))
-        .withColumn(total, F.col("_total").cast("bigint"))
-        .drop("_part", "_place", "_before", "_total")
-    )
+    return _shift(parts, "_part", position, out, total).drop("_place")

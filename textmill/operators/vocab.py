@@ -14,15 +14,12 @@ from pyspark.sql.window import Window
 from textmill.functions.arrays import empty_ids
 from textmill.functions.text import tokens
 from textmill.operators.ranks import rank_cut
-from textmill.sources.staging import stage
+from textmill.sources.staging import SHIP_BYTES, SHIP_ROWS, stage
 
 # Reserved ids, fixed.
 UNK, BOS, EOS = 0, 1, 2
 RESERVED = ("<unk>", "<bos>", "<eos>")
 
-# A vocabulary within both bounds is shipped to the tasks; a larger one is joined.
-SHIP_ROWS = 1_000_000
-SHIP_BYTES = 64 * 1024 * 1024
 # Tokens that hold more than one in this many are looked up apart from the rest.
 HOT_SHARE = 1_000
 HOT_BYTES = 4_096  # and are at most this long, so that the hot table is at most 4 MB
@@ -100,11 +97,10 @@ def _lookup_udf(df: DataFrame, vocab: DataFrame):
     )
 
     @arrow_udf(ArrayType(IntegerType(), False))
-    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def lookup(batch: pa.Array) -> pa.Array:
         known, ids = shared.value
-        for batch in batches:
-            found = pc.take(ids, pc.index_in(batch.flatten(), value_set=known))
-            yield _lists(batch, pc.fill_null(found, UNK).cast(pa.int32()))
+        found = pc.take(ids, pc.index_in(batch.flatten(), value_set=known))
+        return _lists(batch, pc.fill_null(found, UNK).cast(pa.int32()))
 
     return lookup
 
@@ -203,10 +199,9 @@ def ids_to_tokens(df: DataFrame, column: str, vocab: DataFrame, row_id: str = "_
     )
 
     @arrow_udf("array<string>")
-    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def lookup(batch: pa.Array) -> pa.Array:
         ids, words = shared.value
-        for batch in batches:
-            yield _lists(batch, pc.take(words, pc.index_in(batch.flatten(), value_set=ids)))
+        return _lists(batch, pc.take(words, pc.index_in(batch.flatten(), value_set=ids)))
 
     return df.withColumn(column, F.filter(lookup(F.col(column)), lambda t: t.isNotNull()))
 

@@ -15,6 +15,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 
+# A lookup table within both bounds may be sent whole to every task; a larger one is joined.
+SHIP_ROWS = 1_000_000
+SHIP_BYTES = 64 * 1024 * 1024
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a fresh temporary one only in local mode without a setting."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
