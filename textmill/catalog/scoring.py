@@ -96,14 +96,17 @@ def sql_mt(text: str) -> str:
 
 
 def sql_bleu_counts(prediction: str, target: str, source: str) -> str:
+    following = ", ".join(f"lead(token, {n}) OVER seq AS w{n}" for n in (1, 2, 3))
     grams = " UNION ALL ".join(
-        f"""SELECT rid, {n} AS n, '{side}' AS side,
-    unnest(list_transform(range(CAST(len({side}) - {n - 1} AS BIGINT)), lambda i: array_to_string({side}[i + 1:i + {n}], ' '))) AS gram
-  FROM words"""
+        f"""SELECT rid, side, {n} AS n, concat_ws(' ', {", ".join(["token", "w1", "w2", "w3"][:n])}) AS gram
+  FROM windows{f" WHERE w{n - 1} IS NOT NULL" if n > 1 else ""}"""
         for n in (1, 2, 3, 4)
-        for side in ("p", "t")
     )
     return f"""words AS (SELECT row_number() OVER () AS rid, {prediction} AS p, {target} AS t FROM {source}),
+placed AS (
+  SELECT rid, 'p' AS side, unnest(range(len(p))) AS place, unnest(p) AS token FROM words
+  UNION ALL SELECT rid, 't', unnest(range(len(t))), unnest(t) FROM words),
+windows AS (SELECT rid, side, token, {following} FROM placed WINDOW seq AS (PARTITION BY rid, side ORDER BY place)),
 grams AS ({grams}),
 per_gram AS (
   SELECT rid, n, gram, count(*) FILTER (side = 'p') AS p, count(*) FILTER (side = 't') AS t
