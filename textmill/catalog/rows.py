@@ -95,7 +95,7 @@ def q_drop_na_mixed(spark, sf_dir):
     )
 
 
-INSTRUCTION = "Answer the question as briefly as possible."
+INSTRUCTION = "Reply in one short sentence."
 
 
 @query(

@@ -15,8 +15,8 @@ from textmill.plans.prepare import model_rows, prepare_text
 from textmill.plans.settings import PrepareSettings
 from textmill.sources.staging import fresh_folder
 
-INSTRUCTION = "Answer the question."
-TEMPLATE = "[INST] {} {} [/INST]"
+INSTRUCTION = "Reply to this turn."
+TEMPLATE = "Task: {} Turn: {} Reply:"
 LIMITS = {"max_output_length": 60, "max_target_length": 300, "max_input_length": 48}
 SHOTS = 100
 
@@ -41,7 +41,7 @@ CONFIG = {
 SQL_PREPARED = f"""{SQL_PAIRS},
 firsts AS (SELECT * FROM pairs WHERE _row_id IN (SELECT min(_row_id) FROM pairs GROUP BY question)),
 rendered AS (
-  SELECT _row_id, regexp_replace('[INST] {INSTRUCTION} ' || question || ' [/INST]', '<.*?>', '', 'g') AS input,
+  SELECT _row_id, regexp_replace('Task: {INSTRUCTION} Turn: ' || question || ' Reply:', '<.*?>', '', 'g') AS input,
     regexp_replace(answer, '<.*?>', '', 'g') AS target
   FROM firsts WHERE question <> '' AND answer <> ''),
 fitting AS (

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
+from textmill.functions.workers import once_per_worker
 from textmill.operators.vocab import RESERVED, ids_to_tokens
 
 # What a decoder tidies up after joining tokens with spaces.
@@ -31,14 +33,15 @@ def batch_predict(
 ) -> DataFrame:
     """Run a model over the rows and append its output.
 
-    ``factory`` is called once per Python task and returns ``predict(*columns) -> outputs``, which
+    ``factory`` is called once per Python worker and returns ``predict(*columns) -> outputs``, which
     gets plain lists of at most ``batch_size`` rows (of id arrays or of texts). Rows stay where they
     are: the step is one Arrow exchange with the Python worker and no shuffle.
     """
+    key = uuid4()
 
     @pandas_udf(return_type)
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        predict = factory()
+        predict = once_per_worker(key, factory)
         for batch in batches:
             series = batch if isinstance(batch, tuple) else (batch,)
             outputs: list = []

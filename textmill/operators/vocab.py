@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from uuid import uuid4
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +14,7 @@ from pyspark.sql.window import Window
 
 from textmill.functions.arrays import empty_ids
 from textmill.functions.text import tokens
+from textmill.functions.workers import once_per_worker
 from textmill.operators.ranks import rank_cut
 from textmill.sources.staging import SHIP_BYTES, SHIP_ROWS, stage
 
@@ -165,9 +167,11 @@ def encode_by_join(
 
 
 def _tokenizer_udf(factory: Callable[[], Tokenizer]):
+    key = uuid4()
+
     @arrow_udf(ArrayType(IntegerType(), False))
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = factory()
+        tokenizer = once_per_worker(key, factory)
         for batch in batches:
             texts = batch.to_pylist()
             ids = tokenizer(["" if t is None else t for t in texts])
@@ -178,10 +182,11 @@ def _tokenizer_udf(factory: Callable[[], Tokenizer]):
 
 def token_lengths(factory: Callable[[], Tokenizer]) -> Callable[[Column], Column]:
     """A length function for the length filter that counts a user tokenizer's ids and returns only the count."""
+    key = uuid4()
 
     @arrow_udf(IntegerType())
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = factory()
+        tokenizer = once_per_worker(key, factory)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.to_pylist()]
             yield pa.array([len(ids) for ids in tokenizer(texts)], pa.int32())
