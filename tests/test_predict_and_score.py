@@ -137,6 +137,19 @@ def test_decoding(spark):
     assert whole == {0: "it it 's fine .", 1: "it"}
 
 
+def shouting_decoder():
+    return lambda batch: [" ".join(f"<{i}>" for i in ids) + " !" for ids in batch]
+
+
+def test_decoding_by_a_user_decoder(spark):
+    df = spark.createDataFrame([(0, [0, 7], [0, 7, 8, 2, 9]), (1, [7], [7])],
+                               "_row_id long, input_ids array<int>, output_ids array<int>")
+    got = {r._row_id: r.prediction for r in decode_output(df, decoder=shouting_decoder).collect()}
+    assert got == {0: "<8> <9>!", 1: "!"}
+    with pytest.raises(ValueError):
+        decode_output(df)
+
+
 def test_tidy_text(spark):
     df = spark.createDataFrame([("a . b ? c ! d , it 's we 're do n't I 'm I 've x ' y",)], "t string")
     assert df.select(tidy_text(F.col("t"))).first()[0] == "a. b? c! d, it's we're don't I'm I've x'y"

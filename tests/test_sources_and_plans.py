@@ -11,7 +11,7 @@ from textmill.operators.report import peek_sample, row_funnel, split_counts
 from textmill.operators.vocab import build_vocab
 from textmill.plans.prepare import model_rows, prepare_split, prepare_text
 from textmill.plans.settings import CleanSettings, PrepareSettings
-from textmill.sources.readers import read_splits
+from textmill.sources.readers import read_splits, with_row_id
 from textmill.sources.sinks import write_metrics, write_predictions
 from textmill.sources.staging import materialize, shared_folder, stage
 from textmill.streaming.rowwise import prepare_stream, write_available
@@ -74,6 +74,17 @@ def test_a_table_name_gives_its_splits(spark):
     assert list(splits) == ["train"] and sorted(r.n for r in splits["train"].collect()) == [1, 3]
 
 
+def test_row_ids_for_tables(spark, tmp_path):
+    for part in range(3):
+        spark.range(part * 10, part * 10 + 10).coalesce(1).write.mode("append").parquet(str(tmp_path / f"t/part={part}"))
+    from_files = with_row_id(spark.read.parquet(str(tmp_path / "t")).filter("id % 2 = 0"))
+    assert [(r._row_id, r.id) for r in from_files.orderBy("_row_id").collect()] == [(i, 2 * i) for i in range(15)]
+    made = spark.createDataFrame([("b", 1), ("a", 2), ("a", 1)], "k string, n int")
+    assert [(r.k, r.n) for r in with_row_id(made, ["k", "n"]).orderBy("_row_id").collect()] == [("a", 1), ("a", 2), ("b", 1)]
+    with pytest.raises(ValueError):
+        with_row_id(made)
+
+
 def test_staged_tables_live_in_the_shared_folder(spark):
     folder = shared_folder(spark)
     assert folder == (spark.conf.get("spark.checkpoint.dir", None) or folder).rstrip("/")

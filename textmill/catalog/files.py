@@ -12,7 +12,7 @@ from textmill.operators.predict import merge_ranks
 from textmill.operators.score import score
 from textmill.operators.shard import batch_rows, epoch_order, shard_rows
 from textmill.operators.splits import stack_splits
-from textmill.sources.readers import read_splits
+from textmill.sources.readers import read_splits, with_row_id
 from textmill.sources.sinks import write_metrics, write_predictions
 from textmill.sources.staging import fresh_folder, materialize
 
@@ -49,6 +49,12 @@ def q_src_json_lines(spark, sf_dir):
     return read_splits(spark, {"train": folder}, schema=TURN_SCHEMA)["train"].drop("_row_id")
 
 
+@query("src_row_ids", "SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) - 1 AS _row_id FROM events")
+def q_src_row_ids(spark, sf_dir):
+    # The events file is in the order of its ids.
+    return with_row_id(table(spark, sf_dir, "events").select("event_id", "event_type"))
+
+
 def ranked_predictions(spark, sf_dir):
     """Pairs dealt to three ranks; the prediction repeats the question."""
     placed = epoch_order(pairs(spark, sf_dir), shuffle=False)

@@ -11,7 +11,7 @@ from textmill.catalog.tokens import shown, sql_causal, sql_decode, sql_tidy
 from textmill.operators.pack import PackSettings
 from textmill.operators.vocab import build_vocab
 from textmill.plans.predict import predict_and_score
-from textmill.plans.prepare import model_rows, prepare_text
+from textmill.plans.prepare import load_splits, model_rows, prepare_funnel, prepare_text
 from textmill.plans.settings import PrepareSettings
 from textmill.sources.staging import fresh_folder
 
@@ -61,6 +61,22 @@ def q_prepare_train(spark, sf_dir):
     return prepared(spark, sf_dir)[1]["train"].select("_row_id", "input", "target")
 
 
+@query(
+    "prepare_funnel",
+    f"""WITH {SQL_PREPARED},
+tried AS (
+  SELECT question <> '' AND answer <> '' AS a,
+    len(regexp_extract_all(regexp_replace('Task: {INSTRUCTION} Turn: ' || question || ' Reply:', '<.*?>', '', 'g'), '{SQL_TOKEN}')) + 1 <= {LIMITS["max_output_length"]}
+      AND len(regexp_extract_all(regexp_replace(answer, '<.*?>', '', 'g'), '{SQL_TOKEN}')) + 1 <= {LIMITS["max_target_length"]} AS c FROM firsts)
+SELECT 'train' AS split, 'drop_na' AS stage, count(*) AS rows_in, count(*) FILTER (a) AS rows_out FROM tried
+UNION ALL SELECT 'train', 'drop_tables', count(*) FILTER (a), count(*) FILTER (a) FROM tried
+UNION ALL SELECT 'train', 'filter_long', count(*) FILTER (a), count(*) FILTER (a AND c) FROM tried""",
+)
+def q_prepare_funnel(spark, sf_dir):
+    settings = PrepareSettings.from_kwargs(raw_data=pairs(spark, sf_dir), **CONFIG)
+    return prepare_funnel(load_splits(spark, settings), settings)
+
+
 L_IN, L_OUT, WORLD, BATCH = LIMITS["max_input_length"], LIMITS["max_target_length"], 2, 8
 BOTH = "SELECT input AS text FROM fitting UNION ALL SELECT target FROM fitting"
 

@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterator, Sequence
 from uuid import uuid4
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
 
 from textmill.functions.workers import once_per_worker
@@ -65,8 +66,9 @@ def tidy_text(text: Column) -> Column:
 
 def decode_output(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | None = None,
     *,
+    decoder: Callable[[], Callable[[list[list[int]]], list[str]]] | None = None,
     output: str = "output_ids",
     input_ids: str = "input_ids",
     out: str = "prediction",
@@ -78,16 +80,35 @@ def decode_output(
     """Output ids as text: cut the prompt, drop special ids, join tokens, tidy.
 
     ``strip_prompt`` cuts as many ids as the padded input has; switch it off for encoder-decoder output.
+    ``decoder`` is a factory, called once per Python worker, of a function from id lists to texts; it
+    replaces the vocabulary for a user tokenizer.
     """
     ids = F.col(output)
     if strip_prompt:
         ids = F.slice(ids, F.size(input_ids) + 1, F.size(ids))
     ids = F.filter(ids, lambda x: ~x.isin([int(i) for i in special]))
-    df = ids_to_tokens(df.withColumn("_ids", ids), "_ids", vocab, row_id)
-    text = F.array_join("_ids", " ")
+    if decoder is not None:
+        text = _decoder_udf(decoder)(ids)
+    elif vocab is not None:
+        df = ids_to_tokens(df.withColumn("_ids", ids), "_ids", vocab, row_id)
+        text = F.array_join("_ids", " ")
+    else:
+        raise ValueError("decode_output needs a vocabulary or a decoder")
     return df.withColumn(out, tidy_text(text) if tidy else text).drop("_ids")
 
 
+def _decoder_udf(factory: Callable[[], Callable[[list[list[int]]], list[str]]]):
+    key = uuid4()
+
+    @arrow_udf(StringType())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        decode = once_per_worker(key, factory)
+        for batch in batches:
+            yield pa.array(decode([ids or [] for ids in batch.to_pylist()]), pa.string())
+
+    return run
+
+
 _POSTPROCESSORS: dict[str, Callable[[Column], Column]] = {"identity": lambda text: text}
 
 

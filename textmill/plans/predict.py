@@ -14,8 +14,9 @@ from textmill.sources.sinks import write_metrics, write_predictions
 def predictions(
     rows: DataFrame,
     factory: Callable,
-    vocab: DataFrame,
+    vocab: DataFrame | None = None,
     *,
+    decoder: Callable | None = None,
     postprocessor: str = "identity",
     strip_prompt: bool = True,
     batch_size: int = 8,
@@ -23,12 +24,18 @@ def predictions(
 ) -> DataFrame:
     """Predict, decode, post-process, and keep the carried columns; lazy and without a shuffle."""
     out = batch_predict(rows, factory, batch_size=batch_size)
-    out = decode_output(out, vocab, strip_prompt=strip_prompt, row_id=row_id)
+    out = decode_output(out, vocab, decoder=decoder, strip_prompt=strip_prompt, row_id=row_id)
     return carry_columns(postprocess(out, postprocessor))
 
 
 def predict_and_score(
-    rows: DataFrame, factory: Callable, vocab: DataFrame, folder: str, *, metrics: Sequence[str] = (), **options
+    rows: DataFrame,
+    factory: Callable,
+    vocab: DataFrame | None,
+    folder: str,
+    *,
+    metrics: Sequence[str] = (),
+    **options,
 ) -> dict[str, str]:
     """Write predictions by rank, merge them to one table, and score that table.
 

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textmill.functions.text import token_count
-from textmill.operators.clean import inputs_and_targets, label_to_word
+from textmill.operators.clean import complete_row, inputs_and_targets, label_to_word, without_table
 from textmill.operators.dedup import dedup_seq
-from textmill.operators.lengths import filter_long
+from textmill.operators.lengths import filter_long, within_limits
 from textmill.operators.pack import pack
+from textmill.operators.report import row_funnel
 from textmill.operators.shard import batch_rows, epoch_order, limit_batches, shard_rows
 from textmill.operators.splits import make_splits, rename_splits
 from textmill.operators.vocab import encode, token_lengths
 from textmill.plans.settings import PrepareSettings
-from textmill.sources.readers import pick_splits, read_splits
+from textmill.sources.readers import pick_splits, read_splits, with_row_id
 from textmill.sources.staging import stage
 
 
@@ -45,6 +47,45 @@ def prepare_split(df: DataFrame, settings: PrepareSettings, length=token_count)
     return df
 
 
+def load_splits(spark: SparkSession, settings: PrepareSettings) -> dict[str, DataFrame]:
+    """The chosen splits under their final names, each with row ids."""
+    loaded = read_splits(spark, settings.raw_data)
+    splits = pick_splits(rename_splits(loaded, settings.predict_split), settings.splits)
+    return {
+        name: df if settings.row_id in df.columns else with_row_id(df, row_id=settings.row_id)
+        for name, df in splits.items()
+    }
+
+
+def prepare_funnel(splits: Mapping[str, DataFrame], settings: PrepareSettings, length=token_count) -> DataFrame:
+    """Rows before and after each filter of the preparation: ``(split, stage, rows_in, rows_out)``.
+
+    One aggregate per split over loaded splits; the filters become flags, so nothing is run twice.
+    """
+    clean = settings.clean
+    parts = []
+    for name, df in splits.items():
+        df = dedup_seq(df, settings.deduplicate_columns, settings.row_id)
+        filters = [("drop_na", complete_row(df.schema))] if clean.drop_na else []
+        df = prepare_split(
+            df,
+            replace(
+                settings,
+                deduplicate_columns=(),
+                filter_long_sequences=False,
+                clean=replace(clean, drop_na=False, drop_tables=False, keep_columns=None),
+            ),
+        )
+        if clean.drop_tables:
+            filters.append(("drop_tables", without_table()))
+        if settings.filter_long_sequences:
+            n_special = 1 if length is token_count else 0
+            limits = within_limits(df.columns, settings.input_limit, settings.target_limit, n_special, length)
+            filters.append(("filter_long", limits))
+        parts.append(row_funnel(df.withColumn("split", F.lit(name)), filters))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def prepare_text(
     spark: SparkSession,
     settings: PrepareSettings,
@@ -57,8 +98,7 @@ def prepare_text(
     Sizing reads row ids, sampling too, and the vocabulary and the encoder read the texts, so each
     prepared split is written once first; ``staged=False`` leaves everything lazy and recomputed.
     """
-    loaded = read_splits(spark, settings.raw_data)
-    splits = pick_splits(rename_splits(loaded, settings.predict_split), settings.splits)
+    splits = load_splits(spark, settings)
     length = token_lengths(tokenizer) if tokenizer is not None else token_count
     prepared = {name: prepare_split(df, settings, length) for name, df in splits.items()}
     if staged:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -72,6 +73,21 @@ def read_splits(
     raise ValueError(f"cannot tell the format of {first!r}: the path must contain 'csv' or 'json'")
 
 
+def with_row_id(df: DataFrame, by: Iterable[str] | None = None, row_id: str = ROW_ID) -> DataFrame:
+    """Add dense row ids in the order of the columns ``by``, unique together.
+
+    Without ``by`` the order is that of the files the table is read from: path, then position. Tables
+    that do not come from files need ``by``. The numbered table is written once.
+    """
+    if by is not None:
+        return number_by_order(df, list(by), row_id, "_n").drop("_n")
+    try:
+        placed = _with_file_order(df, None)
+    except AnalysisException as error:
+        raise ValueError("a table that is not read from files needs `by` columns for its order") from error
+    return number_by_order(placed, list(_ORDER), row_id, "_n").drop(*_ORDER, "_n")
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Deal the rows of a table with fewer scan tasks than cores to all cores, by ``key``.
 
@@ -153,7 +169,7 @@ def read_json_columns(
     checked = F.when(
         uneven, F.raise_error(F.lit("the columns of a JSON object differ in length"))
     ).otherwise(F.arrays_zip(*(F.col(f"`{n}`") for n in names)))
-    df = _with_file_order(objects.select(checked.alias("rows")), row_id, source=objects)
+    df = _with_file_order(objects.select(checked.alias("rows")), row_id)
     df = df.select("*", F.posexplode("rows").alias("_position", "row")).drop("rows")
     df = df.select(*[c for c in df.columns if c != "row"], "row.*")
     if row_id is not None:
@@ -178,7 +194,7 @@ def read_json_lines(
 _ORDER = ("_path", "_start", "_seen")
 
 
-def _with_file_order(df: DataFrame, row_id: str | None, source: DataFrame | None = None) -> DataFrame:
+def _with_file_order(df: DataFrame, row_id: str | None) -> DataFrame:
     if row_id is not None:
         return df
     return df.select(
