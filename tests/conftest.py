@@ -10,6 +10,11 @@ from textmill.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, "textmill-tests")
+    # Small data: few shuffle partitions, and no call sites recorded for every column expression.
+    session = local_session(
+        8,
+        "textmill-tests",
+        **{"spark.sql.shuffle.partitions": "4", "spark.python.sql.dataFrameDebugging.enabled": "false"},
+    )
     yield session
     session.stop()

@@ -12,7 +12,7 @@ from textmill.operators.vocab import build_vocab
 from textmill.plans.prepare import model_rows, prepare_split, prepare_text
 from textmill.plans.settings import CleanSettings, PrepareSettings
 from textmill.sources.readers import read_splits, with_row_id
-from textmill.sources.sinks import write_metrics, write_predictions
+from textmill.sources.sinks import write_metrics, write_model_rows, write_predictions
 from textmill.sources.staging import materialize, shared_folder, stage
 from textmill.streaming.rowwise import prepare_stream, write_available
 
@@ -190,6 +190,35 @@ def test_a_run_from_splits_to_model_rows(spark):
     assert "labels" not in predict.columns and {len(r.input_ids) for r in predict.collect()} == {8}
 
 
+def test_written_model_rows_are_in_order(spark, tmp_path):
+    raw = {"train": sums(spark, 200)}
+    settings = PrepareSettings.from_kwargs(**{**CONFIG, "raw_data": raw, "shots": -1, "batch_size": 4})
+    train = prepare_text(spark, settings)["train"]
+    vocab = build_vocab(train, ["input", "target"], 20)
+    rows = model_rows(train, settings, "train", vocab=vocab, world=3, laid_out=True)
+    path = write_model_rows(rows, str(tmp_path / "rows"))
+    files = spark.read.parquet(path).select("rank", "pos", F.input_file_name().alias("file")).collect()
+    assert len(files) == train.count()
+    assert len({r.file for r in files}) == 3
+    for part in (tmp_path / "rows").glob("rank=*/*.parquet"):
+        positions = [r.pos for r in spark.read.parquet(str(part)).coalesce(1).select("pos").collect()]
+        assert positions == list(range(len(positions)))
+
+
+def test_prepared_texts_are_cached_by_settings(spark, tmp_path):
+    def run(rows, shots, version="1", template="{} {}"):
+        prep = {**CONFIG["preprocessing_kwargs"], "input_template": template}
+        settings = PrepareSettings.from_kwargs(
+            **{**CONFIG, "raw_data": {"train": sums(spark, rows)}, "shots": shots, "preprocessing_kwargs": prep}
+        )
+        return prepare_text(spark, settings, cache=(str(tmp_path), version))["train"].count()
+
+    first = run(20, -1)
+    assert first > 5 and run(40, -1) == first and run(40, 5) == 5
+    assert run(40, -1, version="2") > first
+    assert run(40, -1, template="{}/{}") > first
+
+
 def test_results_do_not_depend_on_shuffle_partitions(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     results = []

@@ -13,6 +13,7 @@ from textmill.operators.vocab import build_vocab
 from textmill.plans.predict import predict_and_score
 from textmill.plans.prepare import load_splits, model_rows, prepare_funnel, prepare_text
 from textmill.plans.settings import PrepareSettings
+from textmill.sources.sinks import write_model_rows
 from textmill.sources.staging import fresh_folder
 
 INSTRUCTION = "Reply to this turn."
@@ -81,9 +82,7 @@ L_IN, L_OUT, WORLD, BATCH = LIMITS["max_input_length"], LIMITS["max_target_lengt
 BOTH = "SELECT input AS text FROM fitting UNION ALL SELECT target FROM fitting"
 
 
-@query(
-    "model_rows_train",
-    f"""WITH {SQL_PREPARED}, {sql_vocab(BOTH)},
+SQL_TRAIN_ROWS = f"""WITH {SQL_PREPARED}, {sql_vocab(BOTH)},
 {sql_encode("q", "fitting", "_row_id", "input")}, {sql_encode("a", "fitting", "_row_id", "target")},
 cut AS (
   SELECT q.rid AS _row_id, list_concat([1], q.ids)[greatest(len(q.ids) + 1 - {L_IN} + 1, 1):len(q.ids) + 1] AS x,
@@ -91,14 +90,28 @@ cut AS (
 packed AS ({sql_causal(str(L_IN), str(L_OUT), "cut")}),
 placed AS (SELECT _row_id, row_number() OVER (ORDER BY md5('42:3:' || _row_id), _row_id) - 1 AS idx FROM fitting)
 SELECT _row_id, CAST(idx % {WORLD} AS INTEGER) AS rank, idx // {WORLD} AS pos, idx // {WORLD} // {BATCH} AS batch_id,
-  input_ids, attention_mask, labels FROM packed JOIN placed USING (_row_id)""",
-)
-def q_model_rows_train(spark, sf_dir):
+  input_ids, attention_mask, labels FROM packed JOIN placed USING (_row_id)"""
+ROW_COLUMNS = ["_row_id", "rank", "pos", "batch_id", "input_ids", "attention_mask", "labels"]
+
+
+def train_rows(spark, sf_dir, **options):
     settings, splits = prepared(spark, sf_dir, shots=-1)
     train = splits["train"]
     vocab = build_vocab(train, ["input", "target"], 5000)
-    rows = model_rows(train, settings, "train", vocab=vocab, world=WORLD, epoch=3)
-    return shown(rows.select("_row_id", "rank", "pos", "batch_id", "input_ids", "attention_mask", "labels"))
+    rows = model_rows(train, settings, "train", vocab=vocab, world=WORLD, epoch=3, **options)
+    return rows.select(ROW_COLUMNS)
+
+
+@query("model_rows_train", SQL_TRAIN_ROWS)
+def q_model_rows_train(spark, sf_dir):
+    return shown(train_rows(spark, sf_dir))
+
+
+@query("sink_model_rows", SQL_TRAIN_ROWS)
+def q_sink_model_rows(spark, sf_dir):
+    rows = train_rows(spark, sf_dir, laid_out=True)
+    folder = write_model_rows(rows, fresh_folder(spark, "train"))
+    return shown(spark.read.schema(rows.schema).parquet(folder).select(ROW_COLUMNS))
 
 
 @query(

@@ -72,6 +72,15 @@ def limit_batches(df: DataFrame, k: int | float | None) -> DataFrame:
     return df.filter(F.col("batch_id") < k)
 
 
+def lay_out(df: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
+    """Bring neighbouring rows of a rank together, ``chunk_rows`` per group, for an ordered write.
+
+    Run it while rows are still text: encoding and packing follow without another shuffle. Chunks are
+    cut from the positions, so they are even and no pass over the data is needed to find bounds.
+    """
+    return df.repartition(F.col("rank"), F.call_function("div", F.col("pos"), F.lit(chunk_rows)))
+
+
 def collate(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per batch with each column stacked in order. A group is a batch, so it is never large."""
     rows = F.array_sort(F.collect_list(F.struct("pos", *columns)))

@@ -14,12 +14,12 @@ from textmill.operators.dedup import dedup_seq
 from textmill.operators.lengths import filter_long, within_limits
 from textmill.operators.pack import pack
 from textmill.operators.report import row_funnel
-from textmill.operators.shard import batch_rows, epoch_order, limit_batches, shard_rows
+from textmill.operators.shard import batch_rows, epoch_order, lay_out, limit_batches, shard_rows
 from textmill.operators.splits import make_splits, rename_splits
 from textmill.operators.vocab import encode, token_lengths
 from textmill.plans.settings import PrepareSettings
 from textmill.sources.readers import pick_splits, read_splits, with_row_id
-from textmill.sources.staging import stage
+from textmill.sources.staging import materialize, stage
 
 
 def prepare_split(df: DataFrame, settings: PrepareSettings, length=token_count) -> DataFrame:
@@ -92,16 +92,29 @@ def prepare_text(
     *,
     tokenizer: Callable | None = None,
     staged: bool = True,
+    cache: tuple[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """All splits with ``input``, ``target`` and the kept columns, sized and sampled.
 
     Sizing reads row ids, sampling too, and the vocabulary and the encoder read the texts, so each
     prepared split is written once first; ``staged=False`` leaves everything lazy and recomputed.
+    ``cache`` is ``(folder, version)``: splits prepared under the same settings and version are read
+    from the folder instead. Change the version when the data or the tokenizer changes.
     """
     splits = load_splits(spark, settings)
     length = token_lengths(tokenizer) if tokenizer is not None else token_count
     prepared = {name: prepare_split(df, settings, length) for name, df in splits.items()}
-    if staged:
+    if cache is not None:
+        folder, version = cache
+        # Sizes and packing do not change the prepared texts, so runs that differ in them share a cache.
+        texts = {
+            f: getattr(settings, f)
+            for f in ("splits", "predict_split", "id2label", "deduplicate_columns", "clean",
+                      "filter_long_sequences", "input_limit", "target_limit", "row_id")
+        }
+        source = settings.raw_data if isinstance(settings.raw_data, str) else repr(settings.raw_data)
+        prepared = materialize(prepared, folder, [version, source, texts])
+    elif staged:
         prepared = {name: stage(df, f"split={name}") for name, df in prepared.items()}
     s = settings.split
     return make_splits(
@@ -139,12 +152,14 @@ def model_rows(
     epoch: int = 0,
     pad_ranks: str = "none",
     limit: int | float | None = None,
+    laid_out: bool = False,
 ) -> DataFrame:
     """One split as the table a training or prediction loop reads.
 
     Columns: the kept ones, ``idx, rank, pos, batch_id`` and the packed arrays. Train is shuffled by
     epoch, other splits keep row order. Rows are placed while they are still text, so the wide arrays
-    are made after the only shuffle.
+    are made after the last shuffle. ``laid_out`` brings neighbours of a rank together for
+    :func:`textmill.sources.sinks.write_model_rows`.
     """
     predict = split == "predict"
     placed = epoch_order(
@@ -152,6 +167,8 @@ def model_rows(
     )
     placed = batch_rows(shard_rows(placed, world, pad=pad_ranks), settings.batch_size)
     placed = limit_batches(placed, limit)
+    if laid_out:
+        placed = lay_out(placed)
     packing = replace(
         settings.pack, predict=predict, prefix=settings.predict_prefix if predict else settings.pack.prefix
     )

@@ -12,6 +12,7 @@ from textmill.operators.ranks import number_by_order
 from textmill.sources.staging import path_exists
 
 ROW_ID = "_row_id"
+MAX_SPLITS = 1_000
 
 # The cell texts that a pandas-style CSV reader takes as missing.
 CSV_MISSING = (
@@ -221,5 +222,7 @@ def _stored_splits(spark: SparkSession, name: str) -> dict[str, DataFrame]:
         raise ValueError(f"no table and no folder named {name!r}")
     if "split" not in df.columns:
         return {"train": df}
-    names = sorted(row[0] for row in df.select("split").distinct().collect())
+    names = sorted(row[0] for row in df.select("split").distinct().limit(MAX_SPLITS + 1).collect())
+    if len(names) > MAX_SPLITS:
+        raise ValueError(f"{name!r} has more than {MAX_SPLITS} splits; that is not a split column")
     return {n: df.filter(F.col("split") == n).drop("split") for n in names}

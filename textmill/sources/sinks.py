@@ -1,10 +1,20 @@
-"""Writers for predictions and metrics. Every write is a plain distributed DataFrame write."""
+"""Writers for model rows, predictions and metrics. Every write is a plain distributed DataFrame write."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
+def write_model_rows(df: DataFrame, path: str, *, mode: str = "errorifexists") -> str:
+    """Packed rows as parquet, one folder per rank, each file in the order of its positions.
+
+    The sort is within partitions; with :func:`textmill.operators.shard.lay_out` before encoding, a
+    chunk of a rank is one file and a reader can stream it.
+    """
+    df.sortWithinPartitions("rank", "pos").write.mode(mode).partitionBy("rank").parquet(path)
+    return path
+
+
 def write_predictions(
     df: DataFrame,
     path: str,
