@@ -108,6 +108,7 @@ def test_prediction_and_metric_files(spark, tmp_path):
     path = write_predictions(df, str(tmp_path / "p"), by_rank=True)
     assert sorted(p.name for p in (tmp_path / "p").glob("rank=*")) == ["rank=0", "rank=1"]
     assert [r.prediction for r in merge_ranks(spark, path, df.schema).collect()] == ["b", "a", "c"]
+    assert len(list((tmp_path / "p").glob("rank=0/*.json"))) == 1
     assert merge_ranks(spark, path).filter("target is null").count() == 1
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
         write_predictions(df, str(tmp_path / "p"), by_rank=True)
@@ -190,6 +191,23 @@ def test_a_run_from_splits_to_model_rows(spark):
     assert "labels" not in predict.columns and {len(r.input_ids) for r in predict.collect()} == {8}
 
 
+def test_a_run_from_csv_files_with_an_own_key(spark, tmp_path):
+    rows = "".join(f'{i},"a {i}, b","{i}"\n' for i in range(20, 0, -1))
+    for name in ("train", "val"):
+        (tmp_path / f"{name}.csv").write_text("key,q,a\n" + rows)
+    settings = PrepareSettings.from_kwargs(
+        raw_data={n: str(tmp_path / f"{n}.csv") for n in ("train", "val")},
+        row_id="key",
+        read_options={"multi_line": False},
+        dev_size=3,
+        overfit=False,
+        preprocessing_kwargs={"column_dict": {"inputs": ["q"], "target": "a"}, "keep_columns": ["input", "target"]},
+    )
+    splits = prepare_text(spark, settings)
+    assert splits["train"].count() == 20 and splits["train"].columns == ["key", "input", "target"]
+    assert [tuple(r) for r in splits["dev"].orderBy("key").collect()] == [(i, f"a {i}, b", str(i)) for i in (1, 2, 3)]
+
+
 def test_written_model_rows_are_in_order(spark, tmp_path):
     raw = {"train": sums(spark, 200)}
     settings = PrepareSettings.from_kwargs(**{**CONFIG, "raw_data": raw, "shots": -1, "batch_size": 4})

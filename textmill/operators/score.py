@@ -81,21 +81,18 @@ def bleu_counts(
         )
         for n in range(1, BLEU_ORDER + 1)
     ]
-    predicted = F.when(F.col("side") == "p", 1).otherwise(0)
+    # A pair that stands for several rows counts that often on both sides, so the smaller count does too.
     per_gram = (
         windows.select("row", "weight", "side", F.inline(F.array(*grams)))
         .filter(F.col("n").isNotNull())
-        .groupBy("row", "weight", "n", *"abcd")
-        .agg(F.sum(predicted).alias("p"), F.sum(1 - predicted).alias("t"))
+        .groupBy("row", "n", *"abcd")
+        .agg(*(F.sum(F.when(F.col("side") == side, F.col("weight")).otherwise(0)).alias(side) for side in "pt"))
     )
     return per_gram.groupBy("n").agg(
-        *(
-            F.sum(count * F.col("weight")).alias(name)
-            for name, count in (
-                ("matches", F.least("p", "t")), ("possible", F.col("p")), ("target_grams", F.col("t")),
-            )
-        )
-    )
+        F.sum(F.least("p", "t")).alias("matches"),
+        F.sum("p").alias("possible"),
+        F.sum("t").alias("target_grams"),
+    )
 
 
 def bleu(df: DataFrame, tokenize: Callable[[Column], Column] = mt_tokens, **columns: str) -> DataFrame:

@@ -18,7 +18,7 @@ from textmill.operators.shard import batch_rows, epoch_order, lay_out, limit_bat
 from textmill.operators.splits import make_splits, rename_splits
 from textmill.operators.vocab import encode, token_lengths
 from textmill.plans.settings import PrepareSettings
-from textmill.sources.readers import pick_splits, read_splits, with_row_id
+from textmill.sources.readers import ROW_ID, pick_splits, read_splits, with_row_id
 from textmill.sources.staging import materialize, stage
 
 
@@ -48,13 +48,19 @@ def prepare_split(df: DataFrame, settings: PrepareSettings, length=token_count)
 
 
 def load_splits(spark: SparkSession, settings: PrepareSettings) -> dict[str, DataFrame]:
-    """The chosen splits under their final names, each with row ids."""
-    loaded = read_splits(spark, settings.raw_data)
+    """The chosen splits under their final names, each with BIGINT row ids."""
+    own_key = settings.row_id if settings.row_id != ROW_ID else None
+    loaded = read_splits(spark, settings.raw_data, row_id=own_key, **settings.read_options)
     splits = pick_splits(rename_splits(loaded, settings.predict_split), settings.splits)
-    return {
-        name: df if settings.row_id in df.columns else with_row_id(df, row_id=settings.row_id)
-        for name, df in splits.items()
-    }
+    return {name: _with_bigint_id(df, settings.row_id) for name, df in splits.items()}
+
+
+def _with_bigint_id(df: DataFrame, row_id: str) -> DataFrame:
+    if row_id not in df.columns:
+        return with_row_id(df, row_id=row_id)
+    if df.schema[row_id].dataType.typeName() == "string":
+        return df.withColumn(row_id, F.col(row_id).cast("bigint"))
+    return df
 
 
 def prepare_funnel(splits: Mapping[str, DataFrame], settings: PrepareSettings, length=token_count) -> DataFrame:

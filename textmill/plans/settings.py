@@ -40,9 +40,14 @@ class SplitSettings:
 
 @dataclass(frozen=True)
 class PrepareSettings:
-    """Everything between raw splits and packed rows."""
+    """Everything between raw splits and packed rows.
+
+    ``read_options`` go to the reader: ``schema``, ``multi_line``, ``infer_schema``, ``missing``. A
+    ``row_id`` of your own spares files the numbering of their rows.
+    """
 
     raw_data: object = None
+    read_options: Mapping[str, object] = field(default_factory=dict)
     splits: Sequence[str] | None = None
     predict_split: str | None = None
     id2label: Mapping[int, str] | Sequence[str] | None = None
@@ -60,7 +65,14 @@ class PrepareSettings:
     row_id: str = "_row_id"
 
     @classmethod
-    def from_kwargs(cls, *, seed: int = 42, row_id: str = "_row_id", **kwargs) -> PrepareSettings:
+    def from_kwargs(
+        cls,
+        *,
+        seed: int = 42,
+        row_id: str = "_row_id",
+        read_options: Mapping[str, object] | None = None,
+        **kwargs,
+    ) -> PrepareSettings:
         """Settings from a data-module dictionary with its nested ``preprocessing_kwargs`` and
         ``tokenization_kwargs``.
 
@@ -99,6 +111,7 @@ class PrepareSettings:
         )
         return cls(
             raw_data=kwargs.get("raw_data"),
+            read_options=read_options or {},
             splits=kwargs.get("splits"),
             predict_split=kwargs.get("predict_split"),
             id2label=kwargs.get("id2label"),

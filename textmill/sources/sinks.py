@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from textmill.operators.shard import lay_out
+
 
 def write_model_rows(df: DataFrame, path: str, *, mode: str = "errorifexists") -> str:
     """Packed rows as parquet, one folder per rank, each file in the order of its positions.
@@ -25,9 +27,13 @@ def write_predictions(
 ) -> str:
     """Prediction rows as JSON lines or parquet; ``by_rank`` makes one folder per rank.
 
+    Rows with a ``pos`` are brought together by rank and written in order, so a rank gets few files and
+    not one from every task; the model's output is then in shuffle files should the write be retried.
     A non-empty target is an error unless ``mode`` says otherwise; nothing is cleared silently.
     Nulls are written out in JSON, so every row keeps its columns.
     """
+    if by_rank and {"rank", "pos"} <= set(df.columns):
+        df = lay_out(df).sortWithinPartitions("rank", "pos")
     writer = df.write.mode(mode).format(format)
     if format == "json":
         writer = writer.option("ignoreNullFields", False)
