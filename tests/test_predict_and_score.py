@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import sys
 from collections import Counter
 
@@ -78,6 +79,23 @@ def test_mt_tokens(spark):
     assert {r.t: r.w for r in df.select("t", mt_tokens(F.col("t")).alias("w")).collect()} == cases
 
 
+def test_mt_tokens_on_random_texts(spark):
+    def plain(text):
+        for found, other in (("<skipped>", ""), ("-\n", ""), ("\n", " "), ("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
+            text = text.replace(found, other)
+        text = f" {text} "
+        for rule, other in ((r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", r" \1 "), (r"([^0-9])([\.,])", r"\1 \2 "),
+                            (r"([\.,])([^0-9])", r" \1 \2"), (r"([0-9])(-)", r"\1 \2 ")):
+            text = re.sub(rule, other, text)
+        return text.split()
+
+    rng = random.Random(11)
+    pieces = [" ", "  ", ".", ",", "-", "1", "23", "a", "é", "\n", "\t", "\xa0", "&amp;", "&lt;", "'", '"', "/", "(", "~", "<skipped>"]
+    cases = {"".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(3000)}
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    assert {r.t: r.w for r in df.select("t", mt_tokens(F.col("t")).alias("w")).collect()} == {c: plain(c) for c in cases}
+
+
 def test_score_registry(spark):
     df = spark.createDataFrame([("a", "a"), ("b", "c"), (None, "c")], "prediction string, target string")
     assert as_dict(score(df, ["exact_match"])) == {"exact_match": pytest.approx(1 / 3)}

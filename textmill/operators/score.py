@@ -25,7 +25,7 @@ def mt_tokens(text: Column) -> Column:
         text = F.replace(text, F.lit(found), F.lit(replacement))
     text = F.concat(F.lit(" "), text, F.lit(" "))
     for pattern, replacement in (
-        (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+        (r"([!-&(-+:-@/\[-`{-~])", " $1 "),  # the rule's class has the space too, which changes no token
         (r"([^0-9])([\.,])", "$1 $2 "),
         (r"([\.,])([^0-9])", " $1 $2"),
         (r"([0-9])(-)", "$1 $2 "),

@@ -54,9 +54,8 @@ def build_vocab(df: DataFrame, columns: str | list[str], size: int, *, staged: b
     # At most `size` rows are numbered in one task.
     number = F.row_number().over(Window.orderBy(F.desc("freq"), "token")) + len(RESERVED) - 1
     ranked = top.select("token", number.cast("int").alias("id"), "freq")
-    reserved = df.sparkSession.createDataFrame(
-        [(token, i, 0) for i, token in enumerate(RESERVED)], "token string, id int, freq bigint"
-    )
+    values = ", ".join(f"('{token}', {i}, 0L)" for i, token in enumerate(RESERVED))
+    reserved = df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS reserved(token, id, freq)")
     vocab = reserved.unionByName(ranked)
     return stage(vocab, "vocab") if staged else vocab
 
