@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
 from tokenizers import Tokenizer
 
 from textmill.llm.arrow import add_columns, lists_of, texts_of
-from textmill.llm.units import UnitCache, split_units
+from textmill.llm.units import UnitCache, encode_by_units
 
 NEVER = 1 << 60
 # A word of Latin letters with its space, then marks: the pre-tokeniser cuts such a unit between the two.
@@ -62,6 +62,7 @@ class BpeCoder:
                 self.automaton.add_word(token, (number, len(token)))
         self.automaton.make_automaton()
         self.specials = sorted(((t["content"], t["id"]) for t in spec.get("added_tokens") or ()), key=lambda t: -len(t[0]))
+        self.marks = [(t, array("i", [n]).tobytes()) for t, n in self.specials]
         self.pre_tokenizer = Tokenizer.from_file(path).pre_tokenizer
         self.known: dict[int, bool] = {}
         self.pieces = UnitCache(self.encode_piece)
@@ -145,14 +146,7 @@ class BpeCoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
-        return self._plain(text, self.specials)
-
-    def _plain(self, text: str, specials: list[tuple[str, int]]) -> bytes:
-        for k, (token, number) in enumerate(specials):
-            if token in text:
-                mark = np.array([number], dtype="<i4").tobytes()
-                return mark.join(self._plain(part, specials[k + 1 :]) for part in text.split(token))
-        return b"".join(map(self.units.__getitem__, split_units(text))) if text else b""
+        return encode_by_units(text, self.marks, self.units)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of the tokens of ``ids``, and where each row, cut at ``ends``, stops in them."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe
+from textmill.llm import bpe, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,3 +41,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = token_files.read_token_files(token_files.write_token_files(docs, BYTE_BPE))
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))

@@ -46,3 +46,11 @@ class UnitCache(dict):
             self.clear()
         self[unit] = value
         return value
+
+
+def encode_by_units(text: str, specials: list[tuple[str, bytes]], units: UnitCache) -> bytes:
+    """The joined values of the text's units; each special string has its own value and splits the text first."""
+    for k, (token, value) in enumerate(specials):
+        if token in text:
+            return value.join([encode_by_units(part, specials[k + 1 :], units) for part in text.split(token)])
+    return b"".join(map(units.__getitem__, split_units(text))) if text else b""
