@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, token_files
+from textmill.llm import bpe, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {}
 TWINS: dict[str, str] = {}
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -43,6 +44,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.add_quality(docs, BYTE_BPE, PIECE_BPE).drop("text", "lang")
+
+
 @query("op6_token_files")
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
