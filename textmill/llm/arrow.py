@@ -28,11 +28,19 @@ def add_columns(df: DataFrame, fields: list[StructField], make: Callable[[], Cal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = make()
         for batch in batches:
-            yield with_arrays(batch, names, columns(batch))
+            for part in slices(batch):
+                yield with_arrays(part, names, columns(part))
 
     return df.mapInArrow(run, with_fields(df.schema, *fields))
 
 
+def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``size`` bytes, so that what is made from them stays small."""
+    rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of a column, null as the empty string."""
     return [t or "" for t in column.to_pylist()]

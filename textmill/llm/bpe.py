@@ -15,7 +15,6 @@ import functools
 import json
 import re
 from array import array
-from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
@@ -39,8 +38,28 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+class Speller:
+    """The bytes of every token of one vocabulary file; made once per worker process."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        alphabet = byte_alphabet()
+        spelled = {n: bytes(alphabet[c] for c in token) for token, n in spec["model"]["vocab"].items()}
+        spelled |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens") or ()}
+        rows = [spelled.get(n, b"") for n in range(1 + max(spelled))]
+        self.bytes = np.frombuffer(b"".join(rows), dtype=np.uint8)
+        self.lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def decode(self, ids: np.ndarray) -> str:
+        lengths = self.lengths[ids]
+        shift = np.repeat(self.starts[ids] - (np.cumsum(lengths) - lengths), lengths)
+        return self.bytes[np.arange(len(shift)) + shift].tobytes().decode("utf-8", "replace")
+
+
 class BpeCoder:
-    """Encodes and decodes with one vocabulary file; made once per worker process."""
+    """Encodes with one vocabulary file; made once per worker process."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -67,17 +86,7 @@ class BpeCoder:
         self.known: dict[int, bool] = {}
         self.pieces = UnitCache(self.encode_piece)
         self.units = UnitCache(self.encode_unit)
-        alphabet = byte_alphabet()
-        self.shown = {b: c for c, b in alphabet.items()}
-        size = 1 + max([*self.vocab.values(), *(i for _, i in self.specials)])
-        spelled = [b""] * size
-        for token, number in self.vocab.items():
-            spelled[number] = bytes(alphabet[c] for c in token)
-        for token, number in self.specials:
-            spelled[number] = token.encode()
-        self.spelled = np.frombuffer(b"".join(spelled), dtype=np.uint8)
-        self.lengths = np.array([len(s) for s in spelled], dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.shown = {b: c for c, b in byte_alphabet().items()}
 
     def merged_before(self, a: int, b: int, until: int) -> bool:
         """True if a merge of lower rank than ``until`` crosses the boundary between two adjacent tokens.
@@ -148,13 +157,10 @@ class BpeCoder:
         """Ids of a text as little-endian 32-bit integers."""
         return encode_by_units(text, self.marks, self.units)
 
-    def decode(self, ids: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
-        """Bytes of the tokens of ``ids``, and where each row, cut at ``ends``, stops in them."""
-        lengths = self.lengths[ids]
-        stops = np.cumsum(lengths)
-        total = int(stops[-1]) if len(stops) else 0
-        shift = np.repeat(self.starts[ids] - (stops - lengths), lengths)
-        return self.spelled[np.arange(total) + shift].tobytes(), np.concatenate([[0], stops])[ends]
+
+@functools.cache
+def spelling(path: str) -> Speller:
+    return Speller(path)
 
 
 @functools.cache
@@ -162,47 +168,41 @@ def coder(path: str) -> BpeCoder:
     return BpeCoder(path)
 
 
-def encode_bpe(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode_bpe(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``df`` with the token ids of ``text`` as an array; ``path`` names the vocabulary on every worker.
 
-    A null or empty text has an empty array. Strings of special tokens become their ids. A column
-    already called ``ids`` is replaced; all others stay. Rows are independent: no shuffle.
+    A null or empty text has an empty array. Strings of special tokens become their ids. With
+    ``decoded``, a column of that name has what the ids spell, decoded in the same pass over the rows.
+    Columns of these names are replaced; all others stay. Rows are independent: no shuffle.
     """
+    fields = [StructField(ids, ArrayType(IntegerType(), False), False)]
+    fields += [StructField(decoded, StringType(), False)] if decoded else []
 
     def make():
-        bpe = coder(path)
-        return lambda batch: [lists_of([bpe.encode(t) for t in texts_of(batch.column(text))], pa.int32(), 4)]
+        bpe, speller = coder(path), spelling(path)
 
-    return add_columns(df, [StructField(ids, ArrayType(IntegerType(), False), False)], make)
+        def columns(batch: pa.RecordBatch) -> list[pa.Array]:
+            blobs = [bpe.encode(t) for t in texts_of(batch.column(text))]
+            out = [lists_of(blobs, pa.int32(), 4)]
+            if decoded:
+                out.append(pa.array([speller.decode(np.frombuffer(b, dtype="<i4")) for b in blobs], pa.string()))
+            return out
+
+        return columns
+
+    return add_columns(df, fields, make)
 
 
 def decode_bpe(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text that ``ids`` spell; bytes that are not UTF-8 become U+FFFD, null ids null."""
 
     def make():
-        bpe = coder(path)
+        speller = spelling(path)
 
         def columns(batch: pa.RecordBatch) -> list[pa.Array]:
-            column = batch.column(ids)
-            sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            out: list[str | None] = []
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            for first in _blocks(ends):
-                begin, stop = ends[first[0]], ends[first[1]]
-                spelled, cuts = bpe.decode(flat[begin:stop], ends[first[0] : first[1] + 1] - begin)
-                out += [spelled[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-            return [pa.array([t if ok else None for t, ok in zip(out, column.is_valid().to_pylist())], pa.string())]
+            rows = batch.column(ids)
+            return [pa.array([speller.decode(r.values.to_numpy()) if r.is_valid else None for r in rows], pa.string())]
 
         return columns
 
     return add_columns(df, [StructField(text, StringType())], make)
-
-
-def _blocks(ends: np.ndarray, tokens: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``tokens`` ids each, so that the scratch arrays stay small."""
-    first, rows = 0, len(ends) - 1
-    while first < rows:
-        last = max(first + 1, int(np.searchsorted(ends, ends[first] + tokens, side="right")) - 1)
-        yield first, min(last, rows)
-        first = min(last, rows)

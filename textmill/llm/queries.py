@@ -35,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode_bpe(bpe.encode_bpe(docs, BYTE_BPE).drop("text"), BYTE_BPE)
+    coded = bpe.encode_bpe(docs, BYTE_BPE, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
