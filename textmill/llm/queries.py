@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, quality, token_files
+from textmill.llm import bpe, mixing, quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,3 +55,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     read = token_files.read_token_files(token_files.write_token_files(docs, BYTE_BPE))
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("tokens").alias("ids_crc32"))
+
+
+@query("op9_mix_sources")
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix_sources(docs)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
