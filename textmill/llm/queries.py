@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, mixing, quality, token_files
+from textmill.llm import bpe, mixing, quality, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +62,10 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     mixed = mixing.mix_sources(docs)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op4_warc_members")
+def op4_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
+    read = warc.read_archives(archives, folder).withColumnRenamed("key", "page_id")
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
