@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, mixing, quality, token_files, warc
+from textmill.llm import bpe, html_extract, mixing, quality, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,3 +69,9 @@ def op4_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
     read = warc.read_archives(archives, folder).withColumnRenamed("key", "page_id")
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_html_text")
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
