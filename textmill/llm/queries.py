@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, html_extract, mixing, quality, token_files, warc
+from textmill.llm import bpe, html_extract, mixing, ngram_join, quality, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,3 +75,8 @@ def op4_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extract.extract_main_text(table(spark, sf_dir, "pages"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
