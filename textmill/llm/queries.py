@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, html_extract, mixing, ngram_join, quality, token_files, warc
+from textmill.llm import bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +80,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = suffix_dedup.remove_repeats(docs)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
