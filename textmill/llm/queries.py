@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, warc
+from textmill.llm import ann, bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,3 +87,8 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = suffix_dedup.remove_repeats(docs)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_permutation_index")
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
