@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import ann, bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, warc
+from textmill.llm import ann, bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, url_lists, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,3 +92,60 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_permutation_index")
 def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+# Captures are the pages, fetched on a day that their id gives. The lists hold hosts, domains and
+# sections of the pages' own URLs; the digest of each pattern decides when it comes and goes.
+FETCHED = "date_add(DATE'2024-01-01', CAST(page_id * 37 % 365 AS INT))"
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    host = url_lists.url_host(F.col("url"))
+    domain = F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+    section = F.concat(host, F.lit("/"), F.regexp_extract("url", "^[a-z]+://[^/]+/([^/?#]+)/", 1))
+    named = F.array(*[F.struct(F.lit(n).alias("list"), p.alias("pattern")) for n, p in (("hosts", host), ("domains", domain), ("sections", section))])
+    patterns = pages.select(F.inline(named)).distinct()
+    number = lambda at: F.conv(F.substring(F.md5("pattern"), at, 4), 16, 10).cast("int")
+    begin = F.date_add(F.lit("2024-01-01").cast("date"), number(1) % 200)
+    end = F.date_add(begin, 10 + number(5) % 90)
+    again = F.date_add(end, 10 + number(9) % 90)
+    events = F.array(
+        F.struct(F.lit("add").alias("action"), begin.alias("at")),
+        F.struct(F.lit("remove").alias("action"), F.when(number(13) % 4 > 0, end).alias("at")),
+        F.struct(F.lit("add").alias("action"), F.when(number(13) % 4 == 3, again).alias("at")),
+    )
+    listed = patterns.filter((F.col("list") == "domains") | (number(17) % 2 == 0))
+    return listed.select("list", "pattern", F.inline(events)).filter("at IS NOT NULL")
+
+
+@query(
+    "op3_url_lists",
+    r"""WITH hosts AS (
+  SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host,
+    '/' || regexp_extract(url, '^[a-z]+://[^/?#]+/([^?#]*)', 1) AS path,
+    DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INTEGER) AS fetched_at FROM pages),
+patterns AS (
+  SELECT 'hosts' AS list, host AS pattern FROM hosts UNION
+  SELECT 'domains', regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM hosts UNION
+  SELECT 'sections', host || '/' || regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]+)/', 1) FROM hosts),
+numbers AS (
+  SELECT list, pattern, CAST('0x' || substr(md5(pattern), 1, 4) AS INTEGER) AS a, CAST('0x' || substr(md5(pattern), 5, 4) AS INTEGER) AS b,
+    CAST('0x' || substr(md5(pattern), 9, 4) AS INTEGER) AS c, CAST('0x' || substr(md5(pattern), 13, 4) AS INTEGER) % 4 AS kind,
+    CAST('0x' || substr(md5(pattern), 17, 4) AS INTEGER) % 2 AS side FROM patterns),
+spans AS (
+  SELECT *, DATE '2024-01-01' + a % 200 AS d1, DATE '2024-01-01' + a % 200 + 10 + b % 90 AS d2,
+    DATE '2024-01-01' + a % 200 + 10 + b % 90 + 10 + c % 90 AS d3 FROM numbers WHERE list = 'domains' OR side = 0),
+active AS (
+  SELECT page_id, list, rtrim(pattern, '/') AS pattern FROM hosts JOIN spans
+  ON (host = rtrim(pattern, '/') OR host LIKE '%.' || pattern OR host || rtrim(path, '/') || '/' LIKE rtrim(pattern, '/') || '/%')
+  AND ((fetched_at >= d1 AND (kind = 0 OR fetched_at < d2)) OR (kind = 3 AND fetched_at >= d3))),
+found AS (
+  SELECT page_id, string_agg(DISTINCT list, ',' ORDER BY list) AS lists, arg_min(pattern, (-length(pattern), pattern)) AS pattern
+  FROM active GROUP BY page_id)
+SELECT page_id, url, CAST(fetched_at AS DATE) AS fetched_at, lists IS NOT NULL AS blocked, coalesce(lists, '') AS lists, pattern
+FROM hosts LEFT JOIN found USING (page_id)""",
+)
+def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.expr(FETCHED))
+    return url_lists.evaluate_captures(captures, list_entries(pages)).withColumn("lists", F.array_join("lists", ","))

@@ -14,6 +14,8 @@ own, and only those that the manifest names count.
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,31 +25,67 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-from textmill.llm.arrow import texts_of
+from textmill.llm.arrow import slices, texts_of
 from textmill.llm.shared import attempt_name, open_folder, reading
-from textmill.llm.units import UnitCache, encode_by_units
+from textmill.llm.units import WHITE_SPACE, split_units
 from textmill.sources.staging import fresh_folder, stage
 
 ROWS_PER_BATCH = 256
+# One space or line feed, then a visible character, and a visible character at the end.
+_JOINABLE = re.compile(f"[ \n](?:[^{WHITE_SPACE}]|[^{WHITE_SPACE}].*[^{WHITE_SPACE}])", re.S).fullmatch
 
 
 class LibraryEncoder:
-    """The tokenizers library with its results kept by unit; made once per worker process."""
+    """The tokenizers library with its results kept by unit; made once per worker process.
 
-    def __init__(self, path: str):
+    Units that are new in a batch are encoded together, as one text: each starts with one space or line
+    feed and ends with a visible character, so the library cuts between them, and the lengths of the
+    tokens tell which belong to which. ``limit`` bounds memory only: units that fell out are encoded again.
+    """
+
+    def __init__(self, path: str, limit: int = 500_000):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.narrow = np.dtype("<u2" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.narrow = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         added = self.library.get_added_tokens_decoder()
-        self.specials = [(t.content, self.packed([n])) for n, t in sorted(added.items(), key=lambda x: -len(x[1].content))]
-        self.units = UnitCache(lambda unit: self.packed(self.library.encode(unit, add_special_tokens=False).ids))
+        self.specials = [t.content for t in added.values()]
+        # In a byte-level vocabulary each character of a token stands for one byte.
+        self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(size)])
+        self.known: dict[str, bytes] = {}
+        self.limit = limit
 
     def packed(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.narrow).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        return encode_by_units(text, self.specials, self.units)
+    def encode_together(self, units: list[str]) -> list[bytes]:
+        out = []
+        for first in range(0, len(units), 2048):
+            some = units[first : first + 2048]
+            ids = np.array(self.library.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, dtype=self.narrow)
+            ends = np.cumsum([len(u.encode()) for u in some])
+            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            data, width = ids.tobytes(), self.narrow.itemsize
+            out += [data[a * width : b * width] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [not any(s in t for s in self.specials) for t in texts]
+        split = [split_units(t) if ok else [] for t, ok in zip(texts, plain)]
+        here = set(itertools.chain.from_iterable(split))
+        missing = here - self.known.keys()
+        if len(self.known) + len(missing) > self.limit:
+            self.known = {u: self.known[u] for u in here & self.known.keys()}
+        joinable = [u for u in missing if _JOINABLE(u)]
+        self.known.update(zip(joinable, self.encode_together(joinable)))
+        for unit in missing.difference(joinable):
+            self.known[unit] = self.whole(unit)
+        get = self.known.__getitem__
+        return [b"".join(map(get, units)) if ok else self.whole(t) for t, units, ok in zip(texts, split, plain)]
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.library.encode(text, add_special_tokens=False).ids)
 
 
 @functools.cache
@@ -128,10 +166,10 @@ def write_token_files(
                 index_file = system.open_output_stream(f"{place}/{name}.docs")
                 index = pa.ipc.new_file(index_file, index_schema)
             sizes = []
-            for row in texts_of(batch.column(1)):
-                tokens = encoder.encode(row) + end
-                writer.add(tokens)
-                sizes.append(len(tokens) // width.itemsize)
+            for part in slices(batch):
+                for tokens in encoder.encode(texts_of(part.column(1))):
+                    writer.add(tokens + end)
+                    sizes.append(len(tokens) // width.itemsize + 1)
             index.write_batch(pa.record_batch([batch.column(0), pa.array(sizes, pa.int64())], schema=index_schema))
             docs, total = docs + len(sizes), total + sum(sizes)
         if writer is not None:
