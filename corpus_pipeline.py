@@ -1,15 +1,76 @@
-"""The training-data pipeline over ``documents``: one stage after the other, each on what the last one kept."""
+"""The training-data pipeline over ``documents``: one stage after the other, each on what the last one kept.
+
+Each stage calls one operator of ``textmill.llm`` with production parameters. Its result is written
+to the cluster's shared folder and read again as the documents of the next stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from textmill.llm import bpe, mixing, ngram_join, quality, suffix_dedup
+from textmill.sources.staging import stage
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules accept."""
+    return quality.add_quality(docs, BYTE_BPE, PIECE_BPE).filter("kept").select(docs.columns)
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id in each group that links of a Jaccard similarity of 0.8 on five words make.
+
+    Rows of one id are one document, of which one row stays; rows without an id stay.
+    """
+    links = ngram_join.link_documents(docs, ngram_join.Similarity(80, 100), width=5)
+    kept = links.filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left").filter("_kept IS NOT NULL OR doc_id IS NULL")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    return rows.withColumn("_row", first).filter("doc_id IS NULL OR _row = 1").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings of 400 bytes that stand elsewhere too; a text of which nothing is left goes."""
+    cut = suffix_dedup.remove_repeats(docs).filter("n_removed = 0 OR trim(kept_text) <> ''")
+    changed = F.col("n_removed") > 0
+    columns = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(changed, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return cut.withColumns(columns).select(docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's share of the mix takes it."""
+    return mixing.repeat_rows(mixing.mix_sources(docs), docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text of the mix, and whether they decode to the text."""
+    coded = bpe.encode_bpe(docs, BYTE_BPE, decoded="decoded")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"), "ids")
+
+
+STAGES = [
+    ("quality rules", keep_quality),
+    ("n-gram Jaccard join", keep_one_of_similar),
+    ("suffix-array dedup", cut_repeats),
+    ("mixing sources to target weights", mix),
+    ("BPE encoding and decoding", encode),
+]
 
-STAGES: list = []
+# SQL can state neither the tokenisers' measures nor the ids; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, function) in enumerate(STAGES):
+        docs = function(spark, docs, sf_dir)
+        if number < len(STAGES) - 1:
+            docs = stage(docs, f"stage-{number}")
     return docs
