@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, ShortType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
 from textmill.llm.arrow import slices, texts_of, with_arrays, with_fields
 from textmill.llm.hashing import mix, prefix_sums, span_hashes
@@ -292,7 +292,8 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, hot: int = HOT_CONTEX
     """``id, mark, first, last`` from ``id, mark, text``: every start of a repeated window lies in a run."""
     found = stage(anchor_rows(docs, length, gram), "anchors")
     groups = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("c1"), F.max("context").alias("c2"))
-    groups = groups.filter("n > 1").select("gram", (F.col("c1") == F.col("c2")).alias("equal"))
+    # Written, so that both sides of the join are dealt for it alone and a skewed gram can be split.
+    groups = stage(groups.filter("n > 1").select("gram", (F.col("c1") == F.col("c2")).alias("equal")), "groups")
     repeated = stage(found.join(groups, "gram"), "repeated")
     runs = ["id", "mark", (F.col("place") - F.col("high")).alias("first"), (F.col("place") - F.col("low")).alias("last")]
     partly = repeated.filter("NOT equal")
@@ -315,25 +316,27 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, hot: int = HOT_CONTEX
 def remove_repeats(
     df: DataFrame, length: int = 400, gram: int = 128, row_id: str = "doc_id", text: str = "text", hot: int = HOT_CONTEXTS,
 ) -> DataFrame:
-    """``df`` with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed spans).
+    """``df`` with ``kept`` (bytes), ``kept_text``, ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed spans).
+
+    ``kept_text`` is ``kept`` without the bytes of characters of which only a part is left.
 
     Every byte goes that a ``length``-byte string covers which starts anywhere else too, in the same
     text or another, judged on the texts as given; matches never cross texts. ``row_id`` must be a
     whole number; rows are told apart by it and a hash of the text, a null id as -1. A null text is
     empty; texts shorter than ``length`` stay whole. Repeated rows are copies of each other. Columns
-    of the four names are replaced; all others stay.
+    of the five names are replaced; all others stay.
 
     Anchors, one for about ``(length - gram) / 2`` bytes, are the only rows that grow with the whole
     text; of contexts, only those that agree in part are sent. The text is shuffled by row id.
     """
-    names = ["kept", "n_bytes", "n_removed", "n_spans"]
+    names = ["kept", "kept_text", "n_bytes", "n_removed", "n_spans"]
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(-1))
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = df.withColumns({"_id": key, "_mark": F.hash(value)})
     docs = df.select(key.alias("id"), F.hash(value).alias("mark"), value.alias("text"))
     runs = repeated_runs(docs, length, gram, hot).groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("_runs"))
     joined = rows.join(runs.withColumnsRenamed({"id": "_id", "mark": "_mark"}), ["_id", "_mark"], "left").drop("_id", "_mark")
-    kinds = [BinaryType(), LongType(), LongType(), LongType()]
+    kinds = [BinaryType(), StringType(), LongType(), LongType(), LongType()]
     fields = [StructField(n, k, False) for n, k in zip(names, kinds)]
     schema = with_fields(df.schema, *fields)
 
@@ -346,8 +349,8 @@ def remove_repeats(
                     spans = merged_spans(found or [], length)
                     edges = [0, *spans.ravel().tolist(), len(data)]
                     kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                    made.append((kept, len(data), len(data) - len(kept), len(spans)))
-                arrays = [pa.array(v, t) for v, t in zip(zip(*made), (pa.binary(), pa.int64(), pa.int64(), pa.int64()))]
+                    made.append((kept, kept.decode("utf-8", "ignore"), len(data), len(data) - len(kept), len(spans)))
+                arrays = [pa.array(v, t) for v, t in zip(zip(*made), (pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64()))]
                 yield with_arrays(part, names, arrays).select(schema.names)
 
     return joined.mapInArrow(run, schema)
