@@ -14,12 +14,11 @@ own, and only those that the manifest names count.
 from __future__ import annotations
 
 import functools
-import itertools
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
@@ -31,8 +30,12 @@ from textmill.llm.units import WHITE_SPACE, split_units
 from textmill.sources.staging import fresh_folder, stage
 
 ROWS_PER_BATCH = 256
-# One space or line feed, then a visible character, and a visible character at the end.
-_JOINABLE = re.compile(f"[ \n](?:[^{WHITE_SPACE}]|[^{WHITE_SPACE}].*[^{WHITE_SPACE}])", re.S).fullmatch
+
+
+def _joinable(unit: str) -> bool:
+    """One space or line feed, then a visible character, and a visible character at the end."""
+    return len(unit) > 1 and unit[0] in " \n" and unit[1] not in WHITE_SPACE and unit[-1] not in WHITE_SPACE
+
 
 
 class LibraryEncoder:
@@ -43,8 +46,9 @@ class LibraryEncoder:
     tokens tell which belong to which. ``limit`` bounds memory only: units that fell out are encoded again.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 1_000_000, special_as_text: bool = False):
         self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = special_as_text
         self.library.no_truncation()
         self.library.no_padding()
         size = self.library.get_vocab_size(with_added_tokens=True)
@@ -61,8 +65,8 @@ class LibraryEncoder:
 
     def encode_together(self, units: list[str]) -> list[bytes]:
         out = []
-        for first in range(0, len(units), 2048):
-            some = units[first : first + 2048]
+        for first in range(0, len(units), 64):
+            some = units[first : first + 64]
             ids = np.array(self.library.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, dtype=self.narrow)
             ends = np.cumsum([len(u.encode()) for u in some])
             cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
@@ -70,19 +74,29 @@ class LibraryEncoder:
             out += [data[a * width : b * width] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
         return out
 
+    def encode_units(self, units: list[str]) -> list[bytes]:
+        joinable = [u for u in units if _joinable(u)]
+        together = iter(self.encode_together(joinable))
+        if len(joinable) == len(units):
+            return list(together)
+        return [next(together) if _joinable(u) else self.whole(u) for u in units]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [not any(s in t for s in self.specials) for t in texts]
         split = [split_units(t) if ok else [] for t, ok in zip(texts, plain)]
-        here = set(itertools.chain.from_iterable(split))
-        missing = here - self.known.keys()
-        if len(self.known) + len(missing) > self.limit:
-            self.known = {u: self.known[u] for u in here & self.known.keys()}
-        joinable = [u for u in missing if _JOINABLE(u)]
-        self.known.update(zip(joinable, self.encode_together(joinable)))
-        for unit in missing.difference(joinable):
-            self.known[unit] = self.whole(unit)
-        get = self.known.__getitem__
-        return [b"".join(map(get, units)) if ok else self.whole(t) for t, units, ok in zip(texts, split, plain)]
+        get = self.known.get
+        found = [list(map(get, units)) for units in split]
+        missing = list({u for units, f in zip(split, found) if None in f for u, x in zip(units, f) if x is None})
+        made = dict(zip(missing, self.encode_units(missing)))
+        out = []
+        for text, ok, units, f in zip(texts, plain, split, found):
+            if None in f:
+                f = [made[u] if x is None else x for u, x in zip(units, f)]
+            out.append(b"".join(f) if ok else self.whole(text))
+        if len(self.known) + len(made) > self.limit:
+            self.known = {u: x for units, f in zip(split, found) for u, x in zip(units, f) if x is not None}
+        self.known.update(made)
+        return out
 
     def whole(self, text: str) -> bytes:
         return self.packed(self.library.encode(text, add_special_tokens=False).ids)
@@ -217,9 +231,10 @@ def _documents(folder: str, name: str, before: int) -> Iterator[pa.RecordBatch]:
             tokens, pieces, have = int(sizes.sum()), [held], len(held)
             while have < tokens:
                 sequences = shard.get_batch(at)
-                ids, mask = (sequences.column(c).flatten().to_numpy(zero_copy_only=False) for c in (0, 1))
+                ids, mask = (sequences.column(c).flatten() for c in (0, 1))
+                ids = ids.to_numpy() if pc.all(mask).as_py() else ids.filter(mask).to_numpy()
                 at += 1
-                pieces.append(ids[mask].astype("<u4"))
+                pieces.append(ids.astype("<u4"))
                 have += len(pieces[-1])
             flat = np.concatenate(pieces)
             held = flat[tokens:]

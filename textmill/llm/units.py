@@ -16,13 +16,15 @@ WHITE_SPACE = (
     "    　"
 )
 _BETWEEN = re.compile(f"(?<=[^{WHITE_SPACE}])(?=[ \n][^{WHITE_SPACE}])")
+_CUT_ASCII = ("\t\0", "\r\0", "\x0b\0", "\x0c\0")
 _CUT_RUN = re.compile(f"[{WHITE_SPACE.replace(' ', '').replace(chr(10), '')}]\0")
 
 
 def split_units(text: str) -> list[str]:
     """The text in pieces; their encodings in order are the encoding of the text."""
     marked = text.replace(" ", "\0 ").replace("\n", "\0\n")
-    if "\0" in text or " \0" in marked or "\n\0" in marked or _CUT_RUN.search(marked):
+    cut = any(c in marked for c in _CUT_ASCII) if text.isascii() else _CUT_RUN.search(marked)
+    if cut or "\0" in text or " \0" in marked or "\n\0" in marked:
         return _BETWEEN.split(text)
     return marked.split("\0")
 
