@@ -88,7 +88,9 @@ def test_equal_parts_and_bitmaps_never_miss_a_similar_pair():
             both = len(np.intersect1d(a, b))
             if len(b) and similarity.linked(both, len(a), len(b)) and both != max(len(a), len(b)):
                 assert len(np.intersect1d(keys(a), keys(b)))
-                assert len(ngram_join.Tile([1, 2], [a.tobytes(), b.tobytes()], similarity).join()) == 1
+                maps, sizes = [ngram_join.bitmap(a), ngram_join.bitmap(b)], [len(a), len(b)]
+                assert len(ngram_join.Tile([1, 2], sizes, maps, None, similarity).join()) == 1
+                assert len(ngram_join.Tile([1, 2], sizes, maps, [a, b], similarity).join()) == 1
 
 
 def test_components_of_chains_and_stars(spark):
