@@ -10,6 +10,7 @@ script of its letters, decide what is kept.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -19,10 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField
 from sentencepiece import SentencePieceProcessor
-from tokenizers import Tokenizer
 
 from textmill.llm.arrow import add_columns, texts_of
-from textmill.llm.units import UnitCache
+from textmill.llm.token_files import LibraryEncoder
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -48,7 +48,7 @@ BANDS: Mapping[str, Band] = {
     "latin": Band(1.2, 10.0, 0.30, 3.0),
     "greek": Band(0.4, 8.0, 0.60, 3.0),
     "cyrillic": Band(0.4, 8.0, 0.60, 3.0),
-    "cjk": Band(0.3, 4.0, 0.98, 3.0),
+    "cjk": Band(0.2, 4.0, 0.98, 3.0),
     "other": Band(0.1, 10.0, 1.00, 2.5),
 }
 
@@ -65,57 +65,60 @@ MEASURES = ("byte_chars_per_token", "byte_fallback", "byte_entropy", "piece_char
 
 
 class Fertility:
-    """Tokens of single words under both vocabularies, kept by word; made once per worker process."""
+    """Tokens of single words under both vocabularies, kept by word; made once per worker process.
 
-    def __init__(self, byte_path: str, piece_path: str):
-        self.bytes = Tokenizer.from_file(byte_path)
-        self.bytes.encode_special_tokens = True
+    Words that are new in a batch are encoded together. ``limit`` bounds memory only: words that fell
+    out are encoded again.
+    """
+
+    def __init__(self, byte_path: str, piece_path: str, limit: int = 300_000):
+        self.bytes = LibraryEncoder(byte_path, special_as_text=True)
         self.pieces = SentencePieceProcessor(model_file=piece_path)
-        size = self.bytes.get_vocab_size()
-        alone = np.zeros(size, dtype=bool)
+        vocabulary = self.bytes.library.get_vocab()
+        alone = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         ascii_ = {chr(b) for b in range(33, 127)} | {"Ġ"}
-        for token, number in self.bytes.get_vocab().items():
+        for token, number in vocabulary.items():
             alone[number] = len(token) == 1 and token not in ascii_
         fallback = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
         self.spelled = (alone, fallback)
-        self.words = (UnitCache(None, 200_000), UnitCache(None, 200_000))
-
-    def encoded(self, which: int, words: list[bytes]) -> list[bytes]:
-        """Ids of each word, with the space before it, as 32-bit integers."""
-        cache = self.words[which]
-        missing = [w for w in words if w not in cache]
-        if missing:
-            texts = [w.decode() for w in missing]
-            if which == 0:
-                ids = [e.ids for e in self.bytes.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
-            else:
-                ids = self.pieces.encode(texts, num_threads=1)
-            made = {w: np.array(i, dtype=np.int32).tobytes() for w, i in zip(missing, ids)}
-            found = [made[w] if w in made else cache[w] for w in words]
-            if len(cache) + len(made) > cache.limit:
-                cache.clear()
-            cache.update(made)
-            return found
-        return [cache[w] for w in words]
-
-    def measure(self, words: list[bytes], times: np.ndarray, chars: int) -> list[float]:
-        """Characters per token, fallback share and entropy for both vocabularies; zeros without words."""
-        out: list[float] = []
+        self.kinds = (self.bytes.narrow, np.dtype("<u2" if len(fallback) <= 1 << 16 else "<u4"))
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.limit = limit
+
+    def tokens(self, words: dict[bytes, int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each vocabulary the ids of all words in order, where each word's ids start, and how many there are."""
+        missing = [w for w in words if w not in self.known]
+        if len(self.known) + len(missing) > self.limit:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        texts = [w.decode() for w in missing]
+        by_bytes = self.bytes.encode_units([f" {t}" for t in texts])
+        by_pieces = [np.array(ids, dtype=self.kinds[1]).tobytes() for ids in self.pieces.encode(texts, num_threads=1)]
+        self.known.update(zip(missing, zip(by_bytes, by_pieces)))
+        found = [self.known[w] for w in words]
+        out = []
         for which in (0, 1):
-            if not words:
-                out += [0.0, 0.0, 0.0]
-                continue
-            blobs = self.encoded(which, words)
-            ids = np.frombuffer(b"".join(blobs), dtype=np.int32)
-            weights = np.repeat(times, np.array([len(b) // 4 for b in blobs]))
-            counts = np.bincount(ids, weights=weights)
-            counts, spelled = counts[counts > 0], weights[self.spelled[which][ids]].sum()
-            total = float(counts.sum())
-            shares = counts / total if total else counts
-            entropy = float(-(shares * np.log2(shares)).sum())
-            out += [chars / total if total else 0.0, float(spelled) / total if total else 0.0, abs(entropy)]
+            blobs = [f[which] for f in found]
+            ids = np.frombuffer(b"".join(blobs), dtype=self.kinds[which]).astype(np.int32)
+            sizes = np.array([len(b) for b in blobs], dtype=np.int64) // self.kinds[which].itemsize
+            out.append((ids, np.cumsum(sizes) - sizes, sizes))
         return out
 
+    def measure(self, which: int, tokens: tuple, codes: np.ndarray, chars: int) -> tuple[float, float, float]:
+        """Characters per token, fallback share and entropy in bits; zeros without tokens."""
+        ids, starts, sizes = tokens
+        own = sizes[codes]
+        total = int(own.sum())
+        if not total:
+            return 0.0, 0.0, 0.0
+        shift = np.repeat(starts[codes] - (np.cumsum(own) - own), own)
+        here = ids[np.arange(total) + shift]
+        spelled = int(self.spelled[which][here].sum())
+        here.sort()
+        edges = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1], [True]]))
+        counts = np.diff(edges)
+        entropy = np.log2(total) - float((counts * np.log2(counts)).sum()) / total
+        return chars / total, spelled / total, max(0.0, float(entropy))
+
 
 @functools.cache
 def fertility(byte_path: str, piece_path: str) -> Fertility:
@@ -129,11 +132,14 @@ def repeated_windows(codes: np.ndarray, distinct: int, width: int = 3) -> int:
         return 0
     windows = codes[: n - width + 1]
     for k in range(1, width):
-        if k > 1 and distinct**3 >= 1 << 62:
+        if k > 1 and distinct ** (k + 1) >= 1 << 62:
             windows = np.unique(windows, return_inverse=True)[1]
         windows = windows * distinct + codes[k : n - width + 1 + k]
-    _, inverse, counts = np.unique(windows, return_inverse=True, return_counts=True)
-    repeated = counts[inverse] > 1
+    ordered = np.sort(windows)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return 0
+    repeated = np.isin(windows, twice)
     covered = np.zeros(n, dtype=bool)
     for k in range(width):
         covered[k : n - width + 1 + k] |= repeated
@@ -169,13 +175,8 @@ def add_quality(
     def make():
         tokens = fertility(byte_path, piece_path)
 
-        def row(value: str, lang: str | None) -> tuple:
-            data = value.encode()
-            words = data.split()
+        def row(value: str, data: bytes, words: list[bytes], lang: str | None, order: dict[bytes, int], found: list) -> tuple:
             n, chars = len(words), len(value) - sum(map(value.count, WHITE))
-            order = dict.fromkeys(words)
-            for k, word in enumerate(order):
-                order[word] = k
             codes = np.fromiter(map(order.__getitem__, words), dtype=np.int64, count=n)
             lines = [line for line in data.split(b"\n") if line.strip()]
             repeats = repeated_windows(codes, len(order))
@@ -183,19 +184,23 @@ def add_quality(
             failed = n < least_words or 100 * repeats > most_repeated * n
             name = lang if lang in bands else script_of(value)
             band = bands[name]
-            found = tokens.measure(list(order), np.bincount(codes), chars)
+            measures = [m for which in (0, 1) for m in tokens.measure(which, found[which], codes, chars)]
             kept = not failed and all(
-                band.least_chars <= found[k] <= band.most_chars
-                and found[k + 1] <= band.most_fallback
-                and found[k + 2] >= band.least_entropy
+                band.least_chars <= measures[k] <= band.most_chars
+                and measures[k + 1] <= band.most_fallback
+                and measures[k + 2] >= band.least_entropy
                 for k in (0, 3)
             )
-            return n, chars, symbols, len(lines) - len(set(lines)), repeats, failed, name, *found, kept
+            return n, chars, symbols, len(lines) - len(set(lines)), repeats, failed, name, *measures, kept
 
         def columns(batch: pa.RecordBatch) -> list[pa.Array]:
             values = texts_of(batch.column(text))
             langs = batch.column(language).to_pylist() if has_language else [None] * len(values)
-            made = list(zip(*map(row, values, langs))) or [()] * len(fields)
+            data = [v.encode() for v in values]
+            words = [d.split() for d in data]
+            order = {w: k for k, w in enumerate(dict.fromkeys(itertools.chain.from_iterable(words)))}
+            found = tokens.tokens(order)
+            made = list(zip(*(row(*doc, order, found) for doc in zip(values, data, words, langs))))
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.string()] + [pa.float64()] * 6 + [pa.bool_()]
             return [pa.array(v, k) for v, k in zip(made, kinds)]
 
