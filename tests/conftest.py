@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -14,7 +15,7 @@ def spark():
     session = local_session(
         8,
         "textmill-tests",
-        **{"spark.sql.shuffle.partitions": "4", "spark.python.sql.dataFrameDebugging.enabled": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="textmill-tests-"), "spark.python.sql.dataFrameDebugging.enabled": "false"},
     )
     yield session
     session.stop()

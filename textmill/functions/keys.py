@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def required(row_id: str) -> Column:
+    """The row id, or an error where it is null: such a row could be neither kept nor dropped for certain."""
+    return F.coalesce(F.col(row_id), F.raise_error(F.lit(f"null in the row id column {row_id!r}")))
+
+
 def hash_key(seed: str | int, row_id: str | Column) -> Column:
     """``md5("seed:id")``: a uniform, repeatable sort key, the same in any SQL engine."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id) if isinstance(row_id, str) else row_id))
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), required(row_id) if isinstance(row_id, str) else row_id))
 
 
 def leading_number(md5_hex: Column) -> Column:

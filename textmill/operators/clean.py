@@ -23,16 +23,21 @@ def label_to_word(
 
     A small map becomes a literal. A large one, or a ``(id, name)`` DataFrame, is joined: broadcast if
     it is counted to be small, so that a frequent label costs nothing, else as a shuffle join, where
-    adaptive execution splits a frequent label.
+    adaptive execution splits a frequent label. Either way the ids are compared as values of the label's type.
     """
     unknown = F.raise_error(F.concat(F.lit("unknown label: "), F.col(label).cast("string")))
     if not isinstance(id2label, DataFrame):
         pairs = list(id2label.items() if isinstance(id2label, Mapping) else enumerate(id2label))
         if len(pairs) <= LITERAL_LABELS:
-            names = F.create_map(*(F.lit(x) for pair in pairs for x in pair))
+            kind = df.schema[label].dataType
+            names = F.create_map(*(x for key, word in pairs for x in (F.lit(key).cast(kind), F.lit(word))))
             return df.withColumn(out, F.coalesce(F.try_element_at(names, F.col(label)), unknown))
-        id2label = df.sparkSession.createDataFrame(pairs, "_label bigint, _word string")
-    names = id2label.toDF("_label", "_word")
+        id2label = df.sparkSession.createDataFrame([(str(k), w) for k, w in pairs], "_label string, _word string")
+    # One row for each id, so that no row of the table is joined twice.
+    names = id2label.toDF("_label", "_word").withColumn("_label", F.col("_label").cast(df.schema[label].dataType))
+    clash = F.raise_error(F.concat(F.lit("two names for label "), F.first("_label").cast("string")))
+    word = F.when(F.min("_word").eqNullSafe(F.max("_word")), F.min("_word")).otherwise(clash)
+    names = names.groupBy("_label").agg(word.alias("_word"))
     rows, size = names.agg(F.count(F.lit(1)), F.sum(F.octet_length("_word"))).first()
     if rows <= SHIP_ROWS and (size or 0) <= SHIP_BYTES:
         names = F.broadcast(names)

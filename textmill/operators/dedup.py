@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.functions.keys import value_digest
+from textmill.functions.keys import required, value_digest
 
 
 def dedup_seq(df: DataFrame, columns: Sequence[str], row_id: str = "_row_id") -> DataFrame:
     """For each column in turn keep the first row of each value; the next column sees the survivors.
 
-    Null is one value. The decision is made on a narrow table of row ids and value digests: one
+    Null is one value; a null row id is an error. The decision is made on a narrow table of row ids and value digests: one
     aggregate per column, with map-side combine, so a value that fills a third of the table costs one
     row per task. The full rows then cross one shuffle, in a semi-join on the unique row id.
     """
@@ -20,7 +20,7 @@ def dedup_seq(df: DataFrame, columns: Sequence[str], row_id: str = "_row_id") ->
         return df
     names = [f"d{i}" for i in range(len(columns))]
     narrow = df.select(
-        F.col(row_id).alias("id"),
+        required(row_id).alias("id"),
         *(value_digest(F.col(f"`{c}`"), df.schema[c].dataType).alias(n) for c, n in zip(columns, names)),
     )
     for place, name in enumerate(names):

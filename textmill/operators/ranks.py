@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from textmill.functions.keys import hash_key, leading_number
+from textmill.functions.keys import hash_key, leading_number, required
 from textmill.sources.staging import stage
 
 HISTOGRAM_BINS = 4096
@@ -62,13 +62,13 @@ def rank_cut(df: DataFrame, key: Column, ties: list[Column], n: int) -> Column:
 
 def first_rows(df: DataFrame, n: int, row_id: str) -> Column:
     """Predicate for the ``n`` rows with the smallest row ids."""
-    return rank_cut(df, F.col(row_id), [], n)
+    return rank_cut(df, required(row_id), [], n)
 
 
 def sampled_rows(df: DataFrame, n: int, seed: str | int, row_id: str) -> Column:
     """Predicate for ``n`` rows drawn without replacement; the same rows however the table is split."""
     key = hash_key(seed, row_id)
-    return rank_cut(df, leading_number(key), [key, F.col(row_id)], n)
+    return rank_cut(df, leading_number(key), [key, required(row_id)], n)
 
 
 def _shift(df: DataFrame, group: str, position: Column, out: str, total: str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, IntegerType
 from pyspark.sql.window import Window
 
 from textmill.functions.arrays import empty_ids
+from textmill.functions.keys import required
 from textmill.functions.text import tokens
 from textmill.functions.workers import once_per_worker
 from textmill.operators.ranks import rank_cut
@@ -96,16 +97,27 @@ def _lookup_udf(df: DataFrame, vocab: DataFrame):
     shared = df.sparkSession.sparkContext.broadcast(
         (table["token"].combine_chunks(), table["id"].combine_chunks())
     )
+    key = uuid4()
 
     @arrow_udf(ArrayType(IntegerType(), False))
     def lookup(batch: pa.Array) -> pa.Array:
-        known, ids = shared.value
-        found = pc.take(ids, pc.index_in(batch.flatten(), value_set=known))
-        return _lists(batch, pc.fill_null(found, UNK).cast(pa.int32()))
+        known = once_per_worker(key, lambda: _dictionary(shared.value))
+        return _lists(batch, _looked_up(known, batch.flatten(), UNK, pa.int32()))
 
     return lookup
 
 
+def _dictionary(columns: tuple[pa.Array, pa.Array]) -> dict:
+    return dict(zip(*(c.to_pylist() for c in columns)))
+
+
+def _looked_up(known: dict, values: pa.Array, default, kind: pa.DataType) -> pa.Array:
+    """The entry of every value; each distinct value of the batch is looked up once."""
+    distinct = values.dictionary_encode()
+    found = pa.array([known.get(v, default) for v in distinct.dictionary.to_pylist()], kind)
+    return pc.take(found, distinct.indices)
+
+
 def _lists(like: pa.Array, flat: pa.Array) -> pa.Array:
     """``flat`` cut into lists of the lengths of ``like``; null lists stay null."""
     lengths = pc.fill_null(pc.list_value_length(like), 0)
@@ -123,11 +135,12 @@ def encode_by_join(
     The distinct tokens are joined with the vocabulary first, one row per token on both sides. Tokens
     that hold more than 1/``HOT_SHARE`` of all occurrences are at most ``HOT_SHARE`` rows, so they are
     broadcast; every other token is rare enough for a shuffle join. Ids are then regrouped by row,
-    which moves only ids and positions, and joined to the full rows once.
+    which moves only ids and positions, and joined to the full rows once. Rows of one id, as padded
+    ranks have them, hold the same texts: a position counts once however often its row is there.
     """
     texts = [F.struct(F.lit(out).alias("out"), tokens(F.col(text)).alias("tokens")) for text, out in columns.items()]
     found = (
-        df.select(F.col(row_id).alias("row"), F.explode(F.array(*texts)).alias("text"))
+        df.select(required(row_id).alias("row"), F.explode(F.array(*texts)).alias("text"))
         .select("row", "text.out", F.posexplode("text.tokens").alias("pos", "token"))
     )
     counts = stage(
@@ -150,7 +163,7 @@ def encode_by_join(
     grouped = encoded.groupBy("row").agg(
         *(
             F.transform(
-                F.array_sort(F.collect_list(F.when(F.col("out") == out, F.struct("pos", "id")))),
+                F.array_sort(F.collect_set(F.when(F.col("out") == out, F.struct("pos", "id")))),
                 lambda x: x["id"],
             ).alias(out)
             for out in columns.values()
@@ -201,17 +214,18 @@ def ids_to_tokens(df: DataFrame, column: str, vocab: DataFrame, row_id: str = "_
     shared = df.sparkSession.sparkContext.broadcast(
         (table["id"].combine_chunks(), table["token"].combine_chunks())
     )
+    key = uuid4()
 
     @arrow_udf("array<string>")
     def lookup(batch: pa.Array) -> pa.Array:
-        ids, words = shared.value
-        return _lists(batch, pc.take(words, pc.index_in(batch.flatten(), value_set=ids)))
+        known = once_per_worker(key, lambda: _dictionary(shared.value))
+        return _lists(batch, _looked_up(known, batch.flatten(), None, pa.string()))
 
     return df.withColumn(column, F.filter(lookup(F.col(column)), lambda t: t.isNotNull()))
 
 
 def _tokens_by_join(df: DataFrame, column: str, vocab: DataFrame, row_id: str) -> DataFrame:
-    found = df.select(F.col(row_id).alias("row"), F.posexplode(column).alias("pos", "id"))
+    found = df.select(required(row_id).alias("row"), F.posexplode(column).alias("pos", "id"))
     counts = stage(
         found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(vocab.select("id", "token"), "id"),
         "id-tokens",
@@ -225,10 +239,10 @@ def _tokens_by_join(df: DataFrame, column: str, vocab: DataFrame, row_id: str) -
         marked.filter(F.col("hot_token").isNotNull()).select("row", "pos", F.col("hot_token").alias("token"))
     )
     grouped = known.groupBy(F.col("row").alias(row_id)).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens")
+        F.transform(F.array_sort(F.collect_set(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens")
     )
     return (
         df.join(grouped, row_id, "left")
-        .withColumn(column, F.coalesce("_tokens", F.array().cast("array<string>")))
+        .withColumn(column, F.when(F.col(column).isNotNull(), F.coalesce("_tokens", F.array().cast("array<string>"))))
         .drop("_tokens")
     )

@@ -50,8 +50,14 @@ def prepare_split(df: DataFrame, settings: PrepareSettings, length=token_count)
 def load_splits(spark: SparkSession, settings: PrepareSettings) -> dict[str, DataFrame]:
     """The chosen splits under their final names, each with BIGINT row ids."""
     own_key = settings.row_id if settings.row_id != ROW_ID else None
-    loaded = read_splits(spark, settings.raw_data, row_id=own_key, **settings.read_options)
-    splits = pick_splits(rename_splits(loaded, settings.predict_split), settings.splits)
+    raw = settings.raw_data
+    if isinstance(raw, Mapping):
+        # Names are settled on the paths, so splits that nobody asked for are never read.
+        raw = pick_splits(rename_splits(raw, settings.predict_split), settings.splits)
+        splits = read_splits(spark, raw, row_id=own_key, **settings.read_options)
+    else:
+        loaded = read_splits(spark, raw, row_id=own_key, **settings.read_options)
+        splits = pick_splits(rename_splits(loaded, settings.predict_split), settings.splits)
     return {name: _with_bigint_id(df, settings.row_id) for name, df in splits.items()}
 
 
@@ -116,7 +122,7 @@ def prepare_text(
         texts = {
             f: getattr(settings, f)
             for f in ("splits", "predict_split", "id2label", "deduplicate_columns", "clean",
-                      "filter_long_sequences", "input_limit", "target_limit", "row_id")
+                      "filter_long_sequences", "input_limit", "target_limit", "row_id", "read_options")
         }
         source = settings.raw_data if isinstance(settings.raw_data, str) else repr(settings.raw_data)
         prepared = materialize(prepared, folder, [version, source, texts])

@@ -161,6 +161,7 @@ def read_json_columns(
             columns.add(field.name, ArrayType(field.dataType))
         reader = reader.schema(columns)
     objects = reader.json(path)
+    _refuse_json_lines(spark, path)
     names = objects.columns
     not_lists = [f.name for f in objects.schema.fields if not isinstance(f.dataType, ArrayType)]
     if not_lists:
@@ -178,6 +179,16 @@ def read_json_columns(
     return number_by_order(df, [*_ORDER, "_position"], ROW_ID, "_n").drop(*_ORDER, "_position", "_n")
 
 
+def _refuse_json_lines(spark: SparkSession, path: str) -> None:
+    """An error if every line of a file is an object of its own: only the first of them would be read."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(F.trim("value") != "")
+    whole = F.from_json(F.when(F.trim("value").rlike(r"^\{.*\}$"), F.col("value")), "map<string,string>").isNotNull()
+    counts = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), F.count_if(whole).alias("whole"))
+    found = counts.filter("n > 1 AND whole = n").head()
+    if found is not None:
+        raise ValueError(f"{found.file} has {found.n} JSON objects; read it as JSON lines")
+
+
 def read_json_lines(
     spark: SparkSession,
     path: str,
