@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textmill.operators import vocab as V
 from textmill.operators.clean import label_to_word
 from textmill.operators.dedup import dedup_seq
+from textmill.operators.predict import batch_predict
 from textmill.operators.ranks import first_rows, sampled_rows
 from textmill.plans.prepare import load_splits
 from textmill.plans.settings import PrepareSettings
@@ -65,6 +66,22 @@ def test_json_lines_are_not_cut_to_the_first_object(spark, tmp_path):
     assert read_json_columns(spark, str(whole)).count() == 2
 
 
+def test_a_model_batch_holds_one_loader_batch(spark):
+    rows = [(r, b, [1] * (3 + b), [1] * (3 + b)) for r in range(2) for b in range(3) for _ in range(4 if b < 2 else 3)]
+    df = spark.createDataFrame(rows, "rank int, batch_id int, input_ids array<int>, attention_mask array<int>").repartition(2)
+
+    def factory():
+        def predict(ids, masks):
+            import numpy as np
+
+            return np.stack([np.array(i) for i in ids]).tolist()
+
+        return predict
+
+    out = batch_predict(df, factory).collect()
+    assert len(out) == len(rows) and all(list(r.output_ids) == list(r.input_ids) for r in out)
+
+
 def test_only_the_chosen_splits_are_read(spark, tmp_path):
     (tmp_path / "train.csv").write_text("id,text\n1,a\n2,b\n")
     raw = {"train": str(tmp_path / "train.csv"), "test": str(tmp_path / "missing.csv")}

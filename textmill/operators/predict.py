@@ -31,30 +31,41 @@ def batch_predict(
     out: str = "output_ids",
     return_type: DataType | str = ArrayType(IntegerType()),
     batch_size: int = 8,
+    together: Sequence[str] = ("rank", "batch_id"),
 ) -> DataFrame:
     """Run a model over the rows and append its output.
 
     ``factory`` is called once per Python worker and returns ``predict(*columns) -> outputs``, which
-    gets plain lists of at most ``batch_size`` rows (of id arrays or of texts). Rows stay where they
-    are: the step is one Arrow exchange with the Python worker and no shuffle.
+    gets plain lists of at most ``batch_size`` rows (of id arrays or of texts). Where the table has
+    the columns ``together``, all rows of a list agree in them, so that arrays padded for a loader's
+    batch have one length. Rows stay where they are: the step is one Arrow exchange with the Python
+    worker and no shuffle.
     """
     key = uuid4()
+    loader = [c for c in together if c in df.columns]
+    loader = loader if len(loader) == len(together) else []
 
     @pandas_udf(return_type)
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         predict = once_per_worker(key, factory)
         for batch in batches:
             series = batch if isinstance(batch, tuple) else (batch,)
-            outputs: list = []
-            for start in range(0, len(series[0]), batch_size):
-                part = [s.iloc[start : start + batch_size].tolist() for s in series]
-                result = list(predict(*part))
-                if len(result) != len(part[0]):
-                    raise ValueError("the predictor returned another number of outputs than inputs")
-                outputs.extend(result)
+            series, keys = series[: len(columns)], series[len(columns) :]
+            groups: dict[tuple, list[int]] = {}
+            for place, group in enumerate(zip(*keys) if keys else [()] * len(series[0])):
+                groups.setdefault(group, []).append(place)
+            outputs: list = [None] * len(series[0])
+            for places in groups.values():
+                for start in range(0, len(places), batch_size):
+                    some = places[start : start + batch_size]
+                    result = list(predict(*([s.iloc[i] for i in some] for s in series)))
+                    if len(result) != len(some):
+                        raise ValueError("the predictor returned another number of outputs than inputs")
+                    for place, value in zip(some, result):
+                        outputs[place] = value
             yield pd.Series(outputs, dtype=object)
 
-    return df.withColumn(out, run(*(F.col(c) for c in columns)))
+    return df.withColumn(out, run(*(F.col(c) for c in (*columns, *loader))))
 
 
 def tidy_text(text: Column) -> Column:
