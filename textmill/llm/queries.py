@@ -64,7 +64,19 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-@query("op4_warc_members")
+@query(
+    "op4_warc_members",
+    r"""WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads),
+parts AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, CAST(1 + 5 * i AS BIGINT), 5) AS INTEGER)) AS twenties FROM digests)
+SELECT page_id, payload_bytes, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to,
+  array_to_string(list_transform(twenties, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+    lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((v >> s) & 31), 1)), '')), '') AS payload_digest
+FROM parts""",
+)
 def op4_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives, folder = warc.archive_pages(table(spark, sf_dir, "pages"))
     read = warc.read_archives(archives, folder).withColumnRenamed("key", "page_id")
@@ -77,7 +89,25 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-@query("op1_ngram_join")
+@query(
+    "op1_ngram_join",
+    r"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+flat AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM flat a JOIN flat b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+twoway AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT a, b FROM twoway UNION SELECT r.doc_id, l.b FROM reach r JOIN twoway l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT sizes.doc_id, n AS n_shingles, least(sizes.doc_id, coalesce(other, sizes.doc_id)) AS component_id
+FROM sizes LEFT JOIN least ON least.doc_id = sizes.doc_id""",
+)
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
