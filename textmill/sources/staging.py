@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -25,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
