@@ -76,7 +76,7 @@ WHERE lang <> 'de' AND source <> 'src3' AND source <> '' AND text <> ''""",
 )
 def q_drop_na(spark, sf_dir):
     kept = drop_na(gappy_documents(spark, sf_dir))
-    return kept.select(F.col("_row_id").alias("doc_id"), "lang", "source", "n_chars")
+    return kept.select(F.col("_row_id").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
 @query(
@@ -202,12 +202,12 @@ def q_inputs_and_targets(spark, sf_dir):
 
 @query(
     "dedup_seq",
-    """SELECT doc_id, lang, source, n_chars FROM documents
+    """SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents
 WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)""",
 )
 def q_dedup_seq(spark, sf_dir):
     kept = dedup_seq(documents(spark, sf_dir), ["text"])
-    return kept.select(F.col("_row_id").alias("doc_id"), "lang", "source", "n_chars")
+    return kept.select(F.col("_row_id").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
 @query(
@@ -215,11 +215,11 @@ def q_dedup_seq(spark, sf_dir):
     """WITH first_text AS (SELECT * FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)),
 first_size AS (SELECT * FROM first_text WHERE doc_id IN (SELECT min(doc_id) FROM first_text GROUP BY n_chars)),
 first_source AS (SELECT * FROM first_size WHERE doc_id IN (SELECT min(doc_id) FROM first_size GROUP BY source))
-SELECT doc_id, lang, source, n_chars FROM first_source""",
+SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM first_source""",
 )
 def q_dedup_seq_columns(spark, sf_dir):
     kept = dedup_seq(documents(spark, sf_dir), ["text", "n_chars", "source"])
-    return kept.select(F.col("_row_id").alias("doc_id"), "lang", "source", "n_chars")
+    return kept.select(F.col("_row_id").alias("doc_id"), F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
 @query(
