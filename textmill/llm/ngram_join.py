@@ -4,8 +4,10 @@ Two sets that are similar enough differ in few elements, so if all hashes are de
 than that number, some part of both sets is equal. Bands of set sizes fix the number of parts for
 all pairs of a band. Documents with an equal part are joined into candidate clusters, which fall into
 tiles. Within a tile only sizes that allow the similarity meet. A bitmap of each set bounds the
-overlap: bits that one bitmap has and the other lacks are elements that they do not share. Pairs
-that pass the bound are intersected exactly, unless they are known to belong together already.
+overlap: bits that one bitmap has and the other lacks are elements that they do not share. First
+only the bitmaps, a few bits for each shingle, meet in tiles; pairs that pass the bound make smaller
+clusters. For these the sets meet, and pairs that pass are intersected exactly, unless they are known
+to belong together already.
 
 Equal sets are one vertex from the start, so thousands of copies cost one set; equal parts within
 a batch are combined before the shuffle.
@@ -27,9 +29,8 @@ from textmill.llm.components import components
 from textmill.llm.hashing import lower_ascii, mix, shingle_set, word_hashes
 from textmill.sources.staging import stage
 
-THIN = 1  # parts of so few elements are equal by chance; they are spare parts unless a set has too many
 POSTINGS_PER_BUCKET = 200_000
-TILE_ROWS, TILE_SHINGLES = 2048, 1 << 21
+TILE_ROWS, TILE_SHINGLES = 4096, 1 << 22
 
 
 @dataclass(frozen=True)
@@ -53,14 +54,18 @@ class Similarity:
         return out
 
     def parts(self, band: int) -> tuple[int, int]:
-        """Number of parts for pairs whose larger set lies in the band, and how many of them may be spare."""
+        """Number of parts for pairs whose larger set lies in the band, and how many of them may be empty.
+
+        Beyond the elements in which a pair can differ there is one part to be equal, and spare ones, so
+        that the equal part is not an empty one.
+        """
         low = 1
         for _ in range(band):
             low = low * self.den // self.num + 1
         differ = 2 * (low * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
         if differ == 0:
             return 0, 0
-        spare = 2 + differ // 16
+        spare = 3 + differ // 10
         return differ + 1 + spare, spare
 
 
@@ -86,11 +91,11 @@ class PartKeys:
         # Sums of halves stay below 2**53, so they are exact in floating point.
         low = np.bincount(part, weights=(mixed & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=count)
         high = np.bincount(part, weights=(mixed >> np.uint64(32)).astype(np.float64), minlength=count)
-        sizes = np.bincount(part, minlength=count)
         key = mix(low.astype(np.uint64) + mix(high.astype(np.uint64) + np.uint64(band)))
         key = mix(key + np.arange(count, dtype=np.uint64))
-        thick = sizes > THIN
-        return key[thick] if count - int(thick.sum()) <= spare else key
+        filled = np.bincount(part, minlength=count) > 0
+        # A set with more empty parts than the spare ones, which is rare, is found by those too.
+        return key[filled] if count - int(filled.sum()) <= spare else key
 
 
 def with_sets(make_set: Callable[[list[str]], list[np.ndarray]], text: str) -> Callable[[pa.RecordBatch], list[np.ndarray]]:
@@ -102,8 +107,16 @@ def shingle_sets(width: int) -> Callable[[list[str]], list[np.ndarray]]:
     return lambda texts: [shingle_set(w, width) for w in word_hashes([lower_ascii(t) for t in texts])]
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each hash in a map of two to four bits for each; a map of half the bits is the union of its halves."""
+    bits = 1 << max(6, int(2 * len(hashes) - 1).bit_length()) if len(hashes) else 64
+    places = np.zeros(bits, dtype=bool)
+    places[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(places, bitorder="little").view(np.uint64)
+
+
 def set_keys(df: DataFrame, text: str, width: int) -> DataFrame:
-    """``df`` with ``n_shingles`` and ``set_key``, equal for equal sets only; the key of an empty set is null."""
+    """``df`` with ``n_shingles``, ``set_key``, equal for equal sets only and null for an empty one, and ``bitmap``."""
 
     def make():
         sets = with_sets(shingle_sets(width), text)
@@ -111,11 +124,13 @@ def set_keys(df: DataFrame, text: str, width: int) -> DataFrame:
         def columns(batch: pa.RecordBatch) -> list[pa.Array]:
             found = sets(batch)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found]
-            return [pa.array([len(s) for s in found], pa.int64()), pa.array(keys, pa.binary())]
+            maps = [bitmap(s).tobytes() for s in found]
+            return [pa.array([len(s) for s in found], pa.int64()), pa.array(keys, pa.binary()), pa.array(maps, pa.binary())]
 
         return columns
 
-    return add_columns(df, [StructField("n_shingles", LongType(), False), StructField("set_key", BinaryType())], make)
+    fields = [StructField("n_shingles", LongType(), False), StructField("set_key", BinaryType()), StructField("bitmap", BinaryType())]
+    return add_columns(df, fields, make)
 
 
 def _pairs_with_least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,68 +204,92 @@ def _edge_batch(edges: np.ndarray) -> pa.RecordBatch:
 
 
 class Tile:
-    """Sets that meet in one task, and the links among them as a forest of their ids."""
-
-    def __init__(self, ids: list[int], sets: list[bytes], similarity: Similarity):
-        arrays = [np.frombuffer(s, dtype=np.uint64) for s in sets]
-        order = sorted(range(len(ids)), key=lambda i: (len(arrays[i]), ids[i]))
-        self.ids, self.sets = [ids[i] for i in order], [arrays[i] for i in order]
-        self.sizes, self.similarity = np.array([len(s) for s in self.sets]), similarity
-        self.root = np.arange(len(ids))
-        bits = 1 << max(6, int(2 * self.sizes[-1] - 1).bit_length())
-        self.maps = np.zeros((len(ids), bits // 64), dtype=np.uint64)
-        for row, hashes in zip(self.maps, self.sets):
-            place = hashes & np.uint64(bits - 1)
-            np.bitwise_or.at(row, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    """Sets that meet in one task, and the links among them as a forest of their ids.
+
+    Without ``sets``, pairs whose bitmaps allow the similarity count as links.
+    """
+
+    def __init__(self, ids: list[int], sizes: list[int], maps: list[np.ndarray], sets: list[np.ndarray] | None, similarity: Similarity):
+        order = sorted(range(len(ids)), key=lambda i: (sizes[i], ids[i]))
+        self.ids, self.sizes = np.array([ids[i] for i in order], dtype=np.int64), np.array([sizes[i] for i in order])
+        self.sets = None if sets is None else [sets[i] for i in order]
+        self.root, self.similarity = np.arange(len(ids)), similarity
+        # Maps grow with the sets, so those of one width stand together.
+        words = np.array([len(maps[i]) for i in order])
+        cuts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1], [True]]))
+        self.groups = [(a, b, {int(words[a]): np.stack([maps[order[k]] for k in range(a, b)])}) for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def folded(self, maps: dict[int, np.ndarray], words: int) -> np.ndarray:
+        if words not in maps:
+            wide = self.folded(maps, 2 * words)
+            maps[words] = wide[:, :words] | wide[:, words:]
+        return maps[words]
+
+    def overlap_bound(self, i: int, here: np.ndarray, others: np.ndarray, maps: np.ndarray) -> np.ndarray:
+        return np.minimum(
+            self.sizes[i] - np.bitwise_count(here & ~maps).sum(axis=1, dtype=np.int64),
+            self.sizes[others] - np.bitwise_count(maps & ~here).sum(axis=1, dtype=np.int64),
+        )
 
     def join(self) -> np.ndarray:
         """Edges from each id to the smallest that its links reach within the tile."""
         sizes, root, sim = self.sizes, self.root, self.similarity
-        for i in range(len(self.ids)):
-            last = int(np.searchsorted(sizes, sizes[i] * sim.den // sim.num, side="right"))
-            others = i + 1 + np.flatnonzero(root[i + 1 : last] != root[i])
-            for at in range(0, len(others), 4096):
-                some = others[at : at + 4096]
-                here, there = self.maps[i], self.maps[some]
-                shared = np.minimum(
-                    sizes[i] - np.bitwise_count(here & ~there).sum(axis=1, dtype=np.int64),
-                    sizes[some] - np.bitwise_count(there & ~here).sum(axis=1, dtype=np.int64),
-                )
-                for j in some[sim.den * shared >= sim.num * (sizes[i] + sizes[some] - shared)]:
-                    if root[j] != root[i]:
-                        both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
-                        if sim.linked(both, int(sizes[i]), int(sizes[j])):
-                            root[root == root[j]] = root[i]
-        ids = np.array(self.ids, dtype=np.int64)
-        least = np.full(len(ids), np.iinfo(np.int64).max)
-        np.minimum.at(least, root, ids)
-        edges = np.stack([ids, least[root]], axis=1)
+        for number, (begin, end, maps) in enumerate(self.groups):
+            words = max(maps)
+            for i in range(begin, end):
+                last = int(np.searchsorted(sizes, sizes[i] * sim.den // sim.num, side="right"))
+                here = maps[words][i - begin]
+                for first, stop, wider in self.groups[number:]:
+                    low, high = max(first, i + 1), min(stop, last)
+                    if low < high:
+                        others = low + np.flatnonzero(root[low:high] != root[i])
+                        for at in range(0, len(others), 4096):
+                            some = others[at : at + 4096]
+                            shared = self.overlap_bound(i, here, some, self.folded(wider, words)[some - first])
+                            self.link(i, some[sim.den * shared >= sim.num * (sizes[i] + sizes[some] - shared)])
+        least = np.full(len(self.ids), np.iinfo(np.int64).max)
+        np.minimum.at(least, root, self.ids)
+        edges = np.stack([self.ids, least[root]], axis=1)
         return edges[edges[:, 0] != edges[:, 1]]
 
+    def link(self, i: int, others: np.ndarray) -> None:
+        for j in others.tolist():
+            if self.root[j] != self.root[i]:
+                if self.sets is not None:
+                    both = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+                    if not self.similarity.linked(both, len(self.sets[i]), len(self.sets[j])):
+                        continue
+                self.root[self.root == self.root[j]] = self.root[i]
+
 
-def tile_links(sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """``a, b`` from ``tile, id, shingles``: a forest of the links within each tile."""
+def tile_links(rows: DataFrame, similarity: Similarity, exact: bool) -> DataFrame:
+    """``a, b``: a forest of the links within each tile, from ``tile, id, n, bits``.
+
+    ``bits`` are the sorted hashes of the set if ``exact``, else its bitmap.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ids, found = None, [], []
+        current, rows = None, []
 
         def close() -> Iterator[pa.RecordBatch]:
-            if len(ids) > 1:
-                edges = Tile(ids, found, similarity).join()
+            if len(rows) > 1:
+                ids, sizes, bits = zip(*rows)
+                arrays = [np.frombuffer(b, dtype=np.uint64) for b in bits]
+                maps = [bitmap(a) for a in arrays] if exact else arrays
+                edges = Tile(ids, sizes, maps, arrays if exact else None, similarity).join()
                 if len(edges):
                     yield _edge_batch(edges)
 
         for batch in batches:
-            for tile, key, shingles in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for tile, *row in zip(*(batch.column(c).to_pylist() for c in ("tile", "id", "n", "bits"))):
                 if tile != current:
                     yield from close()
-                    current, ids, found = tile, [], []
-                ids.append(key)
-                found.append(shingles)
+                    current, rows = tile, []
+                rows.append(row)
         yield from close()
 
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
-    return sets.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, schema)
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(run, schema)
 
 
 def link_documents(
@@ -262,8 +301,8 @@ def link_documents(
     without words is linked with nothing. Texts are lower-cased in ASCII; words are runs without ASCII
     white space; a text of fewer words than ``width`` is one shingle. Other columns are not read.
 
-    The text is scanned for the set keys, scanned for the part keys, and shuffled once, to meet the
-    documents that have a candidate. Part keys move as packed blocks in buckets whose number follows the
+    The text is scanned for the set keys, scanned for the part keys, and shuffled once, for the sets
+    of the documents whose bitmaps have a similar one. Part keys move as packed blocks in buckets whose number follows the
     number of documents. Clusters beyond a tile's bounds are cut into a grid of tiles within size bands.
     """
     docs = df.select(F.col(row_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -275,18 +314,20 @@ def link_documents(
     share = 2 * (similarity.den - similarity.num) / (similarity.den + similarity.num)
     buckets = 1 + int(2.2 * share * postings / POSTINGS_PER_BUCKET)
     near = components(candidate_edges(docs.filter("id IS NOT NULL"), similarity, width, buckets))
-    members = near.join(classes, "id").select("id", "n", "component")
-    clusters = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles")).filter("members > 1")
-    placed = stage(_placed(members.join(clusters, "component"), similarity), "placed")
-    texts = docs.join(placed.select("id", F.struct("component", "tiles").alias("place")), "id")
+
+    # Ids grow with the documents: they are joined by merging at every size, not sent to all tasks.
+    placed = _placed(near.join(classes, "id"), similarity).hint("merge")
+    maps = keyed.select("id", F.col("n_shingles").alias("n"), F.col("bitmap").alias("bits"))
+    near = components(tile_links(_tiled(maps.join(placed, "id")), similarity, exact=False))
 
     def make():
         sets = with_sets(shingle_sets(width), "text")
         return lambda batch: [pa.array([s.tobytes() for s in sets(batch)], pa.binary())]
 
-    sets = add_columns(texts, [StructField("shingles", BinaryType(), False)], make).drop("text")
-    spread = sets.select(F.explode("place.tiles").alias("tile"), "id", "shingles")
-    linked = components(tile_links(spread, similarity))
+    placed = _placed(near.join(classes, "id"), similarity).hint("merge")
+    sets = add_columns(docs.join(placed, "id"), [StructField("bits", BinaryType(), False)], make).drop("text")
+    sets = sets.withColumn("n", (F.length("bits") / 8).cast("long"))
+    linked = components(tile_links(_tiled(sets), similarity, exact=True))
     vertices = classes.join(linked, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     out = keyed.join(vertices, "set_key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
@@ -294,23 +335,33 @@ def link_documents(
 
 
 def _placed(members: DataFrame, similarity: Similarity) -> DataFrame:
-    """``id, component, tiles``: the cluster as one tile, or for a large one a grid of blocks for each band.
+    """``id, tiles``: a cluster within the bounds is one tile; a larger one has tiles for each band of sizes.
 
-    In a large cluster a set takes part in its own band and in the next, where it may meet larger
-    ones, and there in the row and the column of its block, so each pair of blocks is one tile.
+    The tile of a band has its own sets and those of the band below, which may be similar to them. If
+    even these are too many, they are dealt to blocks, and each pair of blocks is a tile: a set takes
+    part in the row and in the column of its block.
     """
+    clusters = members.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    members = members.join(clusters.filter("members > 1"), "component")
     # A little wider than the similarity allows, so that rounding can't part two sets by more than one band.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(1.0001 * float(np.log(similarity.den / similarity.num))))
-    blocks = F.ceil(F.greatest(F.col("members") / F.lit(TILE_ROWS), F.col("shingles") / F.lit(TILE_SHINGLES))).cast("int")
-    rows = members.withColumn("blocks", blocks).withColumn("band", band)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-
-    def tile(band: Column, other: Column) -> Column:
-        return F.concat_ws(".", "component", band, F.least("block", other), F.greatest("block", other))
-
-    grid = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda other: F.array(tile(F.col("band"), other), tile(F.col("band") + 1, other)),
-    )
-    tiles = F.when(F.col("blocks") == 1, F.array(F.col("component").cast("string"))).otherwise(F.flatten(grid))
-    return rows.select("id", "component", tiles.alias("tiles"))
+    width = 1.0001 * float(np.log(similarity.den / similarity.num))
+    rows = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(width)).cast("int"))
+    small = (F.col("members") <= TILE_ROWS) & (F.col("shingles") <= TILE_SHINGLES)
+    whole = rows.filter(small).select("id", F.col("component").cast("string").alias("tile"))
+    rows = rows.filter(~small)
+    own = rows.groupBy("component", "band").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    below = own.select("component", (F.col("band") + 1).alias("band"), F.col("c").alias("c0"), F.col("s").alias("s0"))
+    count, shingles = (F.col(a) + F.coalesce(F.col(b), F.lit(0)) for a, b in (("c", "c0"), ("s", "s0")))
+    blocks = F.ceil(F.greatest(count / F.lit(TILE_ROWS), shingles / F.lit(TILE_SHINGLES))).cast("int").alias("blocks")
+    bands = own.join(below, ["component", "band"], "left").select("component", "band", blocks)
+    meets = rows.select("id", "component", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    meets = meets.join(bands, ["component", "band"])
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    meets = meets.select("id", "component", "band", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    tile = F.concat_ws(".", "component", "band", F.least("block", "other"), F.greatest("block", "other"))
+    placed = whole.unionByName(meets.select("id", tile.alias("tile")))
+    return stage(placed.groupBy("id").agg(F.collect_list("tile").alias("tiles")), "placed")
+
+
+def _tiled(rows: DataFrame) -> DataFrame:
+    return rows.select(F.explode("tiles").alias("tile"), "id", "n", "bits")
