@@ -232,7 +232,7 @@ def test_url_lists_follow_their_dates(spark):
         (1, "https://user@B.evil.com:80/x/y?q", 9), (2, "https://b.evil.com/x/y?q", 10), (3, "http://b.evil.com/xy", 20), (4, "http://evil.com", 35),
         (5, "http://notevil.com/", 35), (6, None, 35), (7, "nonsense", 35), (8, "http://a.com/", 41), (9, "http://evil.com", None), (4, "http://evil.com", 35),
     ]
-    df = spark.createDataFrame([(*c, "z") for c in captures], "page_id long, url string, fetched_at int, pattern string")
+    df = spark.createDataFrame([(*c, "z", 1) for c in captures], "page_id long, url string, fetched_at int, pattern string, _id int")
     listed = spark.createDataFrame(entries, "list string, pattern string, action string, at int")
     found = {r.page_id: (r.blocked, list(r.lists), r.pattern) for r in url_lists.evaluate_captures(df, listed).collect()}
     assert found[1] == (True, ["l2"], "b.evil.com/x") and found[2] == (True, ["l1", "l2"], "b.evil.com/x")

@@ -67,7 +67,7 @@ def evaluate_captures(captures: DataFrame, entries: DataFrame, row_id: str = "pa
     matched = keys.join(intervals, "pattern").filter(active)
     longest = F.min(F.struct((-F.length("pattern")).alias("less"), "pattern"))["pattern"]
     found = matched.groupBy("_id").agg(F.array_sort(F.collect_set("list")).alias("lists"), longest.alias("pattern"))
-    rows = captures.drop("blocked", "lists", "pattern")
-    rows = rows.join(found, rows[row_id] == found["_id"], "left").drop("_id")
-    lists = F.coalesce("lists", F.array().cast("array<string>"))
-    return rows.select(*captures.drop("blocked", "lists", "pattern").columns, (F.size(lists) > 0).alias("blocked"), lists.alias("lists"), "pattern")
+    rows, found = captures.drop("blocked", "lists", "pattern"), found.alias("found")
+    joined = rows.alias("rows").join(found, F.col(f"rows.{row_id}") == F.col("found._id"), "left")
+    lists = F.coalesce("found.lists", F.array().cast("array<string>"))
+    return joined.select("rows.*", (F.size(lists) > 0).alias("blocked"), lists.alias("lists"), "found.pattern")
