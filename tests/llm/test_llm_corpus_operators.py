@@ -134,7 +134,7 @@ def test_removed_bytes_equal_brute_force(spark, length, gram, hot):
         rows.append((key, text))
     rows += [(200, None), (201, ""), (202, "a" * 500), (203, "ab" * 300), (204, "xyz" * 10), (205, "Q" + "a" * 45 + "Z")]
     rows += [(None, "a" * 60), (0, rows[1][1]), (0, rows[1][1])]
-    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, n_spans string").repartition(4)
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "doc_id long, text string, n_spans string, _id int, _RUNS int").repartition(4)
     out = suffix_dedup.remove_repeats(df, length, gram, hot=hot)
     found = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()]
     assert sorted(found, key=str) == removed(rows, length)

@@ -41,6 +41,14 @@ def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatc
         yield batch.slice(first, rows)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of a column, null as the empty string."""
     return [t or "" for t in column.to_pylist()]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, ShortType, StringType, StructField, StructType
 
-from textmill.llm.arrow import slices, texts_of, with_arrays, with_fields
+from textmill.llm.arrow import free_name, slices, texts_of, with_arrays, with_fields
 from textmill.llm.hashing import mix, prefix_sums, span_hashes
 from textmill.sources.staging import stage
 
@@ -332,10 +332,11 @@ def remove_repeats(
     names = ["kept", "kept_text", "n_bytes", "n_removed", "n_spans"]
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(-1))
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = df.withColumns({"_id": key, "_mark": F.hash(value)})
+    id_, mark, spans_ = (free_name(n, df) for n in ("_id", "_mark", "_runs"))
+    rows = df.withColumns({id_: key, mark: F.hash(value)})
     docs = df.select(key.alias("id"), F.hash(value).alias("mark"), value.alias("text"))
-    runs = repeated_runs(docs, length, gram, hot).groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("_runs"))
-    joined = rows.join(runs.withColumnsRenamed({"id": "_id", "mark": "_mark"}), ["_id", "_mark"], "left").drop("_id", "_mark")
+    runs = repeated_runs(docs, length, gram, hot).groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias(spans_))
+    joined = rows.join(runs.withColumnsRenamed({"id": id_, "mark": mark}), [id_, mark], "left").drop(id_, mark)
     kinds = [BinaryType(), StringType(), LongType(), LongType(), LongType()]
     fields = [StructField(n, k, False) for n, k in zip(names, kinds)]
     schema = with_fields(df.schema, *fields)
@@ -344,7 +345,7 @@ def remove_repeats(
         for batch in batches:
             for part in slices(batch):
                 made = []
-                for value, found in zip(texts_of(part.column(text)), part.column("_runs").to_pylist()):
+                for value, found in zip(texts_of(part.column(text)), part.column(spans_).to_pylist()):
                     data = value.encode()
                     spans = merged_spans(found or [], length)
                     edges = [0, *spans.ravel().tolist(), len(data)]
