@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from textmill.llm import bpe, mixing, ngram_join, quality, suffix_dedup
+from textmill.llm.arrow import free_name
 from textmill.sources.staging import stage
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,10 +28,11 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Rows of one id are one document, of which one row stays; rows without an id stay.
     """
     links = ngram_join.link_documents(docs, ngram_join.Similarity(80, 100), width=5)
-    kept = links.filter("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left").filter("_kept IS NOT NULL OR doc_id IS NULL")
+    mark, number = free_name("_kept", docs), free_name("_row", docs)
+    kept = links.filter("component_id = doc_id").select(F.col("doc_id").alias(mark)).distinct()
+    rows = docs.join(kept, docs["doc_id"] == kept[mark], "left").filter(F.col(mark).isNotNull() | F.col("doc_id").isNull())
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return rows.withColumn("_row", first).filter("doc_id IS NULL OR _row = 1").select(docs.columns)
+    return rows.withColumn(number, first).filter(F.col("doc_id").isNull() | (F.col(number) == 1)).select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
