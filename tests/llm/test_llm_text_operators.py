@@ -35,7 +35,7 @@ def library():
 
 
 def test_prefix_programming_gives_the_ids_of_the_library(library):
-    coder, speller = bpe.coder(BYTE_BPE), bpe.spelling(BYTE_BPE)
+    coder, speller = bpe.BpeCoder(BYTE_BPE), bpe.Speller(BYTE_BPE)
     for text in odd_texts(4000):
         ids = library.encode(text, add_special_tokens=False).ids
         found = np.frombuffer(coder.encode(text), dtype="<i4")
@@ -44,7 +44,7 @@ def test_prefix_programming_gives_the_ids_of_the_library(library):
 
 
 def test_ids_that_are_not_whole_characters_decode_as_the_library_does(library):
-    speller = bpe.spelling(BYTE_BPE)
+    speller = bpe.Speller(BYTE_BPE)
     assert speller.decode(np.array([], dtype="<i4")) == ""
     for ids in ([222], [33176, 98, 50256, 0]):
         assert speller.decode(np.array(ids)) == library.decode(ids, skip_special_tokens=False)

@@ -25,6 +25,7 @@ from tokenizers import Tokenizer
 
 from textmill.llm.arrow import add_columns, lists_of, texts_of
 from textmill.llm.units import UnitCache, encode_by_units
+from textmill.llm.workers import kept_by_worker
 
 NEVER = 1 << 60
 # A word of Latin letters with its space, then marks: the pre-tokeniser cuts such a unit between the two.
@@ -86,6 +87,7 @@ class BpeCoder:
         self.known: dict[int, bool] = {}
         self.pieces = UnitCache(self.encode_piece)
         self.units = UnitCache(self.encode_unit)
+        self.speller = Speller(path)
         self.shown = {b: c for c, b in byte_alphabet().items()}
 
     def merged_before(self, a: int, b: int, until: int) -> bool:
@@ -158,16 +160,6 @@ class BpeCoder:
         return encode_by_units(text, self.marks, self.units)
 
 
-@functools.cache
-def spelling(path: str) -> Speller:
-    return Speller(path)
-
-
-@functools.cache
-def coder(path: str) -> BpeCoder:
-    return BpeCoder(path)
-
-
 def encode_bpe(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``df`` with the token ids of ``text`` as an array; ``path`` names the vocabulary on every worker.
 
@@ -179,7 +171,8 @@ def encode_bpe(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
     fields += [StructField(decoded, StringType(), False)] if decoded else []
 
     def make():
-        bpe, speller = coder(path), spelling(path)
+        bpe = kept_by_worker(BpeCoder, path)
+        speller = bpe.speller
 
         def columns(batch: pa.RecordBatch) -> list[pa.Array]:
             blobs = [bpe.encode(t) for t in texts_of(batch.column(text))]
@@ -197,7 +190,7 @@ def decode_bpe(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
     """``df`` with the text that ``ids`` spell; bytes that are not UTF-8 become U+FFFD, null ids null."""
 
     def make():
-        speller = spelling(path)
+        speller = kept_by_worker(Speller, path)
 
         def columns(batch: pa.RecordBatch) -> list[pa.Array]:
             rows = batch.column(ids)

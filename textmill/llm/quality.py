@@ -9,7 +9,6 @@ script of its letters, decide what is kept.
 
 from __future__ import annotations
 
-import functools
 import itertools
 import re
 from collections.abc import Mapping
@@ -23,6 +22,7 @@ from sentencepiece import SentencePieceProcessor
 
 from textmill.llm.arrow import add_columns, texts_of
 from textmill.llm.token_files import LibraryEncoder
+from textmill.llm.workers import kept_by_worker
 
 SYMBOLS = b"#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
@@ -71,7 +71,7 @@ class Fertility:
     out are encoded again.
     """
 
-    def __init__(self, byte_path: str, piece_path: str, limit: int = 300_000):
+    def __init__(self, byte_path: str, piece_path: str, limit: int = 120_000):
         self.bytes = LibraryEncoder(byte_path, special_as_text=True)
         self.pieces = SentencePieceProcessor(model_file=piece_path)
         vocabulary = self.bytes.library.get_vocab()
@@ -120,11 +120,6 @@ class Fertility:
         return chars / total, spelled / total, max(0.0, float(entropy))
 
 
-@functools.cache
-def fertility(byte_path: str, piece_path: str) -> Fertility:
-    return Fertility(byte_path, piece_path)
-
-
 def repeated_windows(codes: np.ndarray, distinct: int, width: int = 3) -> int:
     """Words that lie in a window of ``width`` words found twice or more; ``codes`` number the words."""
     n = len(codes)
@@ -173,7 +168,7 @@ def add_quality(
     fields += [StructField(n, DoubleType()) for n in MEASURES] + [StructField("kept", BooleanType())]
 
     def make():
-        tokens = fertility(byte_path, piece_path)
+        tokens = kept_by_worker(Fertility, byte_path, piece_path)
 
         def row(value: str, data: bytes, words: list[bytes], lang: str | None, order: dict[bytes, int], found: list) -> tuple:
             n, chars = len(words), len(value) - sum(map(value.count, WHITE))

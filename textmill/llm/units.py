@@ -35,7 +35,7 @@ class UnitCache(dict):
     The bound affects only speed: a unit that fell out is made again.
     """
 
-    def __init__(self, make, limit: int = 150_000):
+    def __init__(self, make, limit: int = 75_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
