@@ -172,6 +172,28 @@ def test_index_reaches_its_recall(spark):
         assert [r for r, _, _ in sorted(found[q])] == list(range(1, 21))
 
 
+def recall(spark, vectors, asking, **settings):
+    """The share of the 20 true neighbours of the rows ``asking`` that the index finds."""
+    df = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>").repartition(8)
+    found = collections.defaultdict(set)
+    for r in ann.nearest_neighbours(df, F.col("vec_id").isin(asking), **settings).collect():
+        found[r.query_id].add(r.vec_id)
+    scores = vectors[asking] @ vectors.T
+    scores[np.arange(len(asking)), asking] = -np.inf
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :20].tolist()
+    return np.mean([len(found[q] & set(b)) / 20 for q, b in zip(asking, best)])
+
+
+def test_index_ranks_all_that_full_blocks_hold(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_PIVOTS", 16)
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(12_000, 64))
+    vectors[:4000] = vectors[0] + 0.1 * rng.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    # With 6 posts and 8 probes of 16 files, hardly an entry is in none of the files read.
+    assert recall(spark, vectors, list(range(0, 12_000, 150))) >= 0.98
+
+
 def test_index_on_ties_bad_vectors_and_few_rows(spark):
     v = lambda *a: [None if x is None else float(x) for x in a]
     rows = [(20 * i, v(1, 2, i % 3)) for i in range(40)] + [(i, v(1, 0, 0)) for i in range(1, 10)] + [(0, v(1, 2, 0))]

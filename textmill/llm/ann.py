@@ -1,10 +1,9 @@
 """Nearest neighbours by inner product with a permutation index.
 
 A vector is represented by the nearer half of the pivots in order. It is posted in the inverted files
-of the nearest few, and a query reads the files of its own nearest pivots, which are more. What it
-finds there is ranked by the footrule distance of the two orders - how far each pivot stands from its
-place in the other - and what is near enough by it is reranked by the inner product in double precision. Inner products
-become distances by one more coordinate, which fills every vector up to the length of the longest.
+of the nearest few, and a query reads the files of its own nearest pivots, which are more. All that it
+finds there is ranked by the inner product in double precision. Inner products become distances by one
+more coordinate, which fills every vector up to the length of the longest.
 
 Equal vectors are one entry with the smallest ids, so a vector that is very common is searched once.
 Files are cut into blocks of bounded size. A query that finds too few is compared with all entries,
@@ -25,7 +24,6 @@ from textmill.sources.staging import stage
 
 MOST_PIVOTS = 256
 BLOCK_ROWS = 4096
-LEAST_RANKED = 512  # as many of a block are reranked even beyond the reach
 
 
 def usable(vector: Column) -> Column:
@@ -69,33 +67,21 @@ def add_permutation(df: DataFrame, pivots: np.ndarray, longest: float, prefix: i
 
 
 class Block:
-    """Entries of one inverted file, or of a part of it."""
+    """Entries of one inverted file, or of a part of it, and the pivots that they are posted under."""
 
-    def __init__(self, ids: np.ndarray, near: np.ndarray, vectors: np.ndarray, pivots: int, posts: int):
-        self.ids, self.vectors, self.prefix, self.posts = ids, vectors, near.shape[1], posts
-        places = np.full((len(ids), pivots), self.prefix, dtype=np.int16)
-        np.put_along_axis(places, near.astype(np.int64), np.arange(self.prefix, dtype=np.int16)[None, :], axis=1)
-        self.places = np.ascontiguousarray(places.T)
+    def __init__(self, ids: np.ndarray, posted: np.ndarray, vectors: np.ndarray, pivots: int):
+        self.ids, self.posted, self.vectors, self.pivots = ids, posted, vectors, pivots
 
-    def nearest(self, near: np.ndarray, file: int, vector: np.ndarray, k: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and products of the best ``k`` within ``reach`` of the greatest footrule distance.
+    def nearest(self, before: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and products of the best ``k``.
 
-        ``file`` counts the files that the query reads before this one; what they hold is left to them.
-        Below zero, every entry is taken.
+        ``before`` are the pivots whose files the query reads before this one; what they hold is left to them.
         """
         ids, vectors = self.ids, self.vectors
-        if file >= 0:
-            m = self.prefix
-            places = self.places[near]
-            new = np.flatnonzero((places[:file] >= self.posts).all(axis=0))
-            places = places[:, new] if len(new) < len(ids) else places
-            own = np.arange(m, dtype=np.int16)[:, None]
-            # A pivot that is absent from an order stands behind all others, at place m.
-            footrule = np.maximum(2 * places - own, own).sum(axis=0, dtype=np.int32) - m * m + m * (m + 1) // 2
-            bound = reach * m * (m + 1)
-            if len(new) > LEAST_RANKED:
-                bound = max(bound, np.partition(footrule, LEAST_RANKED)[LEAST_RANKED])
-                new = new[footrule <= bound]
+        if len(before):
+            read = np.zeros(self.pivots, dtype=bool)
+            read[before] = True
+            new = np.flatnonzero(~read[self.posted].any(axis=1))
             ids, vectors = ids[new], vectors[new]
         products = vectors @ vector
         if len(ids) > k:
@@ -106,8 +92,11 @@ class Block:
         return ids[order], products[order]
 
 
-def search_blocks(rows: DataFrame, k: int, reach: float, pivots: int, posts: int, size: int) -> DataFrame:
-    """``query, id, score`` from entries (``file`` null) and queries that meet in blocks ``pivot, salt``."""
+def search_blocks(rows: DataFrame, k: int, pivots: int, posts: int, size: int) -> DataFrame:
+    """``query, id, score`` from entries (``file`` null) and queries that meet in blocks ``pivot, salt``.
+
+    ``near`` holds the ``posts`` pivots of an entry, and of a query those whose files it reads before this one.
+    """
     schema = StructType([StructField("query", LongType()), StructField("id", LongType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,16 +109,16 @@ def search_blocks(rows: DataFrame, k: int, reach: float, pivots: int, posts: int
                     current, parts, block = (pivot[a], salt[a]), [], None
                 part = batch.slice(a, b - a)
                 ids = part.column("id").to_numpy()
-                near = part.column("near").flatten().to_numpy().reshape(b - a, -1)
+                near = part.column("near")
                 vectors = _matrix(part.column("vector"), size)
                 entries = np.array(part.column("file").is_null())
                 if entries.any():
-                    parts.append((ids[entries], near[entries], vectors[entries]))
+                    posted = near.filter(pa.array(entries)).flatten().to_numpy().reshape(-1, posts)
+                    parts.append((ids[entries], posted, vectors[entries]))
                 if entries.all() or not parts:
                     continue
-                block = block or Block(*(np.concatenate(x) for x in zip(*parts)), pivots, posts)
-                files = part.column("file").fill_null(0).to_numpy()
-                found = [(ids[i], *block.nearest(near[i], int(files[i]), vectors[i], k, reach)) for i in np.flatnonzero(~entries)]
+                block = block or Block(*(np.concatenate(x) for x in zip(*parts)), pivots)
+                found = [(ids[i], *block.nearest(near[int(i)].values.to_numpy(), vectors[i], k)) for i in np.flatnonzero(~entries)]
                 columns = [np.repeat([f[0] for f in found], [len(f[1]) for f in found]), *(np.concatenate([f[c] for f in found]) for c in (1, 2))]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=schema.names)
 
@@ -139,7 +128,7 @@ def search_blocks(rows: DataFrame, k: int, reach: float, pivots: int, posts: int
 
 def nearest_neighbours(
     df: DataFrame, queries: Column, k: int = 20, row_id: str = "vec_id", vector: str = "embedding",
-    posts: int = 6, probes: int = 40, reach: float = 0.65,
+    posts: int = 6, probes: int = 40,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found to every row for which ``queries`` holds.
 
@@ -150,7 +139,7 @@ def nearest_neighbours(
 
     Pivots are ``MOST_PIVOTS`` entries chosen by a hash of their ids, or all entries if there are fewer;
     they alone come to the driver. Every entry is indexed, in ``posts`` files; a query reads ``probes``
-    files, and ``reach`` is the share of the greatest footrule distance within which entries are reranked.
+    files, and everything in them is ranked.
     The defaults reach a recall over 0.95 even on vectors without structure in 64 dimensions.
     """
     rows = df.filter(F.col(row_id).isNotNull() & usable(F.col(vector)))
@@ -165,11 +154,11 @@ def nearest_neighbours(
     out = df.sparkSession.createDataFrame([], schema)
     for size in sorted(r[0] for r in entries.select(F.size("vector")).distinct().collect()):
         some = entries.filter(F.size("vector") == size)
-        out = out.unionByName(_search(some, asked, size, k, posts, probes, reach))
+        out = out.unionByName(_search(some, asked, size, k, posts, probes))
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(row_id), "score")
 
 
-def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int, probes: int, reach: float) -> DataFrame:
+def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int, probes: int) -> DataFrame:
     longest = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     count, most, names = entries.agg(F.count("*"), F.max(longest), F.sum(F.size("ids"))).head()
     number = min(count, MOST_PIVOTS)
@@ -185,11 +174,11 @@ def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int,
 
     def dealt(entry_rows: DataFrame) -> DataFrame:
         rows = entry_rows.join(files, "pivot").withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int"))
-        return rows.select("pivot", "salt", "id", "near", "vector", F.lit(None).cast("int").alias("file"))
+        return rows.select("pivot", "salt", "id", F.slice("near", 1, posts).alias("near"), "vector", F.lit(None).cast("int").alias("file"))
 
     def asking(query_rows: DataFrame) -> DataFrame:
         rows = query_rows.join(files, "pivot")
-        return rows.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", "near", "vector", "file")
+        return rows.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", F.slice("near", 1, F.greatest("file", F.lit(0))).alias("near"), "vector", "file")
 
     def top(found: DataFrame) -> DataFrame:
         best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
@@ -206,7 +195,7 @@ def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int,
 
     asks = wanted.select("id", "near", "vector", F.posexplode(F.slice(F.col("near").cast("array<int>"), 1, probes)).alias("file", "pivot"))
     met = dealt(posted).unionByName(asking(asks))
-    first = stage(named(top(search_blocks(met, k + 1, reach, number, posts, size))), "first")
+    first = stage(named(top(search_blocks(met, k + 1, number, posts, size))), "first")
     short = F.size("near") < min(k, names - 1)
     lacking = stage(first.filter(short).select("id").distinct(), "lacking")
     found = first
@@ -214,7 +203,7 @@ def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int,
         home = indexed.select("id", "near", "vector", F.element_at("near", 1).cast("int").alias("pivot"))
         every = F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias("pivot")
         again = wanted.join(lacking, "id", "left_semi").select("id", "near", "vector", every, F.lit(-1).alias("file"))
-        whole = named(top(search_blocks(dealt(home).unionByName(asking(again)), k + 1, reach, number, posts, size)))
+        whole = named(top(search_blocks(dealt(home).unionByName(asking(again)), k + 1, number, posts, size)))
         found = first.filter(~short).unionByName(whole.join(lacking, "id", "left_semi").select(first.columns))
     ranked = found.select("query_id", F.posexplode("near").alias("place", "one"))
     return ranked.select("query_id", (F.col("place") + 1).cast("long").alias("rank"), "one.vec_id", (-F.col("one.less")).alias("score"))
