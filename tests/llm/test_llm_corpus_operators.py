@@ -194,6 +194,24 @@ def test_index_ranks_all_that_full_blocks_hold(spark, monkeypatch):
     assert recall(spark, vectors, list(range(0, 12_000, 150))) >= 0.98
 
 
+@pytest.mark.parametrize("spread", [0.5, 1.0])
+def test_index_reaches_its_recall_on_unequal_lengths(spark, spread):
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(6000, 64))
+    vectors *= rng.lognormal(0, spread, 6000)[:, None] / np.linalg.norm(vectors, axis=1)[:, None]
+    assert recall(spark, vectors, list(range(0, 6000, 40))) >= 0.93
+
+
+def test_queries_far_from_all_that_they_read_lose_no_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_PIVOTS", 16)
+    vectors = np.concatenate([np.full((400, 2), 9.0) + np.random.default_rng(8).normal(size=(400, 2)), np.full((40, 2), -0.01)])
+    vectors[400:] *= np.arange(1, 41)[:, None]
+    assert recall(spark, vectors, list(range(0, 440, 4)), posts=1, probes=1, share=0.0) > 0.0
+    df = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    found = ann.nearest_neighbours(df, F.col("vec_id") % 4 == 0, posts=1, probes=1, share=0.0).groupBy("query_id").count().collect()
+    assert sorted(map(tuple, found)) == [(k, 20) for k in range(0, 440, 4)]
+
+
 def test_index_on_ties_bad_vectors_and_few_rows(spark):
     v = lambda *a: [None if x is None else float(x) for x in a]
     rows = [(20 * i, v(1, 2, i % 3)) for i in range(40)] + [(i, v(1, 0, 0)) for i in range(1, 10)] + [(0, v(1, 2, 0))]
