@@ -262,6 +262,27 @@ def test_mix_meets_its_targets(spark):
     assert mixing.mix_sources(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("share", [0.3, 0.55, 0.6, 1.3])
+def test_a_dominant_document_does_not_keep_a_source_from_its_target(spark, share):
+    rng = random.Random(9)
+    cells = [(f"a{name}", rng.randint(5, 200), k % 64, 1) for name in "xy" for k in range(1000)] + [("ax", 400_000, 0, 1)]
+    total = collections.Counter()
+    cells = [(*k, n) for k, n in collections.Counter(c[:3] for c in cells).items()]
+    for key, size, _, n in cells:
+        total[key] += n * size
+    cells = spark.createDataFrame(cells, "key string, size long, cell long, n long")
+    targets = spark.createDataFrame([(k, float(v), share * v) for k, v in total.items()], "key string, source_size double, target double")
+    found = mixing.cell_copies(cells, cells.groupBy("key", "size").agg(F.sum("n").alias("n")), targets, 3).collect()
+    taken = collections.Counter()
+    for r in found:
+        assert 0 <= r.copies <= 3 * r.n
+        taken[r.key] += r.copies * r["size"]
+    most = 3 * (total["ax"] - 400_000)
+    for key in total:
+        reachable = share * total[key] if key == "ay" or share > 1 else min(share * total[key], most)
+        assert abs(taken[key] - reachable) <= 5
+
+
 def test_url_lists_follow_their_dates(spark):
     entries = [
         ("l1", "Evil.com.", "add", 10), ("l1", "evil.com", "remove", 20), ("l1", "evil.com", "add", 30), ("l1", "evil.com", "add", 30),

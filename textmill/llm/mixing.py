@@ -8,7 +8,9 @@ so a Newton step costs a pass over distinct sizes, whatever the number of docume
 that holds a third of all rows is no larger a group than any other.
 
 Rates become whole copies by systematic rounding along the sizes; what the source's sum then still
-misses is mended by the documents whose sizes fit it best. The same table gives the same copies.
+misses is taken or returned from the large sizes to the small, until it is below the smallest size
+that has room. Where larger sizes stand in the way, one document is swapped for smaller ones. The
+same table gives the same copies.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from textmill.sources.staging import stage
 
 WORDS = r"[^\x20\x09-\x0D]+"
 NEWTON_STEPS = 16
-REPAIR_STEPS = 8
 SALT = 64  # rows of one source and size are dealt to this many cells
 
 
@@ -80,6 +81,35 @@ def tilts(histogram: DataFrame, targets: DataFrame, cap: float, steps: int = NEW
     return rows.groupBy("key").agg(F.first("tilt").alias("tilt"))
 
 
+def _room(cap: int) -> Column:
+    """Copies that a cell can still take, or return if its source has too much."""
+    return F.when(F.col("missing") > 0, cap * F.col("n") - F.col("copies")).otherwise(F.col("copies"))
+
+
+def mended(rows: DataFrame, cap: int) -> DataFrame:
+    """``rows`` (staged) with ``copies`` and ``missing`` after each source took or returned, from large sizes to small, what fits.
+
+    A round goes down the sizes that fit as far as whole cells fit, and takes what fits of the next one.
+    Its first document fits, and what is missing after it is below half of what was missing before, so
+    there are as many rounds as the largest miss has binary digits.
+    """
+    every = Window.partitionBy("key")
+    along = every.orderBy(F.desc("size"), "cell").rowsBetween(Window.unboundedPreceding, 0)
+    most = rows.agg(F.max(F.abs("missing"))).head()[0] or 0
+    for number in range(int(most).bit_length()):
+        room = F.when((F.col("size") > 0) & (F.col("size") <= F.abs("missing")), _room(cap)).otherwise(F.lit(0))
+        rows = rows.withColumn("room", room).withColumn("upto", F.sum(F.col("room") * F.col("size")).over(along))
+        left = F.abs("missing") - (F.col("upto") - F.col("room") * F.col("size"))
+        crossing = (F.col("upto") > F.abs("missing")) & (left >= 0)
+        change = F.when(F.col("upto") <= F.abs("missing"), F.col("room")).when(crossing, F.floor(left / F.col("size"))).otherwise(F.lit(0))
+        change = F.when(F.col("room") > 0, change).otherwise(F.lit(0)) * F.signum("missing")
+        rows = rows.withColumn("change", change.cast("long")).withColumn("copies", F.col("copies") + F.col("change"))
+        rows = rows.withColumn("missing", F.col("missing") - F.sum(F.col("change") * F.col("size")).over(every)).drop("room", "upto", "change")
+        if number % 8 == 7:
+            rows = stage(rows, "round")  # plans stay short
+    return rows
+
+
 def cell_copies(cells: DataFrame, histogram: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
     """``key, size, cell, n, copies``: the copies of all documents of a cell together."""
     every = Window.partitionBy("key")
@@ -96,15 +126,22 @@ def cell_copies(cells: DataFrame, histogram: DataFrame, targets: DataFrame, cap:
     copies = F.least(F.greatest(F.col("n") * F.col("base") + extra, F.lit(0)), cap * F.col("n"))
     rows = rows.withColumn("copies", copies.cast("long"))
     rows = rows.withColumn("missing", F.round("target") - F.sum(F.col("copies") * F.col("size")).over(every))
-    for _ in range(REPAIR_STEPS):
-        room = F.when(F.col("missing") > 0, cap * F.col("n") - F.col("copies")).otherwise(F.col("copies"))
-        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("missing")) & (room > 0)
-        rows = rows.withColumn("best", F.max(F.when(fits, F.struct("size", "cell"))).over(every))
-        chosen = F.col("best").isNotNull() & (F.col("best") == F.struct("size", "cell"))
-        change = F.least(room, F.floor(F.abs("missing") / F.col("size"))) * F.signum("missing")
-        rows = rows.withColumn("change", F.when(chosen, change).otherwise(0).cast("long"))
-        rows = rows.withColumn("missing", F.col("missing") - F.sum(F.col("change") * F.col("size")).over(every))
-        rows = rows.withColumn("copies", F.col("copies") + F.col("change"))
+    rows = mended(stage(rows.select("key", "size", "cell", "n", "copies", "missing"), "rounded"), cap)
+    # Of a source that no fitting size can mend, one document of the next larger size changes, and smaller ones make up for it.
+    change = F.signum("missing").cast("long")
+    other = (F.col("size") > F.abs("missing")) & (_room(cap) > 0)
+    swap = F.min(F.when(other, F.struct("size", "cell"))).over(every)
+    least = F.min(F.when(F.col("size") > 0, F.col("size"))).over(every)
+    rows = stage(rows.withColumns({"swap": swap, "open": F.abs("missing") >= least}), "mended")
+    if not rows.filter("open AND swap IS NOT NULL").isEmpty():
+        chosen = F.col("open") & F.coalesce(F.col("swap") == F.struct("size", "cell"), F.lit(False))
+        moved = F.col("open") & F.col("swap").isNotNull()
+        rows = rows.withColumns({"first_copies": F.col("copies"), "first_missing": F.col("missing")})
+        rows = rows.withColumn("copies", F.col("copies") + F.when(chosen, change).otherwise(F.lit(0)))
+        rows = rows.withColumn("missing", F.col("missing") - F.when(moved, change * F.col("swap.size")).otherwise(F.lit(0)))
+        rows = mended(stage(rows, "swapped"), cap)
+        better = F.abs("missing") < F.abs("first_missing")
+        rows = rows.withColumn("copies", F.when(better, F.col("copies")).otherwise(F.col("first_copies")))
     return rows.select("key", "size", "cell", "n", "copies")
 
 
