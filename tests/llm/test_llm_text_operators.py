@@ -176,6 +176,32 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+ARTICLE = "<p>One, two, three and four make ten, he said.</p><p>Five, six, and seven make eighteen, I said.</p>"
+ARTICLE_TEXT = "One, two, three and four make ten, he said.\n\nFive, six, and seven make eighteen, I said."
+COMMENTS = "<p>Nice, very nice, truly.</p>" * 20
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div id=page class='has-sidebar'><div>{ARTICLE}</div></div></body>",
+        f"<div class='site header-fixed'><div class=no-sidebar><div class=sidebar><p>Side, side.</p></div><div>{ARTICLE}</div></div></div>",
+        f"<body><form action=x><div>{ARTICLE}</div><nav>n</nav></form><p><a href=x>Home, news</a></p></body>",
+        f"<form class=toolbar><fieldset><div>{ARTICLE}</div></fieldset></form><footer>f</footer>",
+        f"<div class=popup><p><a href=x>a</a></p></div><form><div>{ARTICLE}</div><div class=comments><p>No.</p></div></form>",
+        f"<div><div>{ARTICLE}</div></div><div class=comments>{COMMENTS}</div>",
+        f"<div class=with-menu><div>{ARTICLE}</div><div class=comments>{COMMENTS.replace('<p>', '<p class=comment>')}</div></div>",
+    ],
+)
+def test_wrappers_with_unlikely_names_keep_the_article(page):
+    assert html_extract.main_text(page) == ARTICLE_TEXT
+
+
+def test_a_page_of_unlikely_names_only_still_has_a_text():
+    page = "<div class=promo><p>One, two.</p></div><div class=widget><p>Three, four, five.</p></div>"
+    assert "Three, four, five." in html_extract.main_text(page)
+
+
 def test_pages_of_the_tables_give_their_article(spark):
     import html as decode
 

@@ -4,7 +4,8 @@ A page is read into a tree of its elements. Every block of text earns points for
 commas and passes them to the elements around it: all to the nearest container, half to the next,
 ever less further up. A container's points are discounted by the share of its text that lies in
 links. The best container is the article; siblings that score well enough, or that are plainly
-paragraphs, belong to it. Menus, forms, adverts, comments and the like take no part.
+paragraphs, belong to it. Menus, forms, adverts, comments and the like take no part, unless what is
+named so is a wrapper that holds the page's text.
 """
 
 from __future__ import annotations
@@ -54,6 +55,7 @@ UNLIKELY = frozenset(
     "sidebar social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search".split())
+WRAPPERS = frozenset("fieldset form".split())  # of DROPPED, those that pages put around everything
 SPARED = frozenset("article body html main".split())
 
 _TOKEN = re.compile(
@@ -66,11 +68,12 @@ _SENTENCE = re.compile(r"[.!?。！？](?:\s|\Z)")
 
 
 class Element:
-    __slots__ = ("name", "parent", "dropped", "points", "chars", "linked", "order", "chosen")
+    __slots__ = ("name", "parent", "dropped", "points", "chars", "linked", "order", "chosen", "doubt", "loose")
 
     def __init__(self, name: str, parent: Element | None, dropped: bool, order: int):
         self.name, self.parent, self.dropped, self.order = name, parent, dropped, order
         self.points, self.chars, self.linked, self.chosen = 0.0, 0, 0, False
+        self.doubt, self.loose = 0, 0  # what _unlikely says, and characters outside links, dropped ones too
 
     def density(self) -> float:
         return self.linked / self.chars if self.chars else 0.0
@@ -85,19 +88,51 @@ class Block:
         self.owner, self.text, self.linked = owner, text, linked
 
 
-def _unlikely(name: str, attributes: str) -> bool:
-    if name in DROPPED:
-        return True
+def _unlikely(name: str, attributes: str) -> int:
+    """0: may be the article, 1: is not, unless it turns out to wrap it, 2: is not."""
+    if name in DROPPED and name not in WRAPPERS:
+        return 2
     if not attributes or name in SPARED:
-        return False
+        return int(name in WRAPPERS)
     found = {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
     words = re.split(r"[^a-z0-9]+", f"{found.get('class', '')} {found.get('id', '')}".lower())
     hidden = "hidden" in found or "display:none" in re.sub(r"\s", "", found.get("style", "").lower())
-    return hidden or found.get("role", "").lower() in ROLES or not UNLIKELY.isdisjoint(words)
+    if hidden:
+        return 2
+    return int(name in WRAPPERS or found.get("role", "").lower() in ROLES or not UNLIKELY.isdisjoint(words))
 
 
-def parse(page: str) -> tuple[list[Element], list[Block]]:
-    """Elements in page order, each after its parent, and the blocks of those that are not dropped."""
+def wrappers(elements: list[Element]) -> set[int]:
+    """The places of elements that are dropped by name, class or role but wrap the page's text, and of those around them.
+
+    Text outside links counts, without what is dropped within an element. A wrapper holds more of it
+    than any other such element, and more than all that is dropped nowhere if it has a main heading,
+    nine times as much if not. So a long list of comments below a shorter article is no wrapper.
+    """
+    weight, main, hard = [e.loose for e in elements], [e.name in ("main", "h1") for e in elements], [False] * len(elements)
+    for element in elements[1:]:
+        hard[element.order] = hard[element.parent.order] or element.doubt == 2
+    for element in reversed(elements[1:]):
+        if not element.doubt:
+            weight[element.parent.order] += weight[element.order]
+            main[element.parent.order] |= main[element.order]
+    found = [e for e in elements if e.doubt == 1 and weight[e.order] and not hard[e.order]]
+    most = max((weight[e.order] for e in found), default=0)
+    spared = set()
+    for element in found:
+        own = weight[element.order]
+        if own == most and (main[element.order] and own > weight[0] or own >= 9 * weight[0]):
+            while element is not None:
+                spared.add(element.order)
+                element = element.parent
+    return spared
+
+
+def parse(page: str, spared: set[int] | frozenset[int] = frozenset()) -> tuple[list[Element], list[Block]]:
+    """Elements in page order, each after its parent, and the blocks of those that are not dropped.
+
+    ``spared`` are places in that order of elements that only a class, a role or a form would drop.
+    """
     root = Element("html", None, False, 0)
     elements, blocks, stack = [root], [], [root]
     links, text, linked, owner = 0, [], 0, root
@@ -112,6 +147,8 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
 
     def add_text(value: str) -> None:
         nonlocal linked, owner
+        if value and not links:
+            stack[-1].loose += len(value.strip())
         if value and not stack[-1].dropped:
             if not text:
                 holder = stack[-1]
@@ -166,8 +203,10 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
         if name == "a" and links:
             close_open({"a"}, P_SCOPE)
         inside = any(e.name == "article" for e in stack) if name == "header" else False
-        dropped = stack[-1].dropped or (name == "header" and not inside) or _unlikely(name, attributes)
+        doubt = 2 if name == "header" and not inside else _unlikely(name, attributes)
+        dropped = stack[-1].dropped or doubt == 2 or (doubt == 1 and len(elements) not in spared)
         element = Element(name, stack[-1], dropped, len(elements))
+        element.doubt = doubt
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             at = end.end() if end else len(page)
@@ -202,6 +241,16 @@ def _score(elements: list[Element], blocks: list[Block]) -> None:
 def main_text(page: str) -> str:
     """The article of the page, its blocks joined by blank lines; empty if there is none."""
     elements, blocks = parse(page)
+    if spared := wrappers(elements):
+        elements, blocks = parse(page, spared)
+    text = _article(elements, blocks)
+    if not text and any(e.doubt == 1 and e.dropped for e in elements):
+        # Nothing is left: names and forms do not tell the article of this page from the rest.
+        text = _article(*parse(page, {e.order for e in elements if e.doubt == 1}))
+    return text
+
+
+def _article(elements: list[Element], blocks: list[Block]) -> str:
     if not blocks:
         return ""
     _score(elements, blocks)
