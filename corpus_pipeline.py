@@ -6,6 +6,8 @@ to the cluster's shared folder and read again as the documents of the next stage
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -17,6 +19,21 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+READ = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def with_own_columns(function):
+    """``function`` with the columns that no stage reads under free names, so that no operator's column replaces them."""
+
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        aside = {c: free_name(f"_own{number}", docs) for number, c in enumerate(docs.columns) if c.lower() not in READ}
+        return function(spark, docs.withColumnsRenamed(aside), sf_dir).withColumnsRenamed({b: a for a, b in aside.items()})
+
+    return run_stage
+
+
+@with_own_columns
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules accept."""
     return quality.add_quality(docs, BYTE_BPE, PIECE_BPE).filter("kept").select(docs.columns)
@@ -35,6 +52,7 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return rows.withColumn(number, first).filter(F.col("doc_id").isNull() | (F.col(number) == 1)).select(docs.columns)
 
 
+@with_own_columns
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings of 400 bytes that stand elsewhere too; a text of which nothing is left goes."""
     cut = suffix_dedup.remove_repeats(docs).filter("n_removed = 0 OR trim(kept_text) <> ''")
@@ -45,6 +63,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumns(columns).select(docs.columns)
 
 
+@with_own_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's share of the mix takes it."""
     return mixing.repeat_rows(mixing.mix_sources(docs), docs.columns)

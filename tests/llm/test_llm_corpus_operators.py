@@ -344,3 +344,15 @@ def test_pipeline_stages_equal_brute_force(spark):
     assert all(d.columns == columns for d in (kept, single, cut, mixed))
     out = stages["BPE encoding and decoding"](spark, mixed, SF)
     assert out.filter("NOT round_trip").count() == 0 and out.count() == sum(times.values())
+
+
+def test_pipeline_stages_keep_columns_that_operators_also_make(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["size", "target", "copies", "kept", "n_words", "n_removed"]
+    own = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in names})
+    stages = dict(corpus_pipeline.STAGES)
+    for stage in ("quality rules", "suffix-array dedup", "mixing sources to target weights"):
+        out = stages[stage](spark, own, SF)
+        assert out.columns == own.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
