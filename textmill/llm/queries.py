@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import ann, bpe, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, url_lists, warc
+from textmill.llm import ann, bpe, conversations, hard_negatives, html_extract, mixing, ngram_join, quality, suffix_dedup, token_files, url_lists, vector_file, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,3 +179,135 @@ def op3_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched_at", F.expr(FETCHED))
     return url_lists.evaluate_captures(captures, list_entries(pages)).withColumn("lists", F.array_join("lists", ","))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with the faults that a checksum of their place gives them."""
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    case = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn"))) % 20
+    text = F.when(case == 1, "").when(case == 2, F.translate(shown("text"), ".!?", "")).otherwise(shown("text"))
+    role = F.when(case == 4, "user").otherwise(shown("role"))
+    times = F.array_repeat(F.lit(0), F.when(case == 0, 0).when(case == 3, 2).otherwise(1))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("_copy")).drop("_copy")
+
+
+# The damage, then a step for each row with the cheapest audit that ends in each of the four states;
+# a pair of cost and audit compares by cost and then by the audit's bytes.
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], list_transform(range(strlen(name)), lambda i: ascii(substr(name, CAST(i + 1 AS BIGINT), 1))::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 1, 2, 3, 4, 5, 6, 7, 8], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+
+def _least(*ways: str) -> str:
+    """The least of several pairs of which some are null."""
+    return f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))"
+
+
+def _step(state: str, cost: str, edit: str, when: str = "true") -> str:
+    return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edit}'}} END"
+
+
+_REPAIR = f"""WITH RECURSIVE plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+cases AS (SELECT *, xor({_CRC}, 4294967295) % 20 AS k FROM plain),
+bad AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM cases WHERE k <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM bad),
+rows AS (
+  SELECT *, CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE 'x' END AS r,
+    CASE WHEN body = '' THEN 'blank' WHEN seen > 1 THEN 'old' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'cut' ELSE 'whole' END AS kind FROM placed),
+stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+    count(*) FILTER (kind = 'old') AS duplicate, count(*) FILTER (kind = 'cut') AS truncated, max(i) AS n FROM rows GROUP BY conv_id),
+pairs AS (
+  SELECT conv_id, count(*) FILTER (two IS NOT NULL AND two NOT IN ('su', 'ua', 'au')) AS illegal FROM (
+    SELECT conv_id, r || lead(r) OVER (PARTITION BY conv_id ORDER BY i) AS two FROM rows) GROUP BY conv_id),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR)) AS s1,
+    {{'c': 2::BIGINT, 'a': 'I'}} AS s2, {{'c': 4::BIGINT, 'a': 'II'}} AS s3 FROM (SELECT DISTINCT conv_id FROM rows)
+  UNION ALL
+  SELECT conv_id, i, s0, s1, u2, {_least("s3", _step("u2", "2", "I"))} FROM (
+    SELECT *, {_least("s2", _step("s0", "2", "I"), _step("s1", "2", "I"), _step("s3", "2", "I"))} AS u2 FROM (
+      SELECT w.conv_id, t.i, {_step("s0", "3", "D")} AS s0,
+        {_least(_step("s1", "3", "D"), _step("s0", "x", "K", "ok AND r = 's'"))} AS s1,
+        {_least(_step("s2", "3", "D"), *(_step(s, "x", "K", "ok AND r = 'u'") for s in ("s0", "s1", "s3")), *(_step(s, "x + 2", "R", "ok") for s in ("s0", "s1", "s3")))} AS s2,
+        {_least(_step("s3", "3", "D"), _step("s2", "x", "K", "ok AND r = 'a'"), _step("s2", "x + 2", "R", "ok"))} AS s3
+      FROM walk w JOIN (SELECT *, kind IN ('cut', 'whole') AS ok, CASE WHEN kind = 'cut' THEN 1::BIGINT ELSE 0::BIGINT END AS x FROM rows) t
+        ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i + 1))),
+done AS (
+  SELECT w.conv_id, {_least("s0", "s3")} AS best FROM walk w JOIN stats s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i),
+letters AS (SELECT conv_id, best.a AS a, unnest(range(strlen(best.a))) + 1 AS p FROM done),
+marks AS (
+  SELECT conv_id, p, substr(a, CAST(p AS BIGINT), 1) AS e,
+    count(*) FILTER (substr(a, CAST(p AS BIGINT), 1) <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM letters),
+kept AS (
+  SELECT m.conv_id, m.p, m.e, CASE WHEN m.e <> 'I' THEN t.role END AS role, CASE WHEN m.e = 'I' THEN '' ELSE t.text END AS text, t.r,
+    m.e = 'K' AND t.r = 's' AS system FROM marks m LEFT JOIN rows t ON t.conv_id IS NOT DISTINCT FROM m.conv_id AND t.i = m.i WHERE m.e <> 'D'),
+turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY p) - max(CAST(system AS INTEGER)) OVER (PARTITION BY conv_id) AS q FROM kept),
+lines AS (
+  SELECT conv_id, string_agg(CASE WHEN e = 'K' THEN role WHEN q % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS said
+  FROM turns GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN pairs p ON p.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
+
+@query("op11_repair_conversations", _REPAIR)
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    reports, turns = conversations.repair(damaged(talks))
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    said = conversations.joined_digests(turns).withColumnRenamed("k", "_key")
+    found = reports.join(said, reports["k"] == said["_key"], "left").drop("k", "_key")
+    names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = found.withColumn("repaired_sha256", F.coalesce("repaired_sha256", none)).withColumnRenamed("conv_id", "_id")
+    every = talks.select("conv_id").distinct()
+    joined = every.join(found, every["conv_id"].eqNullSafe(found["_id"]), "left")
+    columns = [F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in names]
+    return joined.select("conv_id", *columns, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", none).alias("repaired_sha256"))
+
+
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"
+_USABLE = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+@query(
+    "op12_hard_negatives",
+    f"""WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS v
+  FROM embeddings WHERE label IS NOT NULL AND {_USABLE}),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives JOIN scores s USING (anchor_id)
+WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5""",
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query(
+    "op13_vector_file",
+    f"""WITH rows AS (SELECT vec_id, {_WHOLE} AS v FROM embeddings WHERE {_USABLE}),
+scores AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scores
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
+)
+def op13_vector_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_file.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
