@@ -282,8 +282,8 @@ def repair(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: st
     )
     stats = stage(stats, "stats")
     symbol = F.when(F.col("kind").isin("blank", "old"), "d").when(F.col("kind") == "cut", F.upper("initial")).otherwise(F.col("initial"))
-    order = ["k", "turn", "role", "digest"]
-    laid = marked.join(stats.select("k", "entries"), "k").withColumn("symbol", symbol).repartitionByRange(*order).sortWithinPartitions(*order)
+    order, tasks = ["k", "turn", "role", "digest"], int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = marked.join(stats.select("k", "entries"), "k").withColumn("symbol", symbol).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     parts = stage(segments(laid.select("k", "turn", "digest", "n", "initial", "symbol", "entries")), "segments")
     chosen = parts.join(choices(parts.filter("NOT whole")), ["k", "place"], "left")
     solved = stage(edits(chosen), "edits")

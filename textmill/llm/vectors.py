@@ -10,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from textmill.llm.arrow import slices
 from textmill.sources.staging import stage
 
 LARGEST = 1 << 26  # components saturate here, so that products of 2,048 of them fit 64 bits
@@ -105,8 +106,8 @@ def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        for i in range(batch.num_rows):
-            yield {n: batch.column(k)[i].as_py() for k, n in enumerate(batch.schema.names)}
+        for part in slices(batch):
+            yield from part.to_pylist()
 
 
 def exact_products(matrix: np.ndarray, vectors: np.ndarray) -> np.ndarray:
