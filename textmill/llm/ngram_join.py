@@ -133,19 +133,37 @@ def set_keys(df: DataFrame, text: str, width: int) -> DataFrame:
     return add_columns(df, fields, make)
 
 
+def forest(edges: np.ndarray) -> np.ndarray:
+    """Edges from each vertex to the smallest that it reaches: the same components by one edge for each vertex but one."""
+    if not len(edges):
+        return edges
+    vertices, ends = np.unique(edges, return_inverse=True)
+    ends, root = ends.reshape(-1, 2), np.arange(len(vertices))
+    while len(ends):
+        low = ends.min(axis=1)
+        for side in (0, 1):
+            np.minimum.at(root, ends[:, side], low)
+        while not np.array_equal(jump := root[root], root):
+            root = jump
+        ends = root[ends]
+        ends = np.unique(ends[ends[:, 0] != ends[:, 1]], axis=0)
+    out = np.stack([vertices, vertices[root]], axis=1)
+    return out[out[:, 0] != out[:, 1]]
+
+
 def _pairs_with_least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by key and id; the first row of each key, and the edges from its other ids to the smallest."""
+    """Order by key and id; the first row of each key, and a forest of the ids that have keys in common."""
     order = np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     first = np.concatenate([[True], keys[1:] != keys[:-1]])
     least = ids[np.flatnonzero(first)][np.cumsum(first) - 1]
     other = ids != least
-    edges = np.unique(np.stack([ids[other], least[other]], axis=1), axis=0) if other.any() else np.empty((0, 2), np.int64)
+    edges = forest(np.unique(np.stack([ids[other], least[other]], axis=1), axis=0)) if other.any() else np.empty((0, 2), np.int64)
     return keys[first], ids[first], edges
 
 
 def candidate_edges(docs: DataFrame, similarity: Similarity, width: int, buckets: int) -> DataFrame:
-    """``a, b``: documents with an equal part, each joined to the smallest id that has it.
+    """``a, b``: a forest, for each bucket of keys, of the documents with equal parts.
 
     A batch sends one block for each bucket of keys. The bucket is part of the key, so 40 more bits
     of it suffice; a chance match only adds a candidate. Edges found within a batch travel along.

@@ -16,12 +16,13 @@ hash, with counts combined before the shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, ShortType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, ShortType, StringType, StructField, StructType
 
 from textmill.llm.arrow import free_name, slices, texts_of, with_arrays, with_fields
 from textmill.llm.hashing import mix, prefix_sums, span_hashes
@@ -31,6 +32,8 @@ SHALLOW = 32
 HOT_CONTEXTS = 20_000
 CHUNK = 1 << 20
 WORD = 8
+WHITE = b" \t\n\x0b\x0c\r"
+WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def shared_prefix(a: bytes, b: bytes, start: int = 0) -> int:
@@ -184,9 +187,9 @@ def anchors(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarr
 
 ANCHOR = StructType(
     [StructField("gram", LongType()), StructField("context", LongType()), StructField("id", LongType())]
-    + [StructField("mark", IntegerType()), StructField("place", LongType()), StructField("low", ShortType()), StructField("high", ShortType())]
+    + [StructField("mark", LongType()), StructField("place", LongType()), StructField("low", ShortType()), StructField("high", ShortType())]
 )
-RUN = StructType([StructField("id", LongType()), StructField("mark", IntegerType()), StructField("first", LongType()), StructField("last", LongType())])
+RUN = StructType([StructField("id", LongType()), StructField("mark", LongType()), StructField("first", LongType()), StructField("last", LongType())])
 
 
 def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -198,7 +201,7 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     for grams, contexts, places, low, high in anchors(np.frombuffer(text.encode(), np.uint8), length, gram):
                         n = len(grams)
                         made = (grams.view(np.int64), contexts.view(np.int64), np.full(n, key, np.int64))
-                        made += (np.full(n, mark, np.int32), places, low.astype(np.int16), high.astype(np.int16))
+                        made += (np.full(n, mark, np.int64), places, low.astype(np.int16), high.astype(np.int16))
                         for column, values in zip(columns, made):
                             column.append(values)
                 if columns[0]:
@@ -220,7 +223,7 @@ def context_rows(texts: DataFrame, length: int) -> DataFrame:
                     for w in wanted:
                         span = data[w["place"] - w["high"] : w["place"] - w["low"] + length]
                         rows.append((w["gram"], key, mark, w["place"], w["low"], w["high"], span))
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
                 if rows:
                     yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=schema.names)
 
@@ -256,12 +259,12 @@ def sorted_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _runs(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=RUN.names)
+    return pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=RUN.names)
 
 
 def counted_runs(contexts: DataFrame, length: int) -> DataFrame:
     """The same for grams with very many contexts: every window by two 64-bit hashes, counted before the shuffle."""
-    schema = StructType([StructField("h1", LongType()), StructField("h2", LongType()), StructField("id", LongType()), StructField("mark", IntegerType()), StructField("first", LongType())])
+    schema = StructType([StructField("h1", LongType()), StructField("h2", LongType()), StructField("id", LongType()), StructField("mark", LongType()), StructField("first", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,7 +272,7 @@ def counted_runs(contexts: DataFrame, length: int) -> DataFrame:
                 part = np.frombuffer(data, np.uint8)
                 starts = np.arange(high - low + 1)
                 hashes = [span_hashes(prefix_sums(part, seed), starts, starts + length).view(np.int64) for seed in (2, 3)]
-                columns = [*hashes, np.full(len(starts), key, np.int64), np.full(len(starts), mark, np.int32), starts + (place - high)]
+                columns = [*hashes, np.full(len(starts), key, np.int64), np.full(len(starts), mark, np.int64), starts + (place - high)]
                 yield pa.record_batch([pa.array(c) for c in columns], names=schema.names)
 
     windows = contexts.mapInArrow(run, schema)
@@ -288,6 +291,15 @@ def merged_spans(runs: list[dict], length: int) -> np.ndarray:
     return np.stack([spans[first, 0], reach[last]], axis=1)
 
 
+def whole_words(data: bytes, start: int, stop: int) -> int:
+    """Words of which every byte lies in the span; words are runs without ASCII white space."""
+    while 0 < start < stop and data[start] not in WHITE and data[start - 1] not in WHITE:
+        start += 1
+    while start < stop < len(data) and data[stop] not in WHITE and data[stop - 1] not in WHITE:
+        stop -= 1
+    return len(WORDS.findall(data, start, stop))
+
+
 def repeated_runs(docs: DataFrame, length: int, gram: int, hot: int = HOT_CONTEXTS) -> DataFrame:
     """``id, mark, first, last`` from ``id, mark, text``: every start of a repeated window lies in a run."""
     found = stage(anchor_rows(docs, length, gram), "anchors")
@@ -315,14 +327,16 @@ def repeated_runs(docs: DataFrame, length: int, gram: int, hot: int = HOT_CONTEX
 
 def remove_repeats(
     df: DataFrame, length: int = 400, gram: int = 128, row_id: str = "doc_id", text: str = "text", hot: int = HOT_CONTEXTS,
+    least_words: int = 0,
 ) -> DataFrame:
     """``df`` with ``kept`` (bytes), ``kept_text``, ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed spans).
 
     ``kept_text`` is ``kept`` without the bytes of characters of which only a part is left.
 
     Every byte goes that a ``length``-byte string covers which starts anywhere else too, in the same
-    text or another, judged on the texts as given; matches never cross texts. ``row_id`` must be a
-    whole number; rows are told apart by it and a hash of the text, a null id as -1. A null text is
+    text or another, judged on the texts as given; matches never cross texts. Of the maximal spans of
+    such bytes those with fewer than ``least_words`` whole words stay. ``row_id`` must be a whole
+    number; rows are told apart by it and a 64-bit hash of the text, a null id as -1. A null text is
     empty; texts shorter than ``length`` stay whole. Repeated rows are copies of each other. Columns
     of the five names are replaced; all others stay.
 
@@ -333,8 +347,8 @@ def remove_repeats(
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(-1))
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     id_, mark, spans_ = (free_name(n, df) for n in ("_id", "_mark", "_runs"))
-    rows = df.withColumns({id_: key, mark: F.hash(value)})
-    docs = df.select(key.alias("id"), F.hash(value).alias("mark"), value.alias("text"))
+    rows = df.withColumns({id_: key, mark: F.xxhash64(value)})
+    docs = df.select(key.alias("id"), F.xxhash64(value).alias("mark"), value.alias("text"))
     runs = repeated_runs(docs, length, gram, hot).groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias(spans_))
     joined = rows.join(runs.withColumnsRenamed({"id": id_, "mark": mark}), [id_, mark], "left").drop(id_, mark)
     kinds = [BinaryType(), StringType(), LongType(), LongType(), LongType()]
@@ -348,6 +362,8 @@ def remove_repeats(
                 for value, found in zip(texts_of(part.column(text)), part.column(spans_).to_pylist()):
                     data = value.encode()
                     spans = merged_spans(found or [], length)
+                    if least_words and len(spans):
+                        spans = spans[[whole_words(data, a, b) >= least_words for a, b in spans.tolist()]]
                     edges = [0, *spans.ravel().tolist(), len(data)]
                     kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
                     made.append((kept, kept.decode("utf-8", "ignore"), len(data), len(data) - len(kept), len(spans)))
