@@ -19,6 +19,10 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+# 51 words in a row have 315 bytes in the median and over 200 in 99 of 100 places of the given texts, so
+# passages are looked for by 200 bytes, and their words are counted.
+REPEATED_BYTES, REPEATED_GRAM, REPEATED_WORDS = 200, 64, 50
+
 READ = {"doc_id", "text", "lang", "source", "n_chars"}
 
 
@@ -54,8 +58,12 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 @with_own_columns
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings of 400 bytes that stand elsewhere too; a text of which nothing is left goes."""
-    cut = suffix_dedup.remove_repeats(docs).filter("n_removed = 0 OR trim(kept_text) <> ''")
+    """Texts without the passages of ``REPEATED_WORDS`` words or more that stand elsewhere too; a text of which nothing is left goes.
+
+    A passage is a maximal run of bytes covered by strings of ``REPEATED_BYTES`` bytes that repeat.
+    """
+    cut = suffix_dedup.remove_repeats(docs, REPEATED_BYTES, REPEATED_GRAM, least_words=REPEATED_WORDS)
+    cut = cut.filter("n_removed = 0 OR trim(kept_text) <> ''")
     changed = F.col("n_removed") > 0
     columns = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
