@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import ranks
 from textmill.operators.dedup import dedup_seq
-from textmill.operators.ranks import first_rows, number_by_hash, number_by_order, rank_cut, sampled_rows
+from textmill.operators.ranks import IdRanges, first_rows, number_by_hash, number_by_id, number_by_order, rank_cut, sampled_rows
 from textmill.operators.splits import make_splits, rename_splits, sample_split
 
 
@@ -50,6 +50,53 @@ def test_one_value_may_fill_a_third_of_the_key(spark, direct_rows):
         assert sorted(map(tuple, kept)) == sorted(rows)[:n]
 
 
+def test_a_crowd_of_equal_keys_is_cut_by_the_bytes_of_the_text(spark):
+    tokens = ["", "a", "é", "éa", "日本", "日", "zz", "\x00", "\U0001f600"] + [f"same-long-prefix-{i:04d}" for i in range(300)]
+    rows = [(1, t) for t in tokens] + [(5, "top"), (2, "mid")]
+    df = spark.createDataFrame(rows, "freq long, token string").repartition(3)
+    ordered = sorted(rows, key=lambda r: (-r[0], r[1].encode()))
+    for n in (1, 3, 150, 310):
+        kept = df.filter(rank_cut(df, -F.col("freq"), [F.col("token")], n, 2)).collect()
+        assert sorted(map(tuple, kept)) == sorted(ordered[:n])
+    equal = spark.createDataFrame([(1, "a")] * 50 + [(2, "b")], "freq long, token string")
+    assert equal.filter(rank_cut(equal, F.col("freq"), [F.col("token")], 7, 3)).count() == 50  # equal rows go together
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 7, 64])
+def test_numbers_by_id_hold_for_skewed_and_far_ids(spark, pieces):
+    crowd = [10**15 + i for i in range(700)]
+    ids = crowd + [-(2**63), 2**63 - 1, -1, 0, 5, 10**18] + [10**15 + 10**9 * i for i in range(1, 40)] + [3**k for k in range(39)][2:]
+    ids = sorted(set(ids))
+    df = spark.createDataFrame([(i, f"x{i}", "kept") for i in ids], "doc long, id string, _range string").repartition(6)
+    out = number_by_id(df, "doc", "idx", "n", pieces)
+    assert out.columns == ["doc", "id", "_range", "idx", "n"]
+    assert sorted((r.idx, r.doc, r.id, r.n) for r in out.collect()) == [(k, i, f"x{i}", len(ids)) for k, i in enumerate(ids)]
+    found = IdRanges(df, "doc", pieces)
+    sizes = dict(df.select(found.range_of(F.col("doc")).alias("r")).groupBy("r").count().collect())
+    assert max(sizes.values()) <= 5 * -(-len(ids) // pieces)  # no range of unbounded size
+
+
+def test_numbers_by_id_of_small_and_faulty_tables(spark):
+    df = spark.createDataFrame([(7,)], "_row_id long")
+    assert [tuple(r) for r in number_by_id(df, "_row_id", "idx", "n").collect()] == [(7, 0, 1)]
+    assert number_by_id(df.limit(0), "_row_id", "idx", "n").collect() == []
+    with pytest.raises(Exception, match="null in the row id"):
+        number_by_id(spark.createDataFrame([(7,), (None,)], "_row_id long"), "_row_id", "idx", "n").collect()
+
+
+def test_row_order_scans_once_and_writes_nothing(spark):
+    df = spark.range(30_000).withColumnRenamed("id", "_row_id").withColumn("text", F.lit("x"))
+    plan = number_by_id(df, "_row_id", "idx", "n", 16)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    assert physical.count("Exchange") == 1 and physical.count("Range (") == 1 and "FileScan" not in physical
+
+
+def test_dev_from_train_refuses_a_null_id(spark):
+    df = spark.createDataFrame([(i if i else None,) for i in range(10)], "_row_id long")
+    with pytest.raises(Exception, match="null in the row id"):
+        make_splits({"train": df}, dev_size=3, dev_from_train_rows=True)["train"].collect()
+
+
 @pytest.mark.parametrize("parts", [1, 4, 8])
 def test_samples_and_numbers_do_not_depend_on_partitions(spark, parts):
     ids = [3 * i for i in range(200)]

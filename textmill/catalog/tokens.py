@@ -33,6 +33,15 @@ def q_build_vocab(spark, sf_dir):
     return build_vocab(documents(spark, sf_dir), "text", VOCAB)
 
 
+TIED = 50_000  # ends among the many tokens that occur once
+
+
+@query("build_vocab_ties", f"WITH {sql_vocab(DOCUMENT_TEXTS, TIED)} SELECT token, id, CAST(freq AS BIGINT) AS freq FROM vocab")
+def q_build_vocab_ties(spark, sf_dir):
+    # The way that a vocabulary takes which is too large for one reducer.
+    return build_vocab(documents(spark, sf_dir), "text", TIED, direct_rows=100)
+
+
 SQL_ENCODED_DOCUMENTS = f"""WITH {sql_vocab(DOCUMENT_TEXTS)},
 {sql_encode("encoded", "documents", "doc_id", "text")}
 SELECT rid AS doc_id, {sql_join("ids")} AS ids FROM encoded"""

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from textmill.operators.ranks import number_by_hash, number_by_order
+from textmill.operators.ranks import number_by_hash, number_by_id
 
 
 def epoch_order(
@@ -15,11 +15,12 @@ def epoch_order(
     """Add ``idx``, the place of a row in the epoch (0..), and ``n_rows``, the rows of the table.
 
     Shuffled order sorts by a seeded key, so it is the same on any cluster and differs by epoch; it is
-    one shuffle and no job. Row order sorts by ``row_id`` and writes the sorted rows once.
+    one shuffle and no job. Row order cuts ``row_id``, a whole number, into ranges by histograms and
+    numbers rows inside them: one shuffle, and nothing is written.
     """
     if shuffle:
         return number_by_hash(df, f"{seed}:{epoch}", row_id, "idx", "n_rows")
-    return number_by_order(df, [row_id], "idx", "n_rows")
+    return number_by_id(df, row_id, "idx", "n_rows")
 
 
 def shard_rows(df: DataFrame, world: int, *, pad: str = "none") -> DataFrame:

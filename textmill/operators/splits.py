@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from textmill.functions.keys import required
 from textmill.operators.ranks import first_rows, rank_cut, sampled_rows
 
 # The names under which a dev split may arrive, in the order they are looked up.
@@ -85,7 +86,7 @@ def dev_from_train(train: DataFrame, n: int, row_id: str = "_row_id") -> Splits:
 
     Both parts are filters on one row-id bound, so neither moves a row.
     """
-    last = rank_cut(train, -F.col(row_id), [], n)
+    last = rank_cut(train, -required(row_id), [], n)
     tail = train.filter(last)
     return {"train": train.filter(~last), "test": tail, "dev": tail}
 

@@ -16,7 +16,7 @@ from textmill.functions.arrays import empty_ids
 from textmill.functions.keys import required
 from textmill.functions.text import tokens
 from textmill.functions.workers import once_per_worker
-from textmill.operators.ranks import rank_cut
+from textmill.operators.ranks import number_by_order, rank_cut
 from textmill.sources.staging import SHIP_BYTES, SHIP_ROWS, stage
 
 # Reserved ids, fixed.
@@ -32,13 +32,16 @@ TOP_ROWS = 5_000_000
 Tokenizer = Callable[[list[str]], list[list[int]]]
 
 
-def build_vocab(df: DataFrame, columns: str | list[str], size: int, *, staged: bool = True) -> DataFrame:
+def build_vocab(df: DataFrame, columns: str | list[str], size: int, *, staged: bool = True, direct_rows: int | None = None) -> DataFrame:
     """The ``size`` most frequent tokens as ``(token, id, freq)``, ties in token order.
 
     Ids 0, 1, 2 are the reserved unknown, begin and end tokens with frequency 0. Counting combines
     on the map side, so frequent tokens do not skew it. The result is written once by default:
     encoding reads it more than once, and counting the corpus again would be wasteful.
-    """
+
+    Where reducers would hold more than ``direct_rows`` rows (``TOP_ROWS``), the last token is found by histograms of the
+    counts and, among equal counts, of the tokens' leading bytes, and ids are numbered inside ranges.
+    """
     names = [columns] if isinstance(columns, str) else columns
     texts = F.array(*(F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")) for c in names))
     counts = (
@@ -47,14 +50,16 @@ def build_vocab(df: DataFrame, columns: str | list[str], size: int, *, staged: b
         .agg(F.count(F.lit(1)).alias("freq"))
     )
     reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if size * reducers <= TOP_ROWS:
+    most = TOP_ROWS if direct_rows is None else direct_rows
+    if size * reducers <= most:
         top = counts.orderBy(F.desc("freq"), "token").limit(size)
+        place = F.row_number().over(Window.orderBy(F.desc("freq"), "token")) - 1  # of few rows
+        placed = top.withColumn("place", place)
     else:
-        counts = stage(counts, "token-counts")
-        top = counts.filter(rank_cut(counts, -F.col("freq"), [F.col("token")], size))
-    # At most `size` rows are numbered in one task.
-    number = F.row_number().over(Window.orderBy(F.desc("freq"), "token")) + len(RESERVED) - 1
-    ranked = top.select("token", number.cast("int").alias("id"), "freq")
+        counts = stage(counts.withColumn("less", -F.col("freq")), "token-counts")
+        keep = rank_cut(counts, F.col("less"), [F.col("token")], size, direct_rows)
+        placed = number_by_order(counts.filter(keep), ["less", "token"], "place", "_n")
+    ranked = placed.select("token", (F.col("place") + len(RESERVED)).cast("int").alias("id"), "freq")
     values = ", ".join(f"('{token}', {i}, 0L)" for i, token in enumerate(RESERVED))
     reserved = df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS reserved(token, id, freq)")
     vocab = reserved.unionByName(ranked)

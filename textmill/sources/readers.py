@@ -8,11 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from textmill.operators.ranks import number_by_order
+from textmill.operators.ranks import number_by_order, number_in_files
 from textmill.sources.staging import path_exists
 
 ROW_ID = "_row_id"
-MAX_SPLITS = 1_000
 
 # The cell texts that a pandas-style CSV reader takes as missing.
 CSV_MISSING = (
@@ -78,7 +77,7 @@ def with_row_id(df: DataFrame, by: Iterable[str] | None = None, row_id: str = RO
     """Add dense row ids in the order of the columns ``by``, unique together.
 
     Without ``by`` the order is that of the files the table is read from: path, then position. Tables
-    that do not come from files need ``by``. The numbered table is written once.
+    that do not come from files need ``by``, and are written once in that order.
     """
     if by is not None:
         return number_by_order(df, list(by), row_id, "_n").drop("_n")
@@ -86,7 +85,7 @@ def with_row_id(df: DataFrame, by: Iterable[str] | None = None, row_id: str = RO
         placed = _with_file_order(df, None)
     except AnalysisException as error:
         raise ValueError("a table that is not read from files needs `by` columns for its order") from error
-    return number_by_order(placed, list(_ORDER), row_id, "_n").drop(*_ORDER, "_n")
+    return number_in_files(placed, ["_path", "_start"], "_seen", [], row_id).drop(*_ORDER)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -176,7 +175,7 @@ def read_json_columns(
     df = df.select(*[c for c in df.columns if c != "row"], "row.*")
     if row_id is not None:
         return df.drop("_position")
-    return number_by_order(df, [*_ORDER, "_position"], ROW_ID, "_n").drop(*_ORDER, "_position", "_n")
+    return number_in_files(df, ["_path", "_start"], "_seen", ["_position"], ROW_ID).drop(*_ORDER, "_position")
 
 
 def _refuse_json_lines(spark: SparkSession, path: str) -> None:
@@ -220,7 +219,7 @@ def _with_file_order(df: DataFrame, row_id: str | None) -> DataFrame:
 def _number_files(df: DataFrame, row_id: str | None) -> DataFrame:
     if row_id is not None:
         return df
-    return number_by_order(df, list(_ORDER), ROW_ID, "_n").drop(*_ORDER, "_n")
+    return number_in_files(df, ["_path", "_start"], "_seen", [], ROW_ID).drop(*_ORDER)
 
 
 def _stored_splits(spark: SparkSession, name: str) -> dict[str, DataFrame]:
@@ -233,7 +232,6 @@ def _stored_splits(spark: SparkSession, name: str) -> dict[str, DataFrame]:
         raise ValueError(f"no table and no folder named {name!r}")
     if "split" not in df.columns:
         return {"train": df}
-    names = sorted(row[0] for row in df.select("split").distinct().limit(MAX_SPLITS + 1).collect())
-    if len(names) > MAX_SPLITS:
-        raise ValueError(f"{name!r} has more than {MAX_SPLITS} splits; that is not a split column")
+    # The result is a dictionary by name, so the names come to the driver; rows do not.
+    names = sorted(row[0] for row in df.filter("split IS NOT NULL").select("split").distinct().collect())
     return {n: df.filter(F.col("split") == n).drop("split") for n in names}
