@@ -126,9 +126,11 @@ def test_reports(spark):
     drawn = peek_sample(df, seed=3).collect()
     assert {r.split for r in drawn} == {"a", "b"} and drawn == peek_sample(df.repartition(5), seed=3).collect()
     assert {tuple(r) for r in split_counts(df).collect()} == {("a", 6), ("b", 1)}
-    many = spark.range(2000).select(F.col("id").alias("_row_id"), F.col("id").alias("split"))
-    with pytest.raises(ValueError):
-        peek_sample(many)
+    many = spark.range(4500).select(F.col("id").alias("_row_id"), (F.col("id") % 1500).alias("split"))
+    drawn = peek_sample(many).collect()
+    assert sorted(r.split for r in drawn) == list(range(1500)) and all(r._row_id % 1500 == r.split for r in drawn)
+    unnamed = spark.createDataFrame([(1, None), (2, None), (3, "a")], "_row_id long, split string")
+    assert {r.split for r in peek_sample(unnamed).collect()} == {None, "a"}
 
 
 CONFIG = {

@@ -71,14 +71,11 @@ ranked AS (
     idx // 3 // 4 AS batch_id, idx // 3 AS pos FROM placed)"""
 
 
-@query("sink_rank_json", f"WITH {SQL_RANKED} SELECT rank, count(*) AS rows, count(DISTINCT batch_id) AS batches FROM ranked GROUP BY rank")
+@query("sink_rank_json", f"WITH {SQL_RANKED} SELECT prediction, target, _row_id, rank, batch_id, pos FROM ranked")
 def q_sink_rank_json(spark, sf_dir):
     df = ranked_predictions(spark, sf_dir)
     folder = write_predictions(df, fresh_folder(spark, "by_rank"), by_rank=True)
-    written = spark.read.schema(df.schema).json(folder)
-    return written.groupBy("rank").agg(
-        F.count(F.lit(1)).alias("rows"), F.countDistinct("batch_id").alias("batches")
-    )
+    return spark.read.schema(df.schema).json(folder).select(df.columns)
 
 
 @query("merge_ranks", f"WITH {SQL_RANKED} SELECT prediction, target, _row_id, rank, batch_id, pos FROM ranked")

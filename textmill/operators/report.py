@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.keys import hash_key, leading_number
 
-MAX_SPLITS = 1_000
-
-
 def row_funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], split: str = "split") -> DataFrame:
     """Rows before and after each filter, per split: ``(split, stage, rows_in, rows_out)``.
 
@@ -38,20 +35,17 @@ def row_funnel(df: DataFrame, stages: Sequence[tuple[str, Column]], split: str =
 def peek_sample(df: DataFrame, seed: str | int = 42, row_id: str = "_row_id", split: str = "split") -> DataFrame:
     """One random row of each split, repeatable by seed.
 
-    The smallest sampling key of each split is found on two narrow columns; the rows that hold it are
-    then a filter. A row with its texts is never sorted or shuffled unless it is the drawn one.
-    """
+    The smallest sampling key of each split is an aggregate over two narrow columns that combines before its
+    shuffle; a semi-join with it leaves about one row for each split, however many there are. A null
+    split is a split.
+    """
     key = hash_key(seed, row_id)
     number = leading_number(key)
-    smallest = df.groupBy(split).agg(F.min(number)).limit(MAX_SPLITS + 1).collect()
-    if len(smallest) > MAX_SPLITS:
-        raise ValueError(f"{split!r} has more than {MAX_SPLITS} values; that is not a split column")
-    drawn = F.lit(False)
-    for name, value in smallest:
-        drawn = drawn | (F.col(split).eqNullSafe(F.lit(name)) & (number == value))
+    smallest = df.groupBy(F.col(split).alias("_drawn")).agg(F.min(number).alias("_least"))
+    drawn = df.join(smallest, F.col(split).eqNullSafe(F.col("_drawn")) & (number == F.col("_least")), "left_semi")
     others = [c for c in df.columns if c != split]
     first = F.min_by(F.struct(*others), F.struct(key, row_id))
-    return df.filter(drawn).groupBy(split).agg(first.alias("row")).select(split, "row.*")
+    return drawn.groupBy(split).agg(first.alias("row")).select(split, "row.*")
 
 
 def split_counts(splits: Mapping[str, DataFrame] | DataFrame, split: str = "split") -> DataFrame:
