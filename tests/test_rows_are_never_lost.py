@@ -82,6 +82,31 @@ def test_a_model_batch_holds_one_loader_batch(spark):
     assert len(out) == len(rows) and all(list(r.output_ids) == list(r.input_ids) for r in out)
 
 
+def test_a_loader_batch_is_predicted_once_whatever_the_arrow_batches(spark):
+    rows = [(k % 2, k // 2 // 4, k // 2, k, f"t{k}") for k in range(45)]
+    df = spark.createDataFrame(rows, "rank int, batch_id int, pos int, n int, output_ids string").repartition(3, "n")
+
+    def factory():
+        # Every row tells which rows its list had.
+        return lambda n: [list(n)] * len(n)
+
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        out = batch_predict(df, factory, columns=["n"], batch_size=4, regroup=True).collect()
+        halves = batch_predict(df, factory, columns=["n"], batch_size=3, regroup=True).collect()
+        plain = batch_predict(df.drop("rank").coalesce(1), factory, columns=["n"], batch_size=7).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    batches = {}
+    for rank, batch, _, n, _ in rows:
+        batches.setdefault((rank, batch), []).append(n)
+    assert sorted(r.n for r in out) == list(range(45))
+    assert all(list(r.output_ids) == batches[r.rank, r.batch_id] for r in out)
+    assert all(list(r.output_ids) in (batches[r.rank, r.batch_id][:3], batches[r.rank, r.batch_id][3:]) for r in halves)
+    assert sorted({len(r.output_ids) for r in plain}) == [3, 7] and len(plain) == 45
+
+
 def test_only_the_chosen_splits_are_read(spark, tmp_path):
     (tmp_path / "train.csv").write_text("id,text\n1,a\n2,b\n")
     raw = {"train": str(tmp_path / "train.csv"), "test": str(tmp_path / "missing.csv")}

@@ -9,7 +9,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf, pandas_udf
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
 from textmill.functions.workers import once_per_worker
 from textmill.operators.vocab import RESERVED, ids_to_tokens
@@ -32,40 +33,68 @@ def batch_predict(
     return_type: DataType | str = ArrayType(IntegerType()),
     batch_size: int = 8,
     together: Sequence[str] = ("rank", "batch_id"),
+    order: str = "pos",
+    regroup: bool = False,
 ) -> DataFrame:
     """Run a model over the rows and append its output.
 
     ``factory`` is called once per Python worker and returns ``predict(*columns) -> outputs``, which
     gets plain lists of at most ``batch_size`` rows (of id arrays or of texts). Where the table has
-    the columns ``together``, all rows of a list agree in them, so that arrays padded for a loader's
-    batch have one length. Rows stay where they are: the step is one Arrow exchange with the Python
-    worker and no shuffle.
-    """
+    the columns ``together``, a list is one loader batch of a partition, in ``order``, or a part of it if
+    it has more than ``batch_size`` rows, so that arrays padded for a loader's batch have one length.
+    Rows are sorted inside their partition for that, and a batch that one Arrow batch begins is held back until
+    the next ones have completed it. Rows that :func:`textmill.operators.shard.lay_out` or ``model_rows`` brought together
+    stay where they are; ``regroup`` shuffles them by loader batch first, for tables whose batches lie
+    in several partitions.
+    """
     key = uuid4()
     loader = [c for c in together if c in df.columns]
     loader = loader if len(loader) == len(together) else []
-
-    @pandas_udf(return_type)
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    if loader:
+        df = df.repartition(*loader) if regroup else df
+        df = df.sortWithinPartitions(*loader, *([order] if order in df.columns else []))
+    kind = DataType.fromDDL(return_type) if isinstance(return_type, str) else return_type
+    schema = StructType([*(f for f in df.schema.fields if f.name != out), StructField(out, kind)])
+    arrow = to_arrow_schema(StructType([schema[out]])).field(0).type
+    names = list(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = once_per_worker(key, factory)
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            series = batch if isinstance(batch, tuple) else (batch,)
-            series, keys = series[: len(columns)], series[len(columns) :]
-            groups: dict[tuple, list[int]] = {}
-            for place, group in enumerate(zip(*keys) if keys else [()] * len(series[0])):
-                groups.setdefault(group, []).append(place)
-            outputs: list = [None] * len(series[0])
-            for places in groups.values():
-                for start in range(0, len(places), batch_size):
-                    some = places[start : start + batch_size]
-                    result = list(predict(*([s.iloc[i] for i in some] for s in series)))
-                    if len(result) != len(some):
-                        raise ValueError("the predictor returned another number of outputs than inputs")
-                    for place, value in zip(some, result):
-                        outputs[place] = value
-            yield pd.Series(outputs, dtype=object)
-
-    return df.withColumn(out, run(*(F.col(c) for c in (*columns, *loader))))
+            if batch.num_rows:
+                held.append(batch)
+                ready, rest = _whole_lists(pa.Table.from_batches(held).combine_chunks(), loader, batch_size, last=False)
+                yield from _predicted(ready, predict, names, out, arrow)
+                held = rest
+        if held:
+            ready, _ = _whole_lists(pa.Table.from_batches(held).combine_chunks(), loader, batch_size, last=True)
+            yield from _predicted(ready, predict, names, out, arrow)
+
+    return df.mapInArrow(run, schema)
+
+
+def _whole_lists(table: pa.Table, loader: list[str], size: int, last: bool) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
+    """Lists of at most ``size`` rows of one loader batch, and the rows that may belong with the next Arrow batch."""
+    batch = table.to_batches()[0]
+    turns = [0]
+    if loader:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in loader)))
+        turns += [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]]
+    turns.append(batch.num_rows)
+    lists = [(a, min(a + size, stop)) for start, stop in zip(turns, turns[1:]) for a in range(start, stop, size)]
+    # Of the last loader batch more rows may come, unless the list is full.
+    open_ = [] if last or lists[-1][1] - lists[-1][0] == size else [lists.pop()]
+    return [batch.slice(a, b - a) for a, b in lists], [batch.slice(a, b - a) for a, b in open_]
+
+
+def _predicted(lists: list[pa.RecordBatch], predict: Predictor, names: list[str], out: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    for some in lists:
+        result = list(predict(*(some.column(c).to_pylist() for c in names)))
+        if len(result) != some.num_rows:
+            raise ValueError("the predictor returned another number of outputs than inputs")
+        kept = [c for c in some.schema.names if c != out]
+        yield pa.RecordBatch.from_arrays([*(some.column(c) for c in kept), pa.array(result, kind)], names=[*kept, out])
 
 
 def tidy_text(text: Column) -> Column:

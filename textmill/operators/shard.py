@@ -73,12 +73,15 @@ def limit_batches(df: DataFrame, k: int | float | None) -> DataFrame:
     return df.filter(F.col("batch_id") < k)
 
 
-def lay_out(df: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
+def lay_out(df: DataFrame, chunk_rows: int = 100_000, batch_size: int = 1) -> DataFrame:
     """Bring neighbouring rows of a rank together, ``chunk_rows`` per group, for an ordered write.
 
+    With the loader's ``batch_size`` a group holds whole batches only.
+
     Run it while rows are still text: encoding and packing follow without another shuffle. Chunks are
     cut from the positions, so they are even and no pass over the data is needed to find bounds.
     """
+    chunk_rows = max(1, chunk_rows // batch_size) * batch_size
     return df.repartition(F.col("rank"), F.call_function("div", F.col("pos"), F.lit(chunk_rows)))
 
 

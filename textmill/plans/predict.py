@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from textmill.operators.predict import batch_predict, carry_columns, decode_output, merge_ranks, postprocess
 from textmill.operators.score import score
+from textmill.plans.settings import PrepareSettings
 from textmill.sources.sinks import write_metrics, write_predictions
 
 
@@ -19,11 +20,17 @@ def predictions(
     decoder: Callable | None = None,
     postprocessor: str = "identity",
     strip_prompt: bool = True,
-    batch_size: int = 8,
+    settings: PrepareSettings | None = None,
+    batch_size: int | None = None,
+    regroup: bool = False,
     row_id: str = "_row_id",
 ) -> DataFrame:
-    """Predict, decode, post-process, and keep the carried columns; lazy and without a shuffle."""
-    out = batch_predict(rows, factory, batch_size=batch_size)
+    """Predict, decode, post-process, and keep the carried columns; lazy, and without a shuffle unless ``regroup`` asks for it.
+
+    The model gets lists of ``batch_size`` rows, by default the loader's batch of the ``settings``, or else 8.
+    """
+    size = batch_size or (settings.batch_size if settings else 8)
+    out = batch_predict(rows, factory, batch_size=size, regroup=regroup)
     out = decode_output(out, vocab, decoder=decoder, strip_prompt=strip_prompt, row_id=row_id)
     return carry_columns(postprocess(out, postprocessor))
 

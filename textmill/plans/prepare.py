@@ -180,7 +180,7 @@ def model_rows(
     placed = batch_rows(shard_rows(placed, world, pad=pad_ranks), settings.batch_size)
     placed = limit_batches(placed, limit)
     if laid_out:
-        placed = lay_out(placed)
+        placed = lay_out(placed, batch_size=settings.batch_size)
     packing = replace(
         settings.pack, predict=predict, prefix=settings.predict_prefix if predict else settings.pack.prefix
     )
