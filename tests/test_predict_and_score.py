@@ -19,7 +19,7 @@ from textmill.operators.predict import (
     register_python_postprocessor,
     tidy_text,
 )
-from textmill.operators.score import bleu, mt_tokens, register_metric, score
+from textmill.operators.score import bleu, exact_match, mt_tokens, register_metric, score
 
 # The models below travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -186,3 +186,18 @@ def test_carry_columns(spark):
     df = spark.createDataFrame([(1, "p", "t", [1], True)], "n int, prediction string, target string, ids array<int>, b boolean")
     assert carry_columns(df).columns == ["prediction", "n", "target", "b"]
     assert carry_columns(df, numbers=False).columns == ["prediction", "target"]
+
+
+def test_named_metrics_share_one_scan_and_partial_sums(spark, tmp_path):
+    rows = [(i, f"the cat {i % 7} sat on the mat .", f"a cat {i % 5} sat on the mat .") for i in range(400)]
+    rows += [(400, None, "x"), (401, "", ""), (402, "same.", "same."), (403, "lost", None)]
+    spark.createDataFrame(rows, "_row_id long, prediction string, target string").repartition(5).write.parquet(f"{tmp_path}/p")
+    df = spark.read.parquet(f"{tmp_path}/p")
+    found = score(df, ["exact_match", "bleu"])
+    physical = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert physical.count("FileScan") == 1 and "partial_sum" in physical and physical.count("Exchange") == 1
+    values = {(r.metric, r.field): r.value for r in found.collect()}
+    apart = {(r.metric, r.field): r.value for r in bleu(df).unionByName(exact_match(df)).collect()}
+    assert values == apart and values["exact_match", "exact_match"] == pytest.approx(sum(p == t for _, p, t in rows) / 404)
+    empty = {r.field: r.value for r in score(df.limit(0), ["bleu", "exact_match"]).collect()}
+    assert empty["bleu"] == 0.0 and empty["exact_match"] == 0.0

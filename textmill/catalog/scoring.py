@@ -11,7 +11,7 @@ from textmill.functions.arrays import joined
 from textmill.functions.text import strip_html, tokens
 from textmill.operators.pack import pack
 from textmill.operators.predict import batch_predict, carry_columns, postprocess, register_postprocessor
-from textmill.operators.score import bleu, bleu_counts, score
+from textmill.operators.score import Metric, bleu, bleu_counts, register_metric, score
 
 
 def reversing_model():
@@ -185,3 +185,33 @@ UNION ALL SELECT 'exact_match', 'exact_match', round(avg(CASE WHEN question = an
 )
 def q_score(spark, sf_dir):
     return rounded(score(predicted_pairs(spark, sf_dir), ["bleu", "exact_match"]))
+
+
+# A user's metric: its state is a sum, a maximum and a count, which Spark merges over partitions.
+LENGTHS = Metric(
+    lambda prediction, target: {
+        "chars": F.length(prediction),
+        "longest": F.length(prediction),
+        "rows": F.lit(1),
+        "shorter": F.when(F.length(prediction) < F.length(target), 1).otherwise(0),
+    },
+    {"chars": "sum", "longest": "max", "rows": "sum", "shorter": "sum"},
+    lambda state: [
+        ("mean_chars", state["chars"] / state["rows"]),
+        ("longest", state["longest"]),
+        ("shorter_share", state["shorter"] / state["rows"]),
+    ],
+)
+
+
+@query(
+    "score_custom",
+    f"""WITH {SQL_PAIRS}
+SELECT 'lengths' AS metric, unnest(['mean_chars', 'longest', 'shorter_share']) AS field,
+  unnest([round(sum(length(question)) / count(*), 9), CAST(max(length(question)) AS DOUBLE),
+    round(count(*) FILTER (length(question) < length(answer)) / count(*), 9)]) AS value FROM pairs
+UNION ALL SELECT 'exact_match', 'exact_match', round(avg(CASE WHEN question = answer THEN 1.0 ELSE 0.0 END), 9) FROM pairs""",
+)
+def q_score_custom(spark, sf_dir):
+    register_metric("lengths", LENGTHS)
+    return rounded(score(predicted_pairs(spark, sf_dir), ["lengths", "exact_match"]))

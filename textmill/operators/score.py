@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import Counter
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, LongType
 
 from textmill.functions.text import tokens
 
@@ -12,9 +18,6 @@ BLEU_ORDER = 4
 # A run of characters that are not white space to Python's str.split().
 VISIBLE = r"[^\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
-Metric = Callable[[DataFrame], DataFrame]
-
-
 def mt_tokens(text: Column) -> Column:
     """Tokens by the public mteval-v13a rules, which corpus BLEU uses by default."""
     # Fixed rules of that tokenizer, applied in this order.
@@ -95,6 +98,22 @@ def bleu_counts(
     )
 
 
+def _bleu_fields(m: dict[int, Column], c: dict[int, Column], ref: Column) -> list[tuple[str, Column]]:
+    """The fields of corpus BLEU from matches and possible n-grams by n, and the targets' tokens, as doubles."""
+    orders = range(1, BLEU_ORDER + 1)
+    precisions = [F.when(c[n] > 0, m[n] / c[n]).otherwise(0.0) for n in orders]
+    penalty = F.when(c[1] == 0, 0.0).when(c[1] > ref, 1.0).otherwise(F.exp(1.0 - ref / c[1]))
+    geometric = F.exp(sum((F.log(p) for p in precisions), F.lit(0.0)) / BLEU_ORDER)
+    return [
+        ("bleu", F.when(F.least(*precisions) > 0, geometric * penalty).otherwise(0.0)),
+        *((f"precision_{n}", p) for n, p in zip(orders, precisions)),
+        ("brevity_penalty", penalty),
+        ("length_ratio", F.when(ref > 0, c[1] / ref).otherwise(0.0)),
+        ("translation_length", c[1]),
+        ("reference_length", ref),
+    ]
+
+
 def bleu(df: DataFrame, tokenize: Callable[[Column], Column] = mt_tokens, **columns: str) -> DataFrame:
     """Corpus BLEU over n = 1..4 with clipped counts and brevity penalty, unsmoothed, as metric rows.
 
@@ -109,34 +128,68 @@ def bleu(df: DataFrame, tokenize: Callable[[Column], Column] = mt_tokens, **colu
         *(at("possible", n).alias(f"c{n}") for n in orders),
         at("target_grams", 1).alias("ref"),
     )
-    precisions = {n: F.when(F.col(f"c{n}") > 0, F.col(f"m{n}") / F.col(f"c{n}")).otherwise(0.0) for n in orders}
-    ratio = F.when(F.col("ref") > 0, F.col("c1") / F.col("ref")).otherwise(0.0)
-    penalty = (
-        F.when(F.col("c1") == 0, 0.0)
-        .when(F.col("c1") > F.col("ref"), 1.0)
-        .otherwise(F.exp(1.0 - F.col("ref") / F.col("c1")))
-    )
-    wide = wide.select(
-        "*", *(p.alias(f"p{n}") for n, p in precisions.items()), ratio.alias("ratio"), penalty.alias("bp")
-    )
-    geometric = F.exp(sum((F.log(f"p{n}") for n in orders), F.lit(0.0)) / BLEU_ORDER)
-    score = F.when(F.least(*(F.col(f"p{n}") for n in orders)) > 0, geometric * F.col("bp")).otherwise(0.0)
-    fields = [
-        ("bleu", score),
-        *((f"precision_{n}", F.col(f"p{n}")) for n in orders),
-        ("brevity_penalty", F.col("bp")),
-        ("length_ratio", F.col("ratio")),
-        ("translation_length", F.col("c1")),
-        ("reference_length", F.col("ref")),
-    ]
-    return _long("bleu", wide, fields)
+    by_order = [{n: F.col(f"{side}{n}") for n in orders} for side in "mc"]
+    return _long("bleu", wide, _bleu_fields(*by_order, F.col("ref")))
+
+
+@arrow_udf(ArrayType(LongType()))
+def _row_counts(predictions: pa.Array, targets: pa.Array) -> pa.Array:
+    """For each row the clipped matches and the possible n-grams, n = 1..4, then the target's tokens."""
+    out = []
+    for words, wanted in zip(predictions.to_pylist(), targets.to_pylist()):
+        matches, possible = [], []
+        for n in range(1, BLEU_ORDER + 1):
+            found = Counter(zip(*(words[k:] for k in range(n))))
+            there = Counter(zip(*(wanted[k:] for k in range(n))))
+            matches.append(sum(min(count, there[gram]) for gram, count in found.items() if gram in there))
+            possible.append(max(0, len(words) - n + 1))
+        out.append([*matches, *possible, len(wanted)])
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+def _texts(prediction: Column, target: Column) -> tuple[Column, Column]:
+    return F.coalesce(prediction, F.lit("")), F.coalesce(target, F.lit(""))
+
+
+@dataclass(frozen=True)
+class Metric:
+    """A score with a state that Spark merges.
+
+    ``update`` gives named values of one row, from its prediction and target; ``merge`` names for each
+    the aggregate that combines it over rows and over partial states, as ``sum``, ``max`` or ``hll_sketch_agg``;
+    ``finish`` turns the merged states into fields. Where a table is empty, ``finish`` sees nulls.
+    """
+
+    update: Callable[[Column, Column], dict[str, Column]]
+    merge: dict[str, str]
+    finish: Callable[[dict[str, Column]], Sequence[tuple[str, Column]]]
+
+
+def bleu_metric(tokenize: Callable[[Column], Column] = mt_tokens) -> Metric:
+    """Corpus BLEU: n-grams are counted inside the row, and nine sums per partition are what moves."""
+
+    def update(prediction: Column, target: Column) -> dict[str, Column]:
+        p, t = _texts(prediction, target)
+        return {"counts": _row_counts(tokenize(p), tokenize(t))}
+
+    def finish(state: dict[str, Column]) -> Sequence[tuple[str, Column]]:
+        at = lambda k: F.coalesce(state[f"counts[{k}]"], F.lit(0)).cast("double")
+        matches, possible = ({n: at(first + n) for n in range(1, BLEU_ORDER + 1)} for first in (-1, 3))
+        return _bleu_fields(matches, possible, at(8))
+
+    return Metric(update, {f"counts[{k}]": "sum" for k in range(2 * BLEU_ORDER + 1)}, finish)
+
+
+EXACT_MATCH = Metric(
+    lambda prediction, target: {"same": F.when(prediction == target, 1.0).otherwise(0.0)},
+    {"same": "avg"},
+    lambda state: [("exact_match", F.coalesce(state["same"], F.lit(0.0)))],
+)
 
 
 def exact_match(df: DataFrame, *, prediction: str = "prediction", target: str = "target") -> DataFrame:
     """Share of rows whose prediction equals the target; 0 for an empty table."""
-    same = F.when(F.col(prediction) == F.col(target), 1.0).otherwise(0.0)
-    wide = df.agg(F.coalesce(F.avg(same), F.lit(0.0)).alias("rate"))
-    return _long("exact_match", wide, [("exact_match", F.col("rate"))])
+    return _scored(df, {"exact_match": EXACT_MATCH}, prediction, target)
 
 
 def _long(metric: str, wide: DataFrame, fields: Sequence[tuple[str, Column]]) -> DataFrame:
@@ -144,23 +197,50 @@ def _long(metric: str, wide: DataFrame, fields: Sequence[tuple[str, Column]]) ->
     return wide.select(F.lit(metric).alias("metric"), F.inline(rows))
 
 
-_METRICS: dict[str, Metric] = {"bleu": bleu, "exact_match": exact_match}
+_METRICS: dict[str, Metric | Callable[[DataFrame], DataFrame]] = {"bleu": bleu_metric(), "exact_match": EXACT_MATCH}
 
 
-def register_metric(name: str, metric: Metric) -> None:
-    """Add a named metric: a function from the prediction table to ``(metric, field, value)`` rows."""
+def register_metric(name: str, metric: Metric | Callable[[DataFrame], DataFrame]) -> None:
+    """Add a named metric: a :class:`Metric`, or a function from the prediction table to ``(metric, field, value)`` rows.
+
+    All metrics of the first kind share one pass over the table; a function reads it by itself.
+    """
     _METRICS[name] = metric
 
 
+def _scored(df: DataFrame, metrics: Mapping[str, Metric], prediction: str, target: str) -> DataFrame:
+    """All of ``metrics`` from one scan and one aggregate with partial sums."""
+    values, states, fields = [], [], []
+    for place, (name, metric) in enumerate(metrics.items()):
+        made = metric.update(F.col(prediction), F.col(target))
+        values += [value.alias(f"_{place}_{key}") for key, value in made.items()]
+        for key, how in metric.merge.items():
+            base, _, rest = key.partition("[")
+            value = F.col(f"`_{place}_{base}`")
+            value = value.getItem(int(rest[:-1])) if rest else value
+            states.append(F.call_function(how, value).alias(f"_{place}_{len(states)}"))
+            fields.append((place, key, states[-1]))
+    wide = df.select(*values).agg(*states)
+    columns = iter(wide.columns)
+    merged: dict[int, dict[str, Column]] = {}
+    for place, key, _ in fields:
+        merged.setdefault(place, {})[key] = F.col(f"`{next(columns)}`")
+    rows = [
+        F.struct(F.lit(name).alias("metric"), F.lit(field).alias("field"), value.cast("double").alias("value"))
+        for place, (name, metric) in enumerate(metrics.items())
+        for field, value in metric.finish(merged[place])
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def score(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Compute the named metrics of ``prediction`` against ``target`` as ``(metric, field, value)``."""
     unknown = [m for m in metrics if m not in _METRICS]
     if unknown:
         raise ValueError(f"unknown metrics {unknown}; there are {sorted(_METRICS)}")
-    if not metrics:
+    mergeable = {m: _METRICS[m] for m in metrics if isinstance(_METRICS[m], Metric)}
+    results = [_scored(df, mergeable, "prediction", "target")] if mergeable else []
+    results += [_METRICS[m](df) for m in metrics if m not in mergeable]
+    if not results:
         return df.sparkSession.createDataFrame([], "metric string, field string, value double")
-    results = [_METRICS[m](df) for m in metrics]
-    out = results[0]
-    for result in results[1:]:
-        out = out.unionByName(result)
-    return out
+    return reduce(DataFrame.unionByName, results)
