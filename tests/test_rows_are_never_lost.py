@@ -61,6 +61,10 @@ def test_json_lines_are_not_cut_to_the_first_object(spark, tmp_path):
     lines.write_text("\n".join(json.dumps({"t": [str(k)] * 2, "n": [k, k]}) for k in range(20)))
     with pytest.raises(ValueError, match="20 JSON objects"):
         read_json_columns(spark, str(lines))
+    several = tmp_path / "several.json"
+    several.write_text("\n".join(json.dumps({"t": [str(k)], "n": [k]}, indent=1) for k in range(3)))
+    with pytest.raises(ValueError, match="more than one root"):
+        read_json_columns(spark, str(several))
     whole = tmp_path / "whole.json"
     whole.write_text(json.dumps({"t": ["a", "b"], "n": [1, 2]}, indent=1))
     assert read_json_columns(spark, str(whole)).count() == 2

@@ -14,6 +14,7 @@ from textmill.plans.settings import CleanSettings, PrepareSettings
 from textmill.sources.readers import read_splits, with_row_id
 from textmill.sources.sinks import write_metrics, write_model_rows, write_predictions
 from textmill.sources.staging import materialize, shared_folder, stage
+from textmill.sources.staging import fingerprint
 from textmill.streaming.rowwise import prepare_stream, write_available
 
 
@@ -234,9 +235,25 @@ def test_prepared_texts_are_cached_by_settings(spark, tmp_path):
         return prepare_text(spark, settings, cache=(str(tmp_path), version))["train"].count()
 
     first = run(20, -1)
-    assert first > 5 and run(40, -1) == first and run(40, 5) == 5
-    assert run(40, -1, version="2") > first
-    assert run(40, -1, template="{}/{}") > first
+    assert first > 5 and run(20, -1) == first and run(20, 5) == 5
+    assert len(list(tmp_path.iterdir())) == 1  # one preparation served all three
+    assert run(40, -1) > first  # other rows under the same settings are noticed
+    run(20, -1, version="2")
+    run(20, -1, template="{}/{}")
+    assert len(list(tmp_path.iterdir())) == 4
+
+
+def test_a_fingerprint_tells_contents_apart(spark):
+    schema = "a string, b string, n double, l array<string>"
+    rows = [("x", None, 1.0, ["p", None]), (None, "x", 1.5, None), ("x", None, 1.0, ["p", None]), ("", "é", None, [])]
+    of = lambda some: fingerprint(spark.createDataFrame(some, schema))
+    whole = of(rows)
+    assert whole == of(rows[::-1]) == fingerprint(spark.createDataFrame(rows, schema).repartition(3))
+    swapped = [(None, "x", 1.0, ["p", None]), *rows[1:]]
+    moved = [("x", None, 1.0, [None, "p"]), *rows[1:]]
+    others = [rows[1:], [*rows, rows[3]], swapped, moved, [*rows[:3], (None, "é", None, [])], []]
+    assert len({whole, *map(of, others)}) == 7
+    assert fingerprint(spark.createDataFrame(rows, schema).withColumnRenamed("b", "c")) != whole
 
 
 def test_results_do_not_depend_on_shuffle_partitions(spark):

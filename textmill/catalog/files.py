@@ -111,3 +111,15 @@ def q_materialize(spark, sf_dir):
     # The second call finds the written splits and computes nothing.
     again = stack_splits(materialize(split_frames(spark, sf_dir), folder, settings))
     return again.select("split", F.col("_row_id").alias("doc_id"), "lang", "text")
+
+
+@query("materialize_changed", f"WITH {SQL_SPLITS} SELECT split, doc_id, CASE WHEN doc_id % 3 = 0 THEN 'new ' || text ELSE text END AS text FROM docs")
+def q_materialize_changed(spark, sf_dir):
+    folder, settings = fresh_folder(spark, "prepared"), {"table": "documents", "splits": 3}
+    old = {name: df.select("_row_id", "text") for name, df in split_frames(spark, sf_dir).items()}
+    materialize(old, folder, settings, sources=old)
+    # Other texts under the same schema and the same settings are prepared anew.
+    text = F.when(F.col("_row_id") % 3 == 0, F.concat(F.lit("new "), "text")).otherwise(F.col("text"))
+    new = {name: df.withColumn("text", text) for name, df in old.items()}
+    again = stack_splits(materialize(new, folder, settings, sources=new))
+    return again.select("split", F.col("_row_id").alias("doc_id"), "text")

@@ -34,6 +34,9 @@ from textmill.operators.clean import (
 from textmill.operators.dedup import dedup_seq
 from textmill.operators.lengths import filter_long, within_limits
 from textmill.operators.report import peek_sample, row_funnel, split_counts
+from textmill.plans.settings import PrepareSettings
+from textmill.sources.staging import fresh_folder
+from textmill.streaming.rowwise import prepare_stream, write_available
 
 
 @query(
@@ -178,15 +181,15 @@ def q_keep_columns(spark, sf_dir):
     return keep_columns(df, ["target", "input", "not_there"])
 
 
-@query(
-    "inputs_and_targets",
-    f"""SELECT page_id AS _row_id, input, target FROM (
+SQL_INPUTS = f"""SELECT page_id AS _row_id, input, target FROM (
   SELECT page_id,
     regexp_replace(regexp_replace(regexp_replace('Page ' || url || ': ' || html, '<.*?>', '', 'g'),
       '{SQL_PUNCTUATION}', ' \\1 ', 'g'), '{SQL_SPACE}', ' ', 'g') AS input,
     regexp_replace(regexp_replace(url, '{SQL_PUNCTUATION}', ' \\1 ', 'g'), '{SQL_SPACE}', ' ', 'g') AS target
-  FROM pages WHERE html <> '' AND url <> '')""",
-)
+  FROM pages WHERE html <> '' AND url <> '')"""
+
+
+@query("inputs_and_targets", SQL_INPUTS)
 def q_inputs_and_targets(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").withColumnRenamed("page_id", "_row_id")
     return inputs_and_targets(
@@ -284,3 +287,23 @@ def q_split_counts(spark, sf_dir):
 @query("split_counts_frames", f"WITH {SQL_SPLITS} SELECT split, count(*) AS rows FROM docs GROUP BY split")
 def q_split_counts_frames(spark, sf_dir):
     return split_counts(split_frames(spark, sf_dir))
+
+
+@query("stream_prepare", SQL_INPUTS)
+def q_stream_prepare(spark, sf_dir):
+    """Pages that arrive in two parts: the stream stops after the first and goes on from its checkpoint."""
+    arrived, out, checkpoint = (fresh_folder(spark, n) for n in ("arrived", "prepared", "checkpoint"))
+    settings = PrepareSettings.from_kwargs(
+        raw_data="pages", row_id="_row_id",
+        preprocessing_kwargs={
+            "column_dict": {"inputs": ["kind", "url", "html"], "target": "url"}, "input_template": "{} {}: {}",
+            "pad_punctuation": True, "add_constants": {"kind": "Page"}, "keep_columns": ["input", "target"],
+        },
+    )
+    pages = table(spark, sf_dir, "pages").withColumnRenamed("page_id", "_row_id")
+    for part in (0, 1):
+        pages.filter(F.col("_row_id") % 2 == part).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 4).parquet(arrived)
+        prepared = prepare_stream(stream, settings)
+        write_available(prepared, out, checkpoint).awaitTermination()
+    return spark.read.schema(prepared.schema).parquet(out).select("_row_id", "input", "target")

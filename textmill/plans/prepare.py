@@ -110,8 +110,9 @@ def prepare_text(
 
     Sizing reads row ids, sampling too, and the vocabulary and the encoder read the texts, so each
     prepared split is written once first; ``staged=False`` leaves everything lazy and recomputed.
-    ``cache`` is ``(folder, version)``: splits prepared under the same settings and version are read
-    from the folder instead. Change the version when the data or the tokenizer changes.
+    ``cache`` is ``(folder, version)``: splits prepared from the same rows under the same settings and
+    version are read from the folder instead. Changed rows are noticed by their fingerprint, which
+    reads the source once; change the version when the tokenizer changes.
     """
     splits = load_splits(spark, settings)
     length = token_lengths(tokenizer) if tokenizer is not None else token_count
@@ -124,8 +125,7 @@ def prepare_text(
             for f in ("splits", "predict_split", "id2label", "deduplicate_columns", "clean",
                       "filter_long_sequences", "input_limit", "target_limit", "row_id", "read_options")
         }
-        source = settings.raw_data if isinstance(settings.raw_data, str) else repr(settings.raw_data)
-        prepared = materialize(prepared, folder, [version, source, texts])
+        prepared = materialize(prepared, folder, [version, texts], splits)
     elif staged:
         prepared = {name: stage(df, f"split={name}") for name, df in prepared.items()}
     s = settings.split

@@ -179,13 +179,19 @@ def read_json_columns(
 
 
 def _refuse_json_lines(spark: SparkSession, path: str) -> None:
-    """An error if every line of a file is an object of its own: only the first of them would be read."""
+    """An error if a file has more than one root value: only the first of them would be read."""
     lines = spark.read.option("recursiveFileLookup", True).text(path).filter(F.trim("value") != "")
     whole = F.from_json(F.when(F.trim("value").rlike(r"^\{.*\}$"), F.col("value")), "map<string,string>").isNotNull()
     counts = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"), F.count_if(whole).alias("whole"))
     found = counts.filter("n > 1 AND whole = n").head()
     if found is not None:
         raise ValueError(f"{found.file} has {found.n} JSON objects; read it as JSON lines")
+    # In brackets, one root value is a list of one; two of them without a comma are no list at all.
+    whole = spark.read.text(path, wholetext=True, recursiveFileLookup=True).filter(F.trim("value") != "")
+    roots = F.coalesce(F.size(F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), "array<string>")), F.lit(0))
+    found = whole.filter(roots != 1).select(F.col("_metadata.file_path").alias("file")).head()
+    if found is not None:
+        raise ValueError(f"{found.file} has more than one root value or is not JSON")
 
 
 def read_json_lines(

@@ -13,7 +13,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 # A lookup table within both bounds may be sent whole to every task; a larger one is joined.
@@ -57,16 +57,37 @@ def settings_key(settings: object) -> str:
     return hashlib.sha256(json.dumps(settings, sort_keys=True, default=repr).encode()).hexdigest()[:16]
 
 
-def materialize(splits: Mapping[str, DataFrame], folder: str, settings: object) -> dict[str, DataFrame]:
+def fingerprint(df: DataFrame) -> str:
+    """A name for the content of a table: its schema, its number of rows, and the sum of the rows' 128-bit digests.
+
+    The sum does not depend on the order or the partitions of the rows, and equal rows count as often
+    as they occur. One aggregate that combines before its shuffle; each half of a digest is summed by itself.
+    """
+    if not df.columns:
+        return settings_key(["no columns", df.count()])
+    # JSON with its nulls tells values in different columns apart, and lists that hold nulls.
+    columns = [F.col(f"`{name}`").alias(f"c{place}") for place, name in enumerate(df.columns)]
+    digest = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    halves = [F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") for at in (1, 17)]
+    count, *sums = df.agg(F.count(F.lit(1)), *(F.sum(h) for h in halves)).first()
+    return settings_key([df.schema.json(), count, *(str(int(s or 0) % 2**128) for s in sums)])
+
+
+def materialize(
+    splits: Mapping[str, DataFrame], folder: str, settings: object, sources: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
     """Prepared splits as parquet under ``folder``, reused when the same settings were written before.
 
-    Each split has its own folder below a hash of the settings. A folder counts as written only
-    with its success marker, so a run that died half-way is not reused; its rest is overwritten.
+    Each split has its own folder below a hash of the settings, and of the content of its table in
+    ``sources`` if that is given, so that changed data are never answered with old rows; this reads the
+    source once. A folder counts as written only with its success marker, so a run that died half-way
+    is not reused; its rest is overwritten.
     """
     out = {}
     for name, df in splits.items():
         spark = df.sparkSession
-        path = f"{folder.rstrip('/')}/{settings_key(settings)}/split={name}"
+        key = settings if sources is None else [settings, fingerprint(sources[name])]
+        path = f"{folder.rstrip('/')}/{settings_key(key)}/split={name}"
         if not path_exists(spark, f"{path}/_SUCCESS"):
             df.write.mode("overwrite").parquet(path)
         out[name] = spark.read.schema(df.schema).parquet(path)
