@@ -157,10 +157,11 @@ def revisits(listed: DataFrame, least_bytes: int = 0) -> DataFrame:
     return joined.withColumn("refers_to", F.when(other, F.col("first"))).drop("first")
 
 
-def normalise(decided: DataFrame, folder: str) -> DataFrame:
+def normalise(decided: DataFrame, folder: str, files: int) -> DataFrame:
     """Rewrite each whole-file stream that ``decided`` names as members with an index; returns the archives.
 
-    The rows of a file, in the order of its records, come to one task, which reads the file once.
+    The rows of a file, in the order of its records, come to one task, which reads the file once. There are
+    as many tasks as ``files``: the rows are small whatever the files hold, so their size must not decide.
     """
     schema = StructType([StructField("archive", StringType()), StructField("index", StringType()), StructField("n_records", LongType())])
 
@@ -180,7 +181,7 @@ def normalise(decided: DataFrame, folder: str) -> DataFrame:
             yield out.close()
 
     columns = decided.select("file", "place", "refers_to", "payload_bytes")
-    return columns.repartition("file").sortWithinPartitions("file", "place").mapInArrow(run, schema)
+    return columns.repartitionByRange(max(1, files), "file").sortWithinPartitions("file", "place").mapInArrow(run, schema)
 
 
 class _Archive:
@@ -286,4 +287,5 @@ def archive_pages(
     """
     folder = folder or fresh_folder(df.sparkSession, "warc")
     listed = stage(write_monolithic(df, folder, row_id, url, html), "listed")
-    return stage(normalise(revisits(listed, least_bytes), folder), "archives"), folder
+    files = listed.select("file").distinct().count()
+    return stage(normalise(stage(revisits(listed, least_bytes), "decided"), folder, files), "archives"), folder
