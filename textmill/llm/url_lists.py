@@ -49,6 +49,23 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     return spans.select("list", "pattern", F.col("at").alias("valid_from"), "valid_to")
 
 
+def last_before(spans: Column, at: Column) -> Column:
+    """Of intervals in the order of their ``valid_from``, the last that starts no later than ``at``; null if none does.
+
+    A binary search: each step halves the places between which the answer lies.
+    """
+    step = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+
+    def halve(between: Column, _: Column) -> Column:
+        middle = F.floor((between["low"] + between["high"]) / 2).cast("int")
+        begun = F.get(spans, middle)["valid_from"] <= at
+        return F.when(begun, step(middle + 1, between["high"])).otherwise(step(between["low"], middle))
+
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(spans))))
+    begun = F.aggregate(steps, step(F.lit(0), F.size(spans)), halve)["low"]
+    return F.get(spans, begun - 1)
+
+
 def evaluate_captures(captures: DataFrame, entries: DataFrame, row_id: str = "page_id", url: str = "url", at: str = "fetched_at") -> DataFrame:
     """``captures`` with ``blocked``, ``lists`` and ``pattern``, by the entries active at the time ``at``.
 
@@ -57,14 +74,20 @@ def evaluate_captures(captures: DataFrame, entries: DataFrame, row_id: str = "pa
     ``row_id`` tells rows apart: rows of one id share what either of them matches; a null id matches
     nothing. Columns of the three names are replaced; all others stay.
 
-    Only ids, times and patterns are joined. A host with a third of all captures is a hot key of that
-    join; the adaptive skew join splits it, or the entries, if small, are broadcast by Spark's own rule.
+    Only ids, times and patterns are joined. The entries have one row for each list and pattern, which
+    holds its intervals in order, so a capture meets a pattern once, however often that was added and
+    removed, and finds the interval of its time by binary search. A host with a third of all captures is
+    a hot key of that join; as the other side is unique, the adaptive skew join splits it, or the
+    entries, if small, are broadcast by Spark's own rule.
     """
     intervals = validity_intervals(entries)
     keys = captures.select(F.col(row_id).alias("_id"), F.col(at).alias("_at"), F.explode(url_patterns(F.col(url))).alias("pattern"))
     keys = keys.filter("_id IS NOT NULL AND _at IS NOT NULL")
-    active = (F.col("_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to")))
-    matched = keys.join(intervals, "pattern").filter(active)
+    spans = F.array_sort(F.collect_list(F.struct("valid_from", "valid_to"))).alias("spans")
+    ordered = intervals.groupBy("list", "pattern").agg(spans)
+    span = last_before(F.col("spans"), F.col("_at"))
+    asof = keys.join(ordered, "pattern").select("_id", "_at", "list", "pattern", span.alias("span")).filter("span IS NOT NULL")
+    matched = asof.filter("span.valid_to IS NULL OR _at < span.valid_to")
     longest = F.min(F.struct((-F.length("pattern")).alias("less"), "pattern"))["pattern"]
     found = matched.groupBy("_id").agg(F.array_sort(F.collect_set("list")).alias("lists"), longest.alias("pattern"))
     rows, found = captures.drop("blocked", "lists", "pattern"), found.alias("found")
