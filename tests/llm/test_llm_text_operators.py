@@ -264,3 +264,21 @@ def test_inflating_a_stream_of_several_members_in_pieces():
     with pytest.raises(ValueError):
         list(warc.records(iter([data[:-2]])))
     assert zlib.crc32(first + second) == zlib.crc32(data)
+
+
+def test_bands_reject_gibberish_that_passes_the_base_rules(spark):
+    rng = np.random.default_rng(1)
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()]
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    noise = [" ".join("".join(rng.choice(letters, rng.integers(2, 11))) for _ in range(200)) for _ in range(12)]
+    strokes = [" ".join("".join(map(chr, rng.integers(0x4E00, 0x9FA0, rng.integers(2, 7)))) for _ in range(200)) for _ in range(4)]
+    coded = [t.encode("cp037", "ignore").decode("latin-1").replace("@", " ") for _, t, lang in docs if lang == "en" and t and t.isascii()][:20]
+    bad = [(t, lang) for t in noise for lang in ("en", "de", "fr", "es", None)] + [(t, None) for t in strokes] + [(t, "en") for t in coded]
+    bad += [("".join(map(chr, rng.permutation([ord(c) for c in t]))), lang) for t, lang in zip(noise, ("en", "de", "fr", "es"))]
+    rows = docs + [(10_000 + k, *b) for k, b in enumerate(bad)]
+    found = quality.add_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"), BYTE_BPE, PIECE_BPE).collect()
+    passed = [r for r in found if not r.base_failed]
+    made = [r for r in passed if r.doc_id >= 10_000]
+    assert len(made) >= 70 and not any(r.kept for r in made)
+    given = [r for r in passed if r.doc_id < 10_000]
+    assert sum(r.kept for r in given) >= 0.99 * len(given)
