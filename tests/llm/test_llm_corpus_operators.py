@@ -383,3 +383,38 @@ def test_pipeline_stages_keep_columns_that_operators_also_make(spark):
         assert out.columns == own.columns
         rows = out.collect()
         assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+
+
+def test_a_pattern_with_many_dates_is_searched_not_compared(spark):
+    rng = np.random.default_rng(3)
+    times = np.unique(rng.integers(0, 10_000, 2_000)).tolist()
+    entries = [(f"l{k % 2}", "a.com", "remove" if rng.random() < 0.5 else "add", t) for k, t in enumerate(times)]
+    captures = [(k, "http://a.com/x", int(t)) for k, t in enumerate(rng.integers(-5, 10_010, 300))]
+    df, listed = spark.createDataFrame(captures, "page_id long, url string, fetched_at int"), spark.createDataFrame(entries, "list string, pattern string, action string, at int")
+    evaluated = url_lists.evaluate_captures(df, listed)
+    for key, _, at in captures:
+        last = {name: max((t, action) for n, _, action, t in entries if n == name and t <= at)[1] for name in ("l0", "l1") if any(n == name and t <= at for n, _, _, t in entries)}
+        captures[key] = (key, sorted(n for n, action in last.items() if action == "add"))
+    assert sorted((r.page_id, list(r.lists)) for r in evaluated.select("page_id", "lists").collect()) == captures
+    # One row for each list and pattern is joined, so a capture is not copied for each date.
+    joined = evaluated._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in joined
+
+
+def test_samples_join_near_copies_at_a_fixed_number_of_rows(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in rng.integers(0, 10**6, 400)]
+    texts = []
+    for k in range(40):
+        copy = list(words)
+        copy[int(rng.integers(0, 400))] = f"x{k}"
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = ngram_join.set_keys(df.withColumnRenamed("doc_id", "id"), "text", 4)
+    edges = ngram_join.sample_edges(keyed).collect()
+    assert 0 < len(edges) <= 40 * ngram_join.SAMPLES
+    groups = components.components(ngram_join.sample_edges(keyed)).collect()
+    assert len({r.component for r in groups}) == 1
+    assert {r.component_id for r in ngram_join.link_documents(df).collect()} == {0}
+    tiny = [len(ngram_join.sample_keys(np.arange(n, dtype=np.uint64))) for n in (1, 2, 3)]
+    assert all(1 <= n <= ngram_join.SAMPLES for n in tiny)
