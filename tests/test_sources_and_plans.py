@@ -1,5 +1,6 @@
 """Readers, sinks, staging, whole runs and the row-local stream."""
 
+import csv
 import json
 
 import pytest
@@ -30,6 +31,42 @@ def test_csv_quotes_line_breaks_and_missing_cells(spark, tmp_path):
     assert [r.a for r in raw.filter("b = 4").collect()] == ["NA"]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_csv_files_are_split_inside_quotes(spark, tmp_path, monkeypatch, few):
+    from textmill.sources import csv_split
+
+    rows = [(str(k), None if k % 7 == 0 else "x, " * (k % 5) + '\n"q"\n' * (k % 11) + "é" + "\r\n" * (k % 3) + "end") for k in range(400)]
+    rows[50] = ("50", "long\n" * 300 + '"')  # crosses several blocks
+    folder = tmp_path / "train.csv"
+    folder.mkdir()
+    for name, part in (("a", rows[:250]), ("b", []), ("c", rows[250:])):
+        with open(folder / f"{name}.csv", "w", newline="") as file:
+            writer = csv.writer(file, lineterminator="\r\n" if name == "c" else "\n")
+            writer.writerows([("key", "two\nlines"), *part])
+            if name == "a":
+                file.write("\n")
+    (folder / "d.csv").write_text("")
+    if not few:
+        monkeypatch.setattr(csv_split, "SHIP_ROWS", 0)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        df = read_splits(spark, {"train": str(folder)}, split_files=True)["train"]
+        assert df.columns == ["key", "two\nlines", "_row_id"]
+        assert [tuple(r) for r in df.orderBy("_row_id").collect()] == [(*r, k) for k, r in enumerate(rows)]
+        typed = read_splits(spark, {"train": str(folder)}, schema="key int, text string", row_id="key", split_files=True)["train"]
+        assert sorted(tuple(r) for r in typed.collect()) == [(int(k), t) for k, t in rows]
+        lines = spark.read.option("lineSep", "\n").text(str(folder))
+        assert lines.select("_metadata.file_path", "_metadata.file_block_start").distinct().count() > 20
+        (folder / "d.csv").write_text('key,x\n1,"open\n')
+        with pytest.raises(Exception, match="not closed"):
+            read_splits(spark, {"train": str(folder)}, schema="key int, text string", row_id="key", split_files=True)["train"].collect()
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("kind", ["csv", "jsonl"])
 def test_row_ids_follow_files_and_lines(spark, tmp_path, kind):
     folder = tmp_path / f"rows.{kind}"

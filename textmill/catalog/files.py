@@ -30,6 +30,17 @@ def q_src_csv(spark, sf_dir):
     return read_splits(spark, {"train": folder}, schema=TURN_SCHEMA)["train"].drop("_row_id")
 
 
+@query("src_csv_split", "SELECT conv_id, turn, role, replace(text, ' ', ' \"' || chr(10)) AS text FROM conversations")
+def q_src_csv_split(spark, sf_dir):
+    folder = fresh_folder(spark, "csv")
+    # Every space is followed by a quote and a line break, so blocks begin inside quotes.
+    broken = F.replace("text", F.lit(" "), F.lit(' "\n'))
+    table(spark, sf_dir, "conversations").withColumn("text", broken).write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(folder)
+    return read_splits(spark, {"train": folder}, schema=TURN_SCHEMA, split_files=True)["train"].drop("_row_id")
+
+
 @query("src_json_columns", TURNS)
 def q_src_json_columns(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from textmill.operators.ranks import number_by_order, number_in_files
+from textmill.sources.csv_split import read_csv_split
 from textmill.sources.staging import path_exists
 
 ROW_ID = "_row_id"
@@ -30,6 +31,7 @@ def read_splits(
     multi_line: bool = True,
     infer_schema: bool = False,
     missing: Iterable[str] = CSV_MISSING,
+    split_files: bool = False,
 ) -> dict[str, DataFrame]:
     """Load the splits of ``raw_data``.
 
@@ -59,7 +61,7 @@ def read_splits(
         return {
             name: read_csv(
                 spark, path, schema, row_id=row_id, multi_line=multi_line,
-                infer_schema=infer_schema, missing=missing,
+                infer_schema=infer_schema, missing=missing, split_files=split_files,
             )
             for name, path in chosen.items()
         }
@@ -118,13 +120,18 @@ def read_csv(
     multi_line: bool = True,
     infer_schema: bool = False,
     missing: Iterable[str] = CSV_MISSING,
+    split_files: bool = False,
 ) -> DataFrame:
     """Comma-separated text with a header, RFC 4180 quoting.
 
     ``multi_line`` allows line breaks inside quotes and makes each file one task; switch it off for
-    big files without such breaks so that they can be split. Empty cells and the ``missing`` texts
-    are null.
+    big files without such breaks so that they can be split. ``split_files`` splits big files with such
+    breaks, at the price of further scans. Empty cells and the ``missing`` texts are null.
     """
+    if split_files:
+        if infer_schema:
+            raise ValueError("split files need a schema for types other than strings")
+        return read_csv_split(spark, path, schema, row_id=row_id, missing=missing, out=ROW_ID)
     reader = spark.read.options(
         header=True, sep=",", quote='"', escape='"', multiLine=multi_line, inferSchema=infer_schema,
         emptyValue="", mode="FAILFAST",
