@@ -197,6 +197,46 @@ def test_wrappers_with_unlikely_names_keep_the_article(page):
     assert html_extract.main_text(page) == ARTICLE_TEXT
 
 
+REMARKS = "".join(f"<div><b>Reader {k}</b><p>I think, as ever, that this is right, and well said, number {k}.</p></div>" for k in range(20))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><article>{ARTICLE}</article><section id=discussion>{REMARKS}</section></body>", ARTICLE_TEXT),
+        (f"<body><article>{ARTICLE}</article><section id=voices>{REMARKS}</section></body>", ARTICLE_TEXT),
+        (f"<body><article>{ARTICLE}</article><div class=post-comments>{REMARKS * 3}</div></body>", ARTICLE_TEXT),
+        (f"<article>{ARTICLE}<ul><li><a href=1>Source one</a><li><a href=2>Source two</a></ul></article>", f"{ARTICLE_TEXT}\n\nSource one\n\nSource two"),
+        (f"<article><div class=header><h1>Title</h1></div>{ARTICLE}</article>", f"Title\n\n{ARTICLE_TEXT}"),
+        (f"<article>{ARTICLE}<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p></article>", f"{ARTICLE_TEXT}\n\nSo x=1."),
+        (f"<body><div>{ARTICLE}</div><ul><li><a href=1>Menu one</a><li><a href=2>Menu two</a></ul></body>", ARTICLE_TEXT),
+        (f"<article>{ARTICLE}</article><p title='a > b", ARTICLE_TEXT),
+        (f"<article>{ARTICLE}</article><![CDATA[ <p title=", ARTICLE_TEXT),
+    ],
+)
+def test_named_articles_and_their_parts(page, text):
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "unit, tail",
+    [
+        ("<a ", ""), ("<![CDATA[", ""), ("<div>", "</span>"), ("<b>", "<p>x</p>y"), ("<script></script ", ""), ("<p title=\"x' ", ""),
+        ("<div class=comment>x", ""), ("<td><div>", "</td><p>"), ("<!", ""), ("&amp", "&"),
+    ],
+)
+def test_malformed_pages_take_time_in_proportion(unit, tail):
+    import time
+
+    def seconds(n: int) -> float:
+        begin = time.perf_counter()
+        html_extract.main_text(unit * n + tail * n)
+        return time.perf_counter() - begin
+
+    seconds(100)
+    assert seconds(40_000) < 20 * seconds(8_000) + 0.5 and seconds(40_000) < 6
+
+
 def test_a_page_of_unlikely_names_only_still_has_a_text():
     page = "<div class=promo><p>One, two.</p></div><div class=widget><p>Three, four, five.</p></div>"
     assert "Three, four, five." in html_extract.main_text(page)
