@@ -321,7 +321,8 @@ def _article(elements: list[Element], blocks: list[Block]) -> str:
             own = first_texts.get(other.order, "")
             plain = other.name == "p" and (other.chars > 80 and density < 0.25 or not density and _SENTENCE.search(own))
             title = other.name in ("h1", "h2") and other.order < best.order
-            other.chosen = bool(other.points * (1 - density) >= max(10.0, 0.2 * top) or plain or title)
+            apart = trust > 1 and best.article and not other.article
+            other.chosen = bool(title or not apart and (plain or other.points * (1 - density) >= max(10.0, 0.2 * top)))
     for element in elements[1:]:
         if element.parent.chosen and not element.chosen:
             lists = element.name in ("div", "section", "ul", "ol", "dl", "table")
