@@ -209,14 +209,13 @@ def recall(spark, vectors, asking, **settings):
     return np.mean([len(found[q] & set(b)) / 20 for q, b in zip(asking, best)])
 
 
-def test_index_ranks_all_that_full_blocks_hold(spark, monkeypatch):
-    monkeypatch.setattr(ann, "MOST_PIVOTS", 16)
+def test_index_reaches_its_recall_in_full_blocks(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(12_000, 64))
     vectors[:4000] = vectors[0] + 0.1 * rng.normal(size=(4000, 64))
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
     # With 6 posts and 8 probes of 16 files, hardly an entry is in none of the files read.
-    assert recall(spark, vectors, list(range(0, 12_000, 150))) >= 0.98
+    assert recall(spark, vectors, list(range(0, 12_000, 150)), pivots=16) >= 0.98
 
 
 @pytest.mark.parametrize("spread", [0.5, 1.0])
@@ -227,13 +226,33 @@ def test_index_reaches_its_recall_on_unequal_lengths(spark, spread):
     assert recall(spark, vectors, list(range(0, 6000, 40))) >= 0.93
 
 
-def test_queries_far_from_all_that_they_read_lose_no_rows(spark, monkeypatch):
-    monkeypatch.setattr(ann, "MOST_PIVOTS", 16)
+def test_footrule_of_a_block_by_hand():
+    orders = np.array([[2, 0], [1, 3], [0, 2]])
+    block = ann.Block(np.array([7, 8, 9]), orders, np.array([[1.0], [5.0], [3.0]]), 1, 4)
+    asks = np.array([0, 2, 1])  # pivot 3 stands behind the end
+    assert block.footrule(np.arange(3), asks).tolist() == [1 + 1, 2 + 2, 0 + 0]
+    assert [c.tolist() for c in block.nearest(asks, 0, np.array([1.0]), 2, None)] == [[8, 9], [5.0, 3.0], [1.0, 1 / 3]]
+    assert block.nearest(asks, 0, np.array([1.0]), 2, 0.6)[0].tolist() == [9, 7]  # the two nearest by footrule
+    assert block.nearest(asks, 1, np.array([1.0]), 2, 0.5)[0].tolist() == [7]  # pivot 0 was read before
+    assert block.nearest(asks, -1, np.array([1.0]), 1, 0.1)[0].tolist() == [8]
+
+
+def test_index_scores_a_small_part_of_what_it_reads(spark, monkeypatch):
+    parts = []
+    measure = ann.footrule_needed
+    monkeypatch.setattr(ann, "footrule_needed", lambda *a: parts.append(measure(*a)) or parts[-1])
+    vectors = np.random.default_rng(9).normal(size=(12_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    assert recall(spark, vectors, list(range(0, 12_000, 100))) >= 0.9
+    assert len(parts) == 1 and parts[0] < 0.4
+
+
+def test_queries_far_from_all_that_they_read_lose_no_rows(spark):
     vectors = np.concatenate([np.full((400, 2), 9.0) + np.random.default_rng(8).normal(size=(400, 2)), np.full((40, 2), -0.01)])
     vectors[400:] *= np.arange(1, 41)[:, None]
-    assert recall(spark, vectors, list(range(0, 440, 4)), posts=1, probes=1, share=0.0) > 0.0
+    assert recall(spark, vectors, list(range(0, 440, 4)), posts=1, probes=1, share=0.0, pivots=16) > 0.0
     df = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
-    found = ann.nearest_neighbours(df, F.col("vec_id") % 4 == 0, posts=1, probes=1, share=0.0).groupBy("query_id").count().collect()
+    found = ann.nearest_neighbours(df, F.col("vec_id") % 4 == 0, posts=1, probes=1, share=0.0, pivots=16).groupBy("query_id").count().collect()
     assert sorted(map(tuple, found)) == [(k, 20) for k in range(0, 440, 4)]
 
 

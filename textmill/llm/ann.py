@@ -1,13 +1,16 @@
 """Nearest neighbours by inner product with a permutation index.
 
 A vector is represented by the pivots in order of distance. It is posted in the inverted files of the
-nearest few, and a query reads the files of its own nearest pivots, which are more. All that it finds
-there is ranked by the inner product in double precision. Inner products become distances by one more
-coordinate, which fills every entry up to the length of the longest and is 0 for a query, so a query
-has its pivots in the order of their inner products with it.
+nearest few, and a query reads the files of its own nearest pivots, which are more. What it finds there
+is ranked by the footrule distance of the stored order of pivots from the query's own, and the best
+share of each block is ranked again by the inner product in double precision. Inner products become
+distances by one more coordinate, which fills every entry up to the length of the longest and is 0 for
+a query, so a query has its pivots in the order of their inner products with it.
 
-How many files are read is measured on the vectors at hand: a sample of the queries is compared with
-all entries, and as many files are read as hold the wanted share of the sample's neighbours.
+How many files are read, and which share of a block is ranked again, is measured on the vectors at hand:
+a sample of the queries is compared with all entries, and as many files are read as hold the wanted
+share of the sample's neighbours; then the sample reads these files whole, and the share follows from
+the places that its neighbours have in them by footrule.
 
 Equal vectors are one entry with the smallest ids, so a vector that is very common is searched once.
 Files are cut into blocks of bounded size. A query that finds too few is compared with all entries,
@@ -16,19 +19,28 @@ block by block.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, ShortType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from textmill.llm.arrow import add_columns
 from textmill.sources.staging import stage
 
-MOST_PIVOTS = 256
+LEAST_PIVOTS = 256
+STORED = 64  # nearest pivots whose order is stored for an entry
 BLOCK_ROWS = 4096
-SAMPLED = 256  # queries whose neighbours decide how many files are read
+SAMPLED = 256  # queries whose neighbours decide how many files are read, and what is ranked again
+
+FOUND = StructType([StructField("query", LongType()), StructField("id", LongType()), StructField("score", DoubleType()), StructField("place", DoubleType())])
+
+
+def pivots_for(entries: int) -> int:
+    """Twice the square root of the number of entries, so that files grow as slowly as their number."""
+    return max(LEAST_PIVOTS, 2 * math.isqrt(entries))
 
 
 def usable(vector: Column) -> Column:
@@ -65,38 +77,53 @@ def add_permutation(df: DataFrame, pivots: np.ndarray, longest: float, prefix: i
                 some = np.argpartition(-products, prefix - 1, axis=1)[:, :prefix] if prefix < len(ends) else np.tile(np.arange(len(ends)), (len(products), 1))
                 order = np.argsort(-np.take_along_axis(products, some, axis=1), axis=1, kind="stable")
                 found.append(np.take_along_axis(some, order, axis=1))
-            near = np.concatenate(found).astype(np.int16)
+            near = np.concatenate(found).astype(np.int32)
             return [pa.ListArray.from_arrays(pa.array(np.arange(len(near) + 1) * prefix, pa.int32()), pa.array(near.ravel()))]
 
         return columns
 
-    return add_columns(df, [StructField("near", ArrayType(ShortType(), False), False)], make)
+    return add_columns(df, [StructField("near", ArrayType(IntegerType(), False), False)], make)
 
 
 class Block:
-    """Entries of one inverted file, or of a part of it, and the pivots that they are posted under."""
+    """Entries of one inverted file, or of a part of it: the order of their pivots, of which ``posts`` are those they are posted under."""
 
-    def __init__(self, ids: np.ndarray, posted: np.ndarray, vectors: np.ndarray, pivots: int):
-        self.ids, self.posted, self.vectors, self.pivots = ids, posted, vectors, pivots
+    def __init__(self, ids: np.ndarray, orders: np.ndarray, vectors: np.ndarray, posts: int, pivots: int):
+        self.ids, self.orders, self.vectors, self.posts, self.pivots = ids, orders, vectors, posts, pivots
 
-    def nearest(self, before: np.ndarray, vector: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and products of the best ``k``.
+    def footrule(self, rows: np.ndarray, order: np.ndarray) -> np.ndarray:
+        """Distances of the stored orders of ``rows`` from ``order``; a pivot that is not in it stands behind its end."""
+        place = np.full(self.pivots, len(order), dtype=np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        return np.abs(place[self.orders[rows]] - np.arange(self.orders.shape[1], dtype=np.int32)).sum(axis=1)
 
-        ``before`` are the pivots whose files the query reads before this one; what they hold is left to them.
+    def nearest(self, order: np.ndarray, file: int, vector: np.ndarray, k: int, share: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, products and places by footrule (as shares of the block) of the best ``k``.
+
+        ``file`` is the number of files that the query, whose order of pivots is ``order``, reads before this
+        one; what they hold is left to them. Of the rest the best ``share`` by footrule is ranked by products,
+        with all that are as near as its last; without a share, and for a negative ``file``, everything is.
         """
-        ids, vectors = self.ids, self.vectors
-        if len(before):
+        rows = np.arange(len(self.ids))
+        if file > 0:
             read = np.zeros(self.pivots, dtype=bool)
-            read[before] = True
-            new = np.flatnonzero(~read[self.posted].any(axis=1))
-            ids, vectors = ids[new], vectors[new]
-        products = vectors @ vector
+            read[order[:file]] = True
+            rows = np.flatnonzero(~read[self.orders[:, : self.posts]].any(axis=1))
+        distances = None if file < 0 or not len(rows) else self.footrule(rows, order)
+        some = rows
+        if distances is not None and share is not None:
+            last = min(len(rows), math.ceil(share * len(rows))) - 1
+            if last < len(rows) - 1:
+                some = rows[distances <= np.partition(distances, max(last, 0))[max(last, 0)]]
+        ids, products = self.ids[some], self.vectors[some] @ vector
+        best = np.arange(len(ids))
         if len(ids) > k:
-            bound = np.partition(products, len(ids) - k)[len(ids) - k]
-            some = products >= bound
-            ids, products = ids[some], products[some]
-        order = np.lexsort((ids, -products))[:k]
-        return ids[order], products[order]
+            best = np.flatnonzero(products >= np.partition(products, len(ids) - k)[len(ids) - k])
+        best = best[np.lexsort((ids[best], -products[best]))[:k]]
+        places = np.zeros(len(best))
+        if distances is not None and share is None:
+            places = (np.searchsorted(np.sort(distances), distances[best]) + 1) / len(rows)
+        return ids[best], products[best], places
 
 
 def files_needed(indexed: DataFrame, sample: DataFrame, pivots: np.ndarray, k: int, posts: int, share: float) -> int:
@@ -143,12 +170,20 @@ def files_needed(indexed: DataFrame, sample: DataFrame, pivots: np.ndarray, k: i
     return 1
 
 
-def search_blocks(rows: DataFrame, k: int, pivots: int, posts: int, size: int) -> DataFrame:
-    """``query, id, score`` from entries (``file`` null) and queries that meet in blocks ``pivot, salt``.
+def footrule_needed(found: DataFrame, share: float) -> float:
+    """The least part of a block by footrule that holds ``share`` of the neighbours ``found`` by reading whole blocks.
 
-    ``near`` holds the ``posts`` pivots of an entry, and of a query those whose files it reads before this one.
+    One row for each of a sample's neighbours comes to the driver.
+    """
+    places = sorted(r[0] for r in found.select("place").collect())
+    return places[max(0, math.ceil(share * len(places)) - 1)] if places else 1.0
+
+
+def search_blocks(rows: DataFrame, k: int, pivots: int, posts: int, size: int, share: float | None) -> DataFrame:
+    """``query, id, score, place`` from entries (``file`` null) and queries that meet in blocks ``pivot, salt``.
+
+    ``near`` holds the order of an entry's or a query's pivots. See ``Block.nearest`` for ``file`` and ``share``.
     """
-    schema = StructType([StructField("query", LongType()), StructField("id", LongType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, block = None, [], None
@@ -164,22 +199,24 @@ def search_blocks(rows: DataFrame, k: int, pivots: int, posts: int, size: int) -
                 vectors = _matrix(part.column("vector"), size)
                 entries = np.array(part.column("file").is_null())
                 if entries.any():
-                    posted = near.filter(pa.array(entries)).flatten().to_numpy().reshape(-1, posts)
-                    parts.append((ids[entries], posted, vectors[entries]))
+                    some = near.filter(pa.array(entries))
+                    parts.append((ids[entries], some.flatten().to_numpy().reshape(len(some), -1), vectors[entries]))
                 if entries.all() or not parts:
                     continue
-                block = block or Block(*(np.concatenate(x) for x in zip(*parts)), pivots)
-                found = [(ids[i], *block.nearest(near[int(i)].values.to_numpy(), vectors[i], k)) for i in np.flatnonzero(~entries)]
-                columns = [np.repeat([f[0] for f in found], [len(f[1]) for f in found]), *(np.concatenate([f[c] for f in found]) for c in (1, 2))]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=schema.names)
+                block = block or Block(*(np.concatenate(x) for x in zip(*parts)), posts, pivots)
+                files = part.column("file").to_pylist()
+                asking = np.flatnonzero(~entries).tolist()
+                found = [(ids[i], *block.nearest(near[i].values.to_numpy(), files[i], vectors[i], k, share)) for i in asking]
+                columns = [np.repeat([f[0] for f in found], [len(f[1]) for f in found]), *(np.concatenate([f[c] for f in found]) for c in (1, 2, 3))]
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names=FOUND.names)
 
     dealt = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.col("file").isNotNull())
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(run, FOUND)
 
 
 def nearest_neighbours(
     df: DataFrame, queries: Column, k: int = 20, row_id: str = "vec_id", vector: str = "embedding",
-    posts: int = 6, probes: int = 40, share: float = 0.96,
+    posts: int = 6, probes: int = 40, share: float = 0.97, ranked: float = 0.99, pivots: int | None = None,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found to every row for which ``queries`` holds.
 
@@ -188,10 +225,11 @@ def nearest_neighbours(
     empty, zero or hold null or non-finite components, take no part; vectors of different lengths
     are searched apart. Repeated rows count once. Other columns are not read.
 
-    Pivots are ``MOST_PIVOTS`` entries chosen by a hash of their ids, or all entries if there are fewer;
-    they alone come to the driver. Every entry is indexed, in ``posts`` files; a query reads ``probes``
-    files, or more if fewer than ``share`` of the true neighbours of a sample of ``SAMPLED`` queries are in
-    them, up to all files. Everything in the files read is ranked.
+    ``pivots`` entries (``pivots_for`` their number by default) are chosen by a hash of their ids, or all
+    entries if there are fewer; they and the sample of ``SAMPLED`` queries alone come to the driver. Every
+    entry is indexed, in ``posts`` files; a query reads ``probes`` files, or more if fewer than ``share`` of
+    the true neighbours of the sample are in them, up to all files. In each block, as large a share by
+    footrule is ranked by products as holds ``ranked`` of the neighbours that the sample finds in its files.
     """
     rows = df.filter(F.col(row_id).isNotNull() & usable(F.col(vector)))
     rows = rows.select(F.col(row_id).cast("long").alias("id"), F.col(vector).alias("vector"), queries.alias("asks")).distinct()
@@ -205,25 +243,26 @@ def nearest_neighbours(
     out = df.sparkSession.createDataFrame([], schema)
     for size in sorted(r[0] for r in entries.select(F.size("vector")).distinct().collect()):
         some = entries.filter(F.size("vector") == size)
-        out = out.unionByName(_search(some, asked, size, k, posts, probes, share))
+        out = out.unionByName(_search(some, asked, size, k, posts, probes, share, ranked, pivots))
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("vec_id").alias(row_id), "score")
 
 
-def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int, probes: int, share: float) -> DataFrame:
+def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int, probes: int, share: float, ranked: float, wanted_pivots: int | None) -> DataFrame:
     longest = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     count, most, names = entries.agg(F.count("*"), F.max(longest), F.sum(F.size("ids"))).head()
-    number = min(count, MOST_PIVOTS)
+    number = min(count, wanted_pivots or pivots_for(count))
     chosen = entries.orderBy(F.xxhash64("id"), "id").limit(number).select("vector").collect()
     pivots = np.array([r[0] for r in chosen], dtype=np.float64)
     posts = min(posts, (number + 1) // 2)
-    indexed = stage(add_permutation(entries.drop("ids"), pivots, float(most), posts), "indexed")
-    posted = indexed.select("id", "near", "vector", F.explode(F.slice(F.col("near").cast("array<int>"), 1, posts)).alias("pivot"))
+    stored = max(posts, min(STORED, number))
+    indexed = stage(add_permutation(entries.drop("ids"), pivots, float(most), stored), "indexed")
+    posted = indexed.select("id", "near", "vector", F.explode(F.slice("near", 1, posts)).alias("pivot"))
     files = posted.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK_ROWS)).cast("int").alias("salts"))
     files = F.broadcast(stage(files, "files"))  # one row for each pivot
     wanted = stage(indexed.drop("near").join(asked.select("id").distinct(), "id", "left_semi"), "wanted")
     sample = wanted.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(SAMPLED)
     probes = max(min(probes, (number + 1) // 2), files_needed(indexed, sample, pivots, k, posts, share))
-    wanted = add_permutation(wanted, pivots, float(most), probes, asking=True)
+    wanted = add_permutation(wanted, pivots, float(most), min(number, max(probes, 2 * stored)), asking=True)
 
     def dealt(entry_rows: DataFrame) -> DataFrame:
         rows = entry_rows.join(files, "pivot").withColumn("salt", F.pmod(F.xxhash64("id"), "salts").cast("int"))
@@ -231,8 +270,7 @@ def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int,
 
     def asking(query_rows: DataFrame) -> DataFrame:
         rows = query_rows.join(files, "pivot")
-        before = F.slice("near", 1, F.greatest("file", F.lit(0))).alias("near")
-        return rows.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", before, "vector", "file")
+        return rows.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "id", "near", "vector", "file")
 
     def top(found: DataFrame) -> DataFrame:
         best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
@@ -247,17 +285,21 @@ def _search(entries: DataFrame, asked: DataFrame, size: int, k: int, posts: int,
         near = F.array_sort(F.filter(F.flatten(F.transform("found", one)), lambda x: x["vec_id"] != F.col("query_id")))
         return joined.select("query_id", "id", F.slice(near, 1, k).alias("near"))
 
-    asks = wanted.select("id", "near", "vector", F.posexplode(F.col("near").cast("array<int>")).alias("file", "pivot"))
-    met = dealt(posted).unionByName(asking(asks))
-    first = stage(named(top(search_blocks(met, k + 1, number, posts, size))), "first")
+    def found_by(query_rows: DataFrame, part: float | None) -> DataFrame:
+        asks = query_rows.select("id", "near", "vector", F.posexplode(F.slice("near", 1, probes)).alias("file", "pivot"))
+        return top(search_blocks(dealt(posted).unionByName(asking(asks)), k + 1, number, posts, size, part))
+
+    tried = found_by(wanted.join(sample.select("id"), "id", "left_semi"), None).filter("query <> id")
+    part = footrule_needed(tried, ranked)
+    first = stage(named(found_by(wanted, part)), "first")
     short = F.coalesce(F.size("near"), F.lit(0)) < min(k, names - 1)
     lacking = stage(first.filter(short).select("id").distinct(), "lacking")
     found = first
     if not lacking.isEmpty():
-        home = indexed.select("id", "near", "vector", F.element_at("near", 1).cast("int").alias("pivot"))
+        home = indexed.select("id", "near", "vector", F.element_at("near", 1).alias("pivot"))
         every = F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias("pivot")
         again = wanted.join(lacking, "id", "left_semi").select("id", "near", "vector", every, F.lit(-1).alias("file"))
-        whole = named(top(search_blocks(dealt(home).unionByName(asking(again)), k + 1, number, posts, size)))
+        whole = named(top(search_blocks(dealt(home).unionByName(asking(again)), k + 1, number, posts, size, None)))
         found = first.filter(~short).unionByName(whole.join(lacking, "id", "left_semi").select(first.columns))
     ranked = found.select("query_id", F.posexplode("near").alias("place", "one"))
     return ranked.select("query_id", (F.col("place") + 1).cast("long").alias("rank"), "one.vec_id", (-F.col("one.less")).alias("score"))
