@@ -100,6 +100,29 @@ def test_token_files_round_trip_in_id_order(spark, library):
     assert empty.count() == 0 and token_files.read_token_files(empty).count() == 0
 
 
+def test_any_sequence_of_the_token_files_without_a_copy(spark, library):
+    texts = [f"Sequence {n} of the token files. " * (n % 7) for n in range(3000)] + ["long " * 9000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    manifest = token_files.write_token_files(df, BYTE_BPE, length=16)
+    expected = [i for e in library.encode_batch(texts, add_special_tokens=False) for i in [*e.ids, 0]]
+    with token_files.TokenSequences(manifest, length=16) as sequences:
+        assert len(sequences) == sum(-(-r.n_tokens // 16) for r in manifest.collect()) > 2 * token_files.ROWS_PER_BATCH
+        allocated = pa.total_allocated_bytes()
+        some = {i: sequences[i] for i in [len(sequences) - 1, *range(0, len(sequences), 97)]}
+        assert pa.total_allocated_bytes() == allocated
+        for tokens, mask in some.values():
+            assert len(tokens) == len(mask) == 16 and not tokens.flags.owndata and not tokens.flags.writeable
+        found = [t for i in range(len(sequences)) for t, m in zip(sequences[i][0].tolist(), sequences[i][1].to_pylist()) if m]
+        assert found == expected
+        with pytest.raises(IndexError):
+            sequences[len(sequences)]
+    with token_files.TokenSequences(manifest, length=8) as wrong, pytest.raises(ValueError):
+        wrong[0]
+    with token_files.TokenSequences(manifest.limit(0), length=16) as empty:
+        assert len(empty) == 0
+
+
+
 def counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = list(zip(words, words[1:], words[2:]))

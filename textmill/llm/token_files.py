@@ -2,8 +2,9 @@
 
 A shard is one Arrow IPC file. Its record batches have two columns of fixed-size lists: ``tokens``
 (unsigned integers of the narrowest width that holds the vocabulary) and ``mask`` (false only for
-the padding at the end of the shard). All values of a column lie in one uncompressed buffer, so a
-reader that maps the file takes any sequence or mask as a slice, without a copy. Documents follow
+the padding at the end of the shard). All values of a column lie in one uncompressed buffer, and all
+batches but a shard's last have the same number of rows, so ``TokenSequences`` finds any sequence at
+once and takes it and its mask from a mapped file as slices, without a copy. Documents follow
 each other without padding in ascending id order, within a shard and from shard to shard. Beside
 each shard lies ``.docs``, an Arrow file with the id and the number of tokens of each document.
 
@@ -13,6 +14,8 @@ own, and only those that the manifest names count.
 
 from __future__ import annotations
 
+import bisect
+import contextlib
 import functools
 from collections.abc import Iterator
 
@@ -122,7 +125,7 @@ class ShardWriter:
         self.waiting.append(tokens)
         self.size += len(tokens)
         if self.size >= self.step * ROWS_PER_BATCH:
-            self.flush(self.size // self.step)
+            self.flush(self.size // (self.step * ROWS_PER_BATCH) * ROWS_PER_BATCH)
 
     def flush(self, rows: int, filled: int | None = None) -> None:
         data = b"".join(self.waiting)
@@ -247,3 +250,50 @@ def _documents(folder: str, name: str, before: int) -> Iterator[pa.RecordBatch]:
                 names=["id", "start", "n_tokens", "tokens"],
             )
             before += tokens
+
+
+class TokenSequences:
+    """Random access to the sequences of all shards of a manifest, for a data loader.
+
+    ``sequences[i]`` is the ``i``-th of ``len(sequences)`` by shard and place: its token ids as a numpy
+    array and its mask as an Arrow array of booleans, both views of the mapped file (of the batch read,
+    where the folder is no local one). Of the manifest, one row for each shard comes to this process;
+    shards are opened when they are first asked for and stay open until ``close``.
+    """
+
+    def __init__(self, manifest: DataFrame, length: int = 2048):
+        self.shards = manifest.select("folder", "file", "n_tokens").orderBy("shard").collect()
+        self.starts = [0]  # sequences of all shards before each one
+        for row in self.shards:
+            self.starts.append(self.starts[-1] + -(-row["n_tokens"] // length))
+        self.length, self.opened, self.files = length, {}, contextlib.ExitStack()
+
+    def __len__(self) -> int:
+        return self.starts[-1]
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        if not 0 <= i < len(self):
+            raise IndexError(f"{i} is not one of {len(self)} sequences")
+        number = bisect.bisect_right(self.starts, i) - 1
+        batch, row = divmod(i - self.starts[number], ROWS_PER_BATCH)
+        tokens, mask = self._shard(number).get_batch(batch).columns
+        return tokens[row].values.to_numpy(zero_copy_only=True), mask[row].values
+
+    def _shard(self, number: int) -> pa.ipc.RecordBatchFileReader:
+        if number not in self.opened:
+            row = self.shards[number]
+            shard = pa.ipc.open_file(self.files.enter_context(reading(row["folder"], f"{row['file']}.arrow")))
+            if shard.schema.field("tokens").type.list_size != self.length:
+                raise ValueError(f"{row['file']} holds no sequences of {self.length} tokens")
+            self.opened[number] = shard
+        return self.opened[number]
+
+    def close(self) -> None:
+        self.opened.clear()
+        self.files.close()
+
+    def __enter__(self) -> TokenSequences:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
