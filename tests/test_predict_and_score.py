@@ -19,7 +19,7 @@ from textmill.operators.predict import (
     register_python_postprocessor,
     tidy_text,
 )
-from textmill.operators.score import bleu, exact_match, mt_tokens, register_metric, score
+from textmill.operators.score import bleu, bleu_counts, exact_match, mt_tokens, register_metric, score
 
 # The models below travel with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -201,3 +201,15 @@ def test_named_metrics_share_one_scan_and_partial_sums(spark, tmp_path):
     assert values == apart and values["exact_match", "exact_match"] == pytest.approx(sum(p == t for _, p, t in rows) / 404)
     empty = {r.field: r.value for r in score(df.limit(0), ["bleu", "exact_match"]).collect()}
     assert empty["bleu"] == 0.0 and empty["exact_match"] == 0.0
+
+
+def test_ngrams_are_no_rows_of_a_table(spark):
+    rows = [(i, "a b c d a b", "a b x") for i in range(20)]
+    df = spark.createDataFrame(rows, "_row_id long, prediction string, target string")
+    counts = bleu_counts(df, tokens)
+    assert "keys=[row" not in counts._jdf.queryExecution().executedPlan().toString()
+    found = {r.n: (r.matches, r.possible, r.target_grams) for r in counts.collect()}
+    assert found == {1: (40, 120, 60), 2: (20, 100, 40), 3: (0, 80, 20), 4: (0, 60, 0)}
+    assert bleu_counts(df.filter("_row_id < 0"), tokens).collect() == []
+    short = bleu_counts(spark.createDataFrame([(1, "a", "b c")], df.schema), tokens)
+    assert {r.n for r in short.collect()} == {1, 2}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, LongType
 
-from textmill.functions.text import tokens
+from textmill.functions.workers import runs
 
 BLEU_ORDER = 4
 # A run of characters that are not white space to Python's str.split().
@@ -37,10 +37,26 @@ def mt_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(VISIBLE), F.lit(0))
 
 
-def _windows(words: str) -> Column:
-    """Each token of a row with the three that follow it; past the end they are null."""
-    later = [F.slice(words, place, F.greatest(F.size(words), F.lit(1))) for place in (2, 3, 4)]
-    return F.arrays_zip(*(c.alias(name) for c, name in zip([F.col(words), *later], "abcd")))
+def _matches(words: list[str], wanted: list[str]) -> list[int]:
+    """The clipped matches of one pair, n = 1..4."""
+    out = []
+    for n in range(1, BLEU_ORDER + 1):
+        found = Counter(zip(*(words[k:] for k in range(n))))
+        there = Counter(zip(*(wanted[k:] for k in range(n))))
+        out.append(sum(min(count, there[gram]) for gram, count in found.items() if gram in there))
+    return out
+
+
+@arrow_udf(ArrayType(LongType()))
+def _row_counts(predictions: pa.Array, targets: pa.Array) -> pa.Array:
+    """For each row the clipped matches, the possible n-grams and the target's n-grams, n = 1..4 each."""
+    out = []
+    for first, rows in runs(len(predictions), predictions.nbytes + targets.nbytes):
+        pairs = zip(predictions.slice(first, rows).to_pylist(), targets.slice(first, rows).to_pylist())
+        for words, wanted in pairs:
+            sizes = [max(0, len(side) - n) for side in (words, wanted) for n in range(BLEU_ORDER)]
+            out.append([*_matches(words, wanted), *sizes])
+    return pa.array(out, pa.list_(pa.int64()))
 
 
 def bleu_counts(
@@ -53,12 +69,11 @@ def bleu_counts(
 ) -> DataFrame:
     """``(n, matches, possible, target_grams)`` for n = 1..4 over all rows.
 
-    Texts are spread by row id once; n-grams are made after that and counted where they are made, so
-    the shuffle carries each text once and no n-gram, and no group is larger than a text. A table
-    without row ids is reduced to its distinct pairs with a weight first: equal pairs add equal
-    counts, so the sums are the same, and a very frequent pair stays one row.
+    Texts are spread by row id once; the n-grams of a row are counted inside the row, so no n-gram is a row of a
+    table, and a few sums for each partition move. A table without row ids is reduced to its distinct pairs
+    with a weight first: equal pairs add equal counts, so the sums are the same, and a very frequent pair stays one row.
     """
-    p, t = (F.coalesce(F.col(c), F.lit("")) for c in (prediction, target))
+    p, t = _texts(F.col(prediction), F.col(target))
     if row_id in df.columns:
         rows = df.select(F.col(row_id).alias("row"), p.alias("p"), t.alias("t"), F.lit(1).alias("weight"))
     else:
@@ -68,34 +83,19 @@ def bleu_counts(
     # A fixed number of partitions: the n-grams need the parallelism, small as the texts may be.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, "row").select(
-        "row", "weight", tokenize(F.col("p")).alias("p"), tokenize(F.col("t")).alias("t")
+        "weight", _row_counts(tokenize(F.col("p")), tokenize(F.col("t"))).alias("counts")
     )
-    sides = [F.struct(F.lit(side).alias("side"), _windows(side).alias("windows")) for side in ("p", "t")]
-    windows = (
-        rows.select("row", "weight", F.explode(F.array(*sides)).alias("s"))
-        .select("row", "weight", "s.side", F.explode("s.windows").alias("w"))
-        .select("row", "weight", "side", "w.*")
-    )
-    # The n-gram at a token is the first n words of its window, if the window has that many.
-    grams = [
-        F.struct(
-            F.when(F.col("abcd"[n - 1]).isNotNull(), n).alias("n"),
-            *(F.when(F.lit(place < n), F.col(word)).alias(word) for place, word in enumerate("abcd")),
-        )
-        for n in range(1, BLEU_ORDER + 1)
-    ]
     # A pair that stands for several rows counts that often on both sides, so the smaller count does too.
-    per_gram = (
-        windows.select("row", "weight", "side", F.inline(F.array(*grams)))
-        .filter(F.col("n").isNotNull())
-        .groupBy("row", "n", *"abcd")
-        .agg(*(F.sum(F.when(F.col("side") == side, F.col("weight")).otherwise(0)).alias(side) for side in "pt"))
-    )
-    return per_gram.groupBy("n").agg(
-        F.sum(F.least("p", "t")).alias("matches"),
-        F.sum("p").alias("possible"),
-        F.sum("t").alias("target_grams"),
+    sums = rows.agg(*(F.sum(F.col("counts")[k] * F.col("weight")).alias(f"s{k}") for k in range(3 * BLEU_ORDER)))
+    names = ("matches", "possible", "target_grams")
+    by_n = F.array(
+        *(
+            F.struct(F.lit(n).alias("n"), *(F.col(f"s{k * BLEU_ORDER + n - 1}").alias(name) for k, name in enumerate(names)))
+            for n in range(1, BLEU_ORDER + 1)
+        )
     )
+    # No row for n-grams that no text has.
+    return sums.select(F.inline(by_n)).filter("possible + target_grams > 0")
 
 
 def _bleu_fields(m: dict[int, Column], c: dict[int, Column], ref: Column) -> list[tuple[str, Column]]:
@@ -132,21 +132,6 @@ def bleu(df: DataFrame, tokenize: Callable[[Column], Column] = mt_tokens, **colu
     return _long("bleu", wide, _bleu_fields(*by_order, F.col("ref")))
 
 
-@arrow_udf(ArrayType(LongType()))
-def _row_counts(predictions: pa.Array, targets: pa.Array) -> pa.Array:
-    """For each row the clipped matches and the possible n-grams, n = 1..4, then the target's tokens."""
-    out = []
-    for words, wanted in zip(predictions.to_pylist(), targets.to_pylist()):
-        matches, possible = [], []
-        for n in range(1, BLEU_ORDER + 1):
-            found = Counter(zip(*(words[k:] for k in range(n))))
-            there = Counter(zip(*(wanted[k:] for k in range(n))))
-            matches.append(sum(min(count, there[gram]) for gram, count in found.items() if gram in there))
-            possible.append(max(0, len(words) - n + 1))
-        out.append([*matches, *possible, len(wanted)])
-    return pa.array(out, pa.list_(pa.int64()))
-
-
 def _texts(prediction: Column, target: Column) -> tuple[Column, Column]:
     return F.coalesce(prediction, F.lit("")), F.coalesce(target, F.lit(""))
 
