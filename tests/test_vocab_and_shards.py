@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import vocab as vocab_module
 from textmill.operators.lengths import filter_long
+from textmill.operators.predict import decode_output
 from textmill.operators.shard import (
     batch_rows,
     collate,
@@ -129,3 +130,32 @@ def test_effective_batch_size():
     assert effective_batch_size(2, 4, "ddp") == 8
     assert effective_batch_size(2, 0, "ddp") == 2
     assert effective_batch_size(2, 4, "auto") == 2
+
+
+def test_joined_encoding_reads_texts_once_after_counting(spark, monkeypatch):
+    # Hot, rare and very long tokens in one text, null and empty texts, a repeated row, two columns.
+    many = [" ".join(f"w{k % 7} r{k}".replace("0", "a") for k in range(i, i + 60)) for i in range(30)]
+    rows = [(i, t, None if i % 3 else "zebra " + t) for i, t in enumerate([*many, "x" * 100 + " w" + "x" * 100, "", None])]
+    df = spark.createDataFrame([*rows, rows[4]], "_row_id long, text string, other string")
+    columns = {"text": "ids", "other": "more"}
+    key = lambda d: sorted(((r._row_id, r.ids, r.more) for r in d.collect()), key=str)
+    monkeypatch.setattr(vocab_module, "HOT_SHARE", 1)
+    for size in (5, 40, 1_000):
+        vocab = build_vocab(df, "text", size)
+        joined = encode_by_join(df, columns, vocab)
+        assert key(joined) == key(encode(df, columns, vocab))
+        # The texts are read for the places of rare tokens and for the rows themselves, not once more for hot ones.
+        assert "Union" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def counting_tokenizer():
+    return lambda batch: [[len(batch)] for _ in batch]
+
+
+def test_user_code_gets_bounded_runs_of_an_arrow_batch(spark):
+    df = spark.range(3000).select(F.col("id").alias("_row_id"), F.repeat(F.lit("x"), 2000).alias("text")).coalesce(1)
+    seen = encode(df, {"text": "ids"}, tokenizer=counting_tokenizer).select(F.element_at("ids", 1).alias("n")).collect()
+    assert len(seen) == 3000 and max(r.n for r in seen) < 1000
+    texts = df.select("_row_id", F.array(F.lit(1)).alias("input_ids"), F.sequence(F.lit(0), F.lit(600)).alias("output_ids"))
+    decoded = decode_output(texts, decoder=lambda: lambda ids: [str(len(ids))] * len(ids), tidy=False).collect()
+    assert len(decoded) == 3000 and max(int(r.prediction) for r in decoded) < 1000

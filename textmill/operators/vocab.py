@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from textmill.functions.arrays import empty_ids
 from textmill.functions.keys import required
 from textmill.functions.text import tokens
-from textmill.functions.workers import once_per_worker
+from textmill.functions.workers import once_per_worker, runs
 from textmill.operators.ranks import number_by_order, rank_cut
 from textmill.sources.staging import SHIP_BYTES, SHIP_ROWS, stage
 
@@ -26,6 +26,7 @@ RESERVED = ("<unk>", "<bos>", "<eos>")
 # Tokens that hold more than one in this many are looked up apart from the rest.
 HOT_SHARE = 1_000
 HOT_BYTES = 4_096  # and are at most this long, so that the hot table is at most 4 MB
+WARM_BYTES = 64  # so short, a hundredth of that share is enough: at most 100,000 tokens and 6.4 MB more
 # Up to this many rows in one reducer the top tokens are taken directly.
 TOP_ROWS = 5_000_000
 
@@ -117,10 +118,13 @@ def _dictionary(columns: tuple[pa.Array, pa.Array]) -> dict:
 
 
 def _looked_up(known: dict, values: pa.Array, default, kind: pa.DataType) -> pa.Array:
-    """The entry of every value; each distinct value of the batch is looked up once."""
-    distinct = values.dictionary_encode()
-    found = pa.array([known.get(v, default) for v in distinct.dictionary.to_pylist()], kind)
-    return pc.take(found, distinct.indices)
+    """The entry of every value; each distinct value of a run is looked up once."""
+    out = []
+    for first, rows in runs(len(values), values.nbytes):
+        distinct = values.slice(first, rows).dictionary_encode()
+        found = pa.array([known.get(v, default) for v in distinct.dictionary.to_pylist()], kind)
+        out.append(pc.take(found, distinct.indices))
+    return pa.concat_arrays(out) if out else pa.array([], kind)
 
 
 def _lists(like: pa.Array, flat: pa.Array) -> pa.Array:
@@ -135,52 +139,100 @@ def _lists(like: pa.Array, flat: pa.Array) -> pa.Array:
 def encode_by_join(
     df: DataFrame, columns: Mapping[str, str], vocab: DataFrame, row_id: str = "_row_id"
 ) -> DataFrame:
-    """Encode against a vocabulary of any size, by joins.
+    """Encode against a vocabulary of any size, by joins, see :func:`_values_by_join`."""
+    known = vocab.filter(F.col("id") >= len(RESERVED)).select("token", "id")
+    lists = {out: tokens(F.col(text)) for text, out in columns.items()}
+    return _values_by_join(df, lists, known, row_id, ArrayType(IntegerType(), False), UNK)
 
-    The distinct tokens are joined with the vocabulary first, one row per token on both sides. Tokens
-    that hold more than 1/``HOT_SHARE`` of all occurrences are at most ``HOT_SHARE`` rows, so they are
-    broadcast; every other token is rare enough for a shuffle join. Ids are then regrouped by row,
-    which moves only ids and positions, and joined to the full rows once. Rows of one id, as padded
-    ranks have them, hold the same texts: a position counts once however often its row is there.
+
+def _values_by_join(
+    df: DataFrame, lists: Mapping[str, Column], table: DataFrame, row_id: str, kind: ArrayType, default=None
+) -> DataFrame:
+    """``df`` with an array for each of ``lists``: the value that ``table`` (key, value) has for each of the list's keys.
+
+    The distinct keys are joined with the table first, one row per key on both sides. Keys that hold more than
+    1/``HOT_SHARE`` of all occurrences, and short ones that hold more than 1/(100 * ``HOT_SHARE``), are at most that
+    many: they are broadcast and looked up in whole Arrow batches, where they stand. Only the other occurrences become
+    rows, of place and key, and are rare enough for a shuffle join; those that the table knows are regrouped by row,
+    joined to the full rows once, and put in their places. Rows of one id, as padded ranks have them, hold the same
+    lists. A null list stays null; a key that the table lacks has the ``default``.
     """
-    texts = [F.struct(F.lit(out).alias("out"), tokens(F.col(text)).alias("tokens")) for text, out in columns.items()]
-    found = (
-        df.select(required(row_id).alias("row"), F.explode(F.array(*texts)).alias("text"))
-        .select("row", "text.out", F.posexplode("text.tokens").alias("pos", "token"))
-    )
+    key, value = table.columns
+    found = df.select(required(row_id).alias("row"), F.array(*lists.values()).alias("lists"))
     counts = stage(
-        found.groupBy("token").agg(F.count(F.lit(1)).alias("n")).join(
-            vocab.filter(F.col("id") >= len(RESERVED)).select("token", "id"), "token", "left"
-        ).select("token", F.coalesce("id", F.lit(UNK)).alias("id"), "n"),
-        "token-ids",
-    )
+        found.select(F.explode(F.flatten(F.filter("lists", lambda x: x.isNotNull()))).alias(key))
+        .groupBy(key).agg(F.count(F.lit(1)).alias("n")).join(table, key, "left"),
+        "key-values",
+    )
     occurrences = counts.agg(F.sum("n")).first()[0] or 0
-    hot = (F.col("n") * HOT_SHARE > occurrences) & (F.octet_length("token") <= HOT_BYTES)
-    common = counts.filter(hot).select("token", F.col("id").alias("hot_id"))
-    rare = counts.filter(~hot).select("token", "id")
-
-    # Hot tokens take their id from the broadcast and lose their join key, so they do not meet in one task.
-    marked = found.join(F.broadcast(common), "token", "left")
-    plain = marked.filter(F.col("hot_id").isNull()).join(rare, "token").select("row", "out", "pos", "id")
-    encoded = plain.unionByName(
-        marked.filter(F.col("hot_id").isNotNull()).select("row", "out", "pos", F.col("hot_id").alias("id"))
+    size = F.octet_length(F.col(key).cast("string"))
+    hot = ((F.col("n") * HOT_SHARE > occurrences) & (size <= HOT_BYTES)) | (
+        (F.col("n") * (100 * HOT_SHARE) > occurrences) & (size <= WARM_BYTES)
     )
-    grouped = encoded.groupBy("row").agg(
-        *(
-            F.transform(
-                F.array_sort(F.collect_set(F.when(F.col("out") == out, F.struct("pos", "id")))),
-                lambda x: x["id"],
-            ).alias(out)
-            for out in columns.values()
-        )
+    hot = F.coalesce(hot, F.lit(False))
+    common = counts.filter(hot).select(key, value).toArrow()
+    shared = df.sparkSession.sparkContext.broadcast(tuple(c.combine_chunks() for c in common.columns))
+    worker_key = uuid4()
+
+    def place_of(flat: pa.Array) -> pa.Array:
+        """The row of each key among the broadcast ones; null for the others."""
+        known = once_per_worker(worker_key, lambda: {k: i for i, k in enumerate(shared.value[0].to_pylist())})
+        return _looked_up(known, flat, None, pa.int32())
+
+    rare_type = ArrayType(StructType([StructField("pos", IntegerType(), False), StructField("key", table.schema[key].dataType)]), False)
+
+    def rare_of(batch: pa.Array) -> pa.Array:
+        flat = batch.flatten()
+        apart = np.asarray(place_of(flat).is_null())
+        ends = _ends(batch)
+        position = np.arange(len(flat)) - np.repeat(ends[:-1], np.diff(ends))
+        kept = np.concatenate([[0], np.cumsum(apart)])[ends]
+        items = [pa.array(position[apart], pa.int32()), flat.filter(pa.array(apart))]
+        return pa.ListArray.from_arrays(pa.array(kept, pa.int32()), pa.StructArray.from_arrays(items, ["pos", "key"]))
+
+    def placed_in(batch: pa.Array, hits: pa.Array) -> pa.Array:
+        flat, more = batch.flatten(), hits.flatten()
+        position, values = more.field(0), more.field(1)
+        starts = np.repeat(_ends(batch)[:-1], np.diff(_ends(hits)))
+        hot_values = shared.value[1]
+        where = pc.fill_null(place_of(flat).cast(pa.int64()), len(hot_values)).to_numpy(zero_copy_only=False).copy()
+        where[starts + position.to_numpy(zero_copy_only=False)] = len(hot_values) + 1 + np.arange(len(more))
+        every = pa.concat_arrays([hot_values, pa.nulls(1, hot_values.type), values.cast(hot_values.type)])
+        out = pc.take(every, pa.array(where))
+        return _lists(batch, out if default is None else pc.fill_null(out, default))
+
+    def in_runs(make: Callable[..., pa.Array], *columns: pa.Array) -> pa.Array:
+        cut = list(runs(len(columns[0]), sum(c.nbytes for c in columns))) or [(0, 0)]
+        return pa.concat_arrays([make(*(c.slice(first, rows) for c in columns)) for first, rows in cut])
+
+    @arrow_udf(rare_type)
+    def rare(batch: pa.Array) -> pa.Array:
+        return in_runs(rare_of, batch)
+
+    @arrow_udf(kind)
+    def placed(batch: pa.Array, hits: pa.Array) -> pa.Array:
+        return in_runs(placed_in, batch, hits)
+
+    texts = [F.struct(F.lit(k).alias("out"), rare(x).alias("rare")) for k, x in enumerate(lists.values())]
+    others = (
+        df.select(required(row_id).alias("row"), F.explode(F.array(*texts)).alias("text"))
+        .select("row", "text.out", F.explode("text.rare").alias("at"))
+        .select("row", "out", "at.pos", F.col("at.key").alias(key))
     )
-    joined = df.join(grouped.withColumnRenamed("row", row_id), row_id, "left")
-    return joined.withColumns(
-        {
-            out: F.when(F.col(text).isNotNull(), F.coalesce(out, empty_ids()))
-            for text, out in columns.items()
-        }
+    hits = others.join(counts.filter(~hot & F.col(value).isNotNull()).select(key, value), key)
+    names = [f"_hits_{k}" for k in range(len(lists))]
+    at = F.struct(F.col("pos"), F.col(value).alias("value"))
+    grouped = hits.groupBy(F.col("row").alias(row_id)).agg(
+        *(F.collect_list(F.when(F.col("out") == k, at)).alias(name) for k, name in enumerate(names))
     )
+    joined = df.join(grouped, row_id, "left")
+    return joined.withColumns({out: placed(x, F.col(name)) for (out, x), name in zip(lists.items(), names)}).drop(*names)
+
+
+def _ends(lists: pa.Array) -> np.ndarray:
+    """Where each list begins among the flattened items, and where the last one ends."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
 
 
 def _tokenizer_udf(factory: Callable[[], Tokenizer]):
@@ -190,9 +242,12 @@ def _tokenizer_udf(factory: Callable[[], Tokenizer]):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = once_per_worker(key, factory)
         for batch in batches:
-            texts = batch.to_pylist()
-            ids = tokenizer(["" if t is None else t for t in texts])
-            yield pa.array([None if t is None else i for t, i in zip(texts, ids)], pa.list_(pa.int32()))
+            made = []
+            for first, rows in runs(len(batch), batch.nbytes):
+                texts = batch.slice(first, rows).to_pylist()
+                ids = tokenizer(["" if t is None else t for t in texts])
+                made.append(pa.array([None if t is None else i for t, i in zip(texts, ids)], pa.list_(pa.int32())))
+            yield pa.concat_arrays(made) if made else pa.array([], pa.list_(pa.int32()))
 
     return run
 
@@ -205,8 +260,11 @@ def token_lengths(factory: Callable[[], Tokenizer]) -> Callable[[Column], Column
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = once_per_worker(key, factory)
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.to_pylist()]
-            yield pa.array([len(ids) for ids in tokenizer(texts)], pa.int32())
+            lengths = []
+            for first, rows in runs(len(batch), batch.nbytes):
+                texts = ["" if t is None else t for t in batch.slice(first, rows).to_pylist()]
+                lengths += [len(ids) for ids in tokenizer(texts)]
+            yield pa.array(lengths, pa.int32())
 
     return count
 
@@ -230,24 +288,5 @@ def ids_to_tokens(df: DataFrame, column: str, vocab: DataFrame, row_id: str = "_
 
 
 def _tokens_by_join(df: DataFrame, column: str, vocab: DataFrame, row_id: str) -> DataFrame:
-    found = df.select(required(row_id).alias("row"), F.posexplode(column).alias("pos", "id"))
-    counts = stage(
-        found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(vocab.select("id", "token"), "id"),
-        "id-tokens",
-    )
-    occurrences = counts.agg(F.sum("n")).first()[0] or 0
-    hot = (F.col("n") * HOT_SHARE > occurrences) & (F.octet_length("token") <= HOT_BYTES)
-    common = counts.filter(hot).select("id", F.col("token").alias("hot_token"))
-    rare = counts.filter(~hot).select("id", "token")
-    marked = found.join(F.broadcast(common), "id", "left")
-    known = marked.filter(F.col("hot_token").isNull()).join(rare, "id").select("row", "pos", "token").unionByName(
-        marked.filter(F.col("hot_token").isNotNull()).select("row", "pos", F.col("hot_token").alias("token"))
-    )
-    grouped = known.groupBy(F.col("row").alias(row_id)).agg(
-        F.transform(F.array_sort(F.collect_set(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens")
-    )
-    return (
-        df.join(grouped, row_id, "left")
-        .withColumn(column, F.when(F.col(column).isNotNull(), F.coalesce("_tokens", F.array().cast("array<string>"))))
-        .drop("_tokens")
-    )
+    named = _values_by_join(df, {"_tokens": F.col(column)}, vocab.select("id", "token"), row_id, ArrayType(StringType()))
+    return named.withColumn(column, F.filter("_tokens", lambda t: t.isNotNull())).drop("_tokens")
