@@ -12,7 +12,7 @@ from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 
-from textmill.functions.workers import once_per_worker
+from textmill.functions.workers import once_per_worker, runs
 from textmill.operators.vocab import RESERVED, ids_to_tokens
 
 # What a decoder tidies up after joining tokens with spaces.
@@ -62,8 +62,8 @@ def batch_predict(
         predict = once_per_worker(key, factory)
         held: list[pa.RecordBatch] = []
         for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
+            for first, rows in runs(batch.num_rows, batch.nbytes):
+                held.append(batch.slice(first, rows))
                 ready, rest = _whole_lists(pa.Table.from_batches(held).combine_chunks(), loader, batch_size, last=False)
                 yield from _predicted(ready, predict, names, out, arrow)
                 held = rest
@@ -144,7 +144,10 @@ def _decoder_udf(factory: Callable[[], Callable[[list[list[int]]], list[str]]]):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decode = once_per_worker(key, factory)
         for batch in batches:
-            yield pa.array(decode([ids or [] for ids in batch.to_pylist()]), pa.string())
+            texts = []
+            for first, rows in runs(len(batch), batch.nbytes):
+                texts += decode([ids or [] for ids in batch.slice(first, rows).to_pylist()])
+            yield pa.array(texts, pa.string())
 
     return run
 
