@@ -11,9 +11,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField
 from tokenizers import Tokenizer
 
 from textmill.llm import bpe, html_extract, quality, token_files, warc
+from textmill.llm.arrow import add_columns
 from textmill.llm.shared import reading
 from textmill.llm.units import UnitCache, split_units
 
@@ -345,3 +348,22 @@ def test_bands_reject_gibberish_that_passes_the_base_rules(spark):
     assert len(made) >= 70 and not any(r.kept for r in made)
     given = [r for r in passed if r.doc_id < 10_000]
     assert sum(r.kept for r in given) >= 0.99 * len(given)
+
+
+def test_bpe_remembers_a_bounded_number_of_pairs(monkeypatch, library):
+    monkeypatch.setattr(bpe, "KNOWN_PAIRS", 50)
+    coder = bpe.BpeCoder(BYTE_BPE)
+    rng = random.Random(5)
+    for _ in range(40):
+        text = "".join(rng.choice("abcdefghij éß") for _ in range(80))
+        assert list(np.frombuffer(coder.encode(text), dtype="<i4")) == library.encode(text, add_special_tokens=False).ids
+        assert len(coder.known) <= 51
+
+
+def test_columns_are_made_from_a_megabyte_at_a_time(spark):
+    def make():
+        return lambda part: [pa.array([part.num_rows] * part.num_rows, pa.int64())]
+
+    df = spark.range(3000).select("id", F.repeat(F.lit("x"), 2000).alias("text")).coalesce(1)
+    seen = [r.n for r in add_columns(df, [StructField("n", LongType())], make).collect()]
+    assert len(seen) == 3000 and max(seen) < 1000

@@ -28,6 +28,8 @@ from textmill.llm.units import UnitCache, encode_by_units
 from textmill.llm.workers import kept_by_worker
 
 NEVER = 1 << 60
+# Pairs whose compatibility a worker remembers: about 15 MB. The bound affects only speed.
+KNOWN_PAIRS = 1 << 17
 # A word of Latin letters with its space, then marks: the pre-tokeniser cuts such a unit between the two.
 _SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,./:;<=>?@^_|~-]*)")
 
@@ -129,7 +131,7 @@ class BpeCoder:
                 pair = last[at - length] << 32 | token
                 fits = known.get(pair)
                 if fits is None:
-                    if len(known) > 1 << 20:
+                    if len(known) > KNOWN_PAIRS:
                         known.clear()
                     fits = known[pair] = not self.merged_before(pair >> 32, token, NEVER)
                 if not fits:
