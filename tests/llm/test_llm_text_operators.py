@@ -367,3 +367,36 @@ def test_columns_are_made_from_a_megabyte_at_a_time(spark):
     df = spark.range(3000).select("id", F.repeat(F.lit("x"), 2000).alias("text")).coalesce(1)
     seen = [r.n for r in add_columns(df, [StructField("n", LongType())], make).collect()]
     assert len(seen) == 3000 and max(seen) < 1000
+
+
+def words_of_syllables(count: int, seed: int) -> list[str]:
+    rng = random.Random(seed)
+    syllables = ["he", "sh", "ea", "tion", "ing", "ß", "ü", "é", "qu", "x", "on", "aa", "s", "日本"]
+    return ["".join(rng.choices(syllables, k=rng.randint(1, 7))) + rng.choice(["", "", ",", ".)", "'s", "42"]) for _ in range(count)]
+
+
+def test_bpe_encodes_the_new_pieces_of_several_texts_together(monkeypatch, library):
+    words = words_of_syllables(6000, 11)
+    texts = [" ".join(words[i : i + 100]) for i in range(0, 6000, 100)] + ["a" * 300, "", "<|endoftext|>", "x\0y \0 z"]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for pairs, together in ((1 << 17, 1 << 16), (3, 50)):
+        monkeypatch.setattr(bpe, "KNOWN_PAIRS", pairs)
+        monkeypatch.setattr(bpe, "TOGETHER", together)
+        coder = bpe.BpeCoder(BYTE_BPE)
+        alone, calls = coder.encode_piece, []
+        monkeypatch.setattr(coder, "encode_piece", lambda piece: calls.append(piece) or alone(piece))
+        found = coder.encode_texts(texts)
+        assert [np.frombuffer(f, dtype="<i4").tolist() for f in found] == expected
+        assert len(coder.remembered) <= pairs and set(calls) <= {"", "a" * 300}
+        rows = [p for p in coder.pieces if p]
+        assert coder.encode_pieces(rows) == [alone(p) for p in rows]
+
+
+def test_unit_cache_makes_what_is_new_in_one_call():
+    calls = []
+    cache = UnitCache(len, limit=4)
+    make = lambda new: calls.append(sorted(new)) or [len(u) for u in new]
+    assert cache.all_of({"a", "bb"}, make) == {"a": 1, "bb": 2}
+    assert cache.all_of({"bb", "ccc", "d"}, make) == {"bb": 2, "ccc": 3, "d": 1}
+    assert cache.all_of({"a"}, make) == {"a": 1} and len(cache) <= 4
+    assert calls == [["a", "bb"], ["ccc", "d"], []]

@@ -30,12 +30,12 @@ def split_units(text: str) -> list[str]:
 
 
 class UnitCache(dict):
-    """Values by unit, made on demand; holds the units of about the last ``2 * limit`` misses.
+    """Values by unit, made on demand; holds the units of about the last ``2 * limit`` misses, or of the last call.
 
     The bound affects only speed: a unit that fell out is made again.
     """
 
-    def __init__(self, make, limit: int = 75_000):
+    def __init__(self, make, limit: int = 150_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -49,10 +49,23 @@ class UnitCache(dict):
         self[unit] = value
         return value
 
+    def all_of(self, wanted: set, make_all) -> dict:
+        """The values of several units; those that are not held are made in one call of ``make_all``."""
+        get, before = self.get, self.old.get
+        found = {u: before(u) if (v := get(u)) is None else v for u in wanted}
+        new = [u for u, v in found.items() if v is None]
+        found.update(zip(new, make_all(new)))
+        if len(self) + len(found) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        self.update(found)
+        return found
+
 
-def encode_by_units(text: str, specials: list[tuple[str, bytes]], units: UnitCache) -> bytes:
-    """The joined values of the text's units; each special string has its own value and splits the text first."""
-    for k, (token, value) in enumerate(specials):
+def split_with_specials(text: str, specials: list[str]) -> list[str]:
+    """The units of a text; each special string is a unit of its own and splits the text first."""
+    for k, token in enumerate(specials):
         if token in text:
-            return value.join([encode_by_units(part, specials[k + 1 :], units) for part in text.split(token)])
-    return b"".join(map(units.__getitem__, split_units(text))) if text else b""
+            first, *rest = [split_with_specials(part, specials[k + 1 :]) for part in text.split(token)]
+            return first + [unit for part in rest for unit in (token, *part)]
+    return split_units(text) if text else []
