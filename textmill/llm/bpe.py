@@ -75,26 +75,26 @@ class BpeCoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        model, self.vocab = spec["model"], spec["model"]["vocab"]
+        model, vocab = spec["model"], spec["model"]["vocab"]
         ranks = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.rank: dict[int, int] = {}
         for place, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            a, b, made = self.vocab[left], self.vocab[right], self.vocab[left + right]
+            a, b, made = vocab[left], vocab[right], vocab[left + right]
             ranks[a, b] = place
             if made not in self.parts:
                 self.parts[made], self.rank[made] = (a, b), place
         self.ranks = ranks
         # A token of one character is the last one of a prefix where no longer one fits, so it needs no match.
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        self.single = {token: number for token, number in self.vocab.items() if len(token) == 1}
-        for token, number in self.vocab.items():
+        self.single = {token: number for token, number in vocab.items() if len(token) == 1}
+        for token, number in vocab.items():
             if len(token) > 1 and self.whole(number):
                 self.automaton.add_word(token, number)
         self.automaton.make_automaton()
-        self.characters = np.zeros(1 + max(self.vocab.values()), dtype=np.int64)
-        self.characters[list(self.vocab.values())] = [len(t) for t in self.vocab]
+        self.characters = np.zeros(1 + max(vocab.values()), dtype=np.int64)
+        self.characters[list(vocab.values())] = [len(t) for t in vocab]
         self.sizes = self.characters.tolist()
         self.singles = np.full(1 + max(map(ord, self.single)), -1, dtype=np.int64)
         self.singles[[ord(c) for c in self.single]] = list(self.single.values())
