@@ -10,8 +10,8 @@ The suffixes of a gram's contexts, and their prefixes read backwards, are ordere
 quicksort to a shallow depth; groups that are still equal there, most of them with long common
 prefixes, are ordered by blind tries, which compare each string with one other. A window repeats if
 another context agrees with it far enough on both sides, which the common prefixes of neighbours in
-both orders tell. A gram with very many different contexts is a hot key; its windows are counted by
-hash, with counts combined before the shuffle.
+both orders tell. A gram with very many different contexts is a hot key; its contexts are cut in two,
+and windows of halves whose common bytes repeat are counted by hash, combined before the shuffle.
 """
 
 from __future__ import annotations
@@ -116,24 +116,37 @@ def order_and_prefixes(strings: list[bytes], depth: int) -> tuple[np.ndarray, np
     return np.array(order), np.array([0, *shared])
 
 
-def repeated_offsets(contexts: list[tuple[bytes, int, int]], length: int, gram: int) -> Iterator[tuple[int, int, int]]:
-    """``(context, first, last)``: offsets of the anchor in windows that another context has too.
+def repeated_offsets(
+    contexts: list[tuple[bytes, int, list[tuple[int, int]]]], lengths: list[int], gram: int
+) -> Iterator[tuple[int, int, int, int]]:
+    """``(context, number of the length, first, last)``: offsets of the anchor in windows that another context has too.
 
-    A context is its bytes with the least and greatest offset of the anchor in its windows.
-    """
-    right = [c[high:] for c, low, high in contexts]
-    left = [c[high - 1 :: -1] if high else b"" for c, low, high in contexts]
+    A context is its bytes, the place of the anchor in them, and for each length the least and greatest
+    offset of the anchor in its windows. The sorted orders serve all lengths.
+    """
+    right = [c[at:] for c, at, _ in contexts]
+    left = [c[at - 1 :: -1] if at else b"" for c, at, _ in contexts]
     if len(contexts) == 2:
-        (_, low_a, high_a), (_, low_b, high_b) = contexts
-        first = max(length - shared_prefix(right[0], right[1], gram), low_a, low_b)
-        last = min(shared_prefix(left[0], left[1]), high_a, high_b)
-        if first <= last:
-            yield 0, first, last
-            yield 1, first, last
+        after, before = shared_prefix(right[0], right[1], gram), shared_prefix(left[0], left[1])
+        for size, (length, *ranges) in enumerate(zip(lengths, *(c[2] for c in contexts))):
+            first = max(length - after, *(low for low, _ in ranges))
+            last = min(before, *(high for _, high in ranges))
+            if first <= last:
+                yield 0, size, first, last
+                yield 1, size, first, last
         return
-    n = len(contexts)
     orders = [order_and_prefixes(right, gram), order_and_prefixes(left, 0)]
-    lows, highs = (np.array([c[k] for c in contexts]) for k in (1, 2))
+    for size, length in enumerate(lengths):
+        lows, highs = (np.array([c[2][size][k] for c in contexts]) for k in (0, 1))
+        if (lows <= highs).sum() > 1:
+            for i, first, last in _offsets_of_length(orders, lows, highs, length):
+                yield i, size, first, last
+
+
+def _offsets_of_length(
+    orders: list[tuple[np.ndarray, np.ndarray]], lows: np.ndarray, highs: np.ndarray, length: int
+) -> Iterator[tuple[int, int, int]]:
+    n = len(lows)
     # Between these offsets neither the sets of equal windows nor the contexts that have one change.
     turns = np.unique(np.concatenate([length - orders[0][1][1:], orders[1][1][1:] + 1, lows, highs + 1]))
     turns = turns[(turns >= lows.min()) & (turns <= highs.max() + 1)]
@@ -162,75 +175,101 @@ def repeated_offsets(contexts: list[tuple[bytes, int, int]], length: int, gram:
         yield i, int(opened[i]), int(stops[-1])
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For parts of a text: hash of each anchor's gram, hash of its context, its place, least and greatest offset."""
-    width = length - gram + 1
+def anchors(data: np.ndarray, lengths: list[int], gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For parts of a text: hash of each anchor's gram, hash of its context, its place, and for each length its least and greatest offset.
+
+    ``lengths`` ascend. An anchor without windows of a length has that length and -1 as its offsets there.
+    """
     place = np.uint64((1 << 24) - 1)
-    for at in range(0, len(data) - length + 1, CHUNK):
-        part = data[at : at + CHUNK + length - 1]
+    for at in range(0, len(data) - lengths[0] + 1, CHUNK):
+        part = data[at : at + CHUNK + lengths[-1] - 1]
         sums = prefix_sums(part)
         starts = np.arange(len(part) - gram + 1)
         hashes = span_hashes(sums, starts, starts + gram)
         least, span = (hashes & ~place) | starts.astype(np.uint64), 1
-        while 2 * span <= width:
-            least, span = np.minimum(least[:-span], least[span:]), 2 * span
-        if span < width:
-            least = np.minimum(least[: -(width - span)], least[width - span :])
-        best = (least & place).astype(np.int64)
-        turns = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1], [True]]))
-        first, last, anchor = turns[:-1], turns[1:] - 1, best[turns[:-1]]
-        low, high = anchor - last, anchor - first
-        context = span_hashes(prefix_sums(part, 1), first, last + length)
-        context = mix(context + (low * 4099 + high).astype(np.uint64))
-        yield hashes[anchor], context, anchor + at, low, high
-
-
-ANCHOR = StructType(
-    [StructField("gram", LongType()), StructField("context", LongType()), StructField("id", LongType())]
-    + [StructField("mark", LongType()), StructField("place", LongType()), StructField("low", ShortType()), StructField("high", ShortType())]
-)
-RUN = StructType([StructField("id", LongType()), StructField("mark", LongType()), StructField("first", LongType()), StructField("last", LongType())])
-
-
-def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
+        served = []
+        for length in lengths:
+            width = length - gram + 1
+            if len(part) < length:
+                break
+            while 2 * span <= width:
+                least, span = np.minimum(least[:-span], least[span:]), 2 * span
+            wide = np.minimum(least[: -(width - span)], least[width - span :]) if span < width else least
+            best = (wide[:CHUNK] & place).astype(np.int64)
+            turns = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1], [True]]))
+            served.append((best[turns[:-1]], turns[:-1], turns[1:] - 1))
+        places = served[0][0] if len(lengths) == 1 else np.unique(np.concatenate([anchor for anchor, _, _ in served]))
+        sums, context, offsets = prefix_sums(part, 1), np.zeros(len(places), np.uint64), []
+        for number, length in enumerate(lengths):
+            low, high = np.full(len(places), length), np.full(len(places), -1)
+            begin, end = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+            if number < len(served):
+                anchor, first, last = served[number]
+                rows = np.searchsorted(places, anchor)
+                low[rows], high[rows], begin[rows], end[rows] = anchor - last, anchor - first, first, last + length
+            context = mix(context + span_hashes(sums, begin, end) + (low * 4099 + high).astype(np.uint64))
+            offsets += [low, high]
+        yield hashes[places], context, places + at, *offsets
+
+
+RUN = StructType([StructField("id", LongType()), StructField("mark", LongType()), StructField("size", ShortType()), StructField("first", LongType()), StructField("last", LongType())])
+RUN_KINDS = (pa.int64(), pa.int64(), pa.int16(), pa.int64(), pa.int64())
+
+
+def offset_names(lengths: list[int]) -> list[str]:
+    return [f"{end}{number}" for number in range(len(lengths)) for end in ("low", "high")]
+
+
+def anchor_schema(lengths: list[int]) -> StructType:
+    whole = [StructField(name, LongType()) for name in ("gram", "context", "id", "mark", "place")]
+    return StructType(whole + [StructField(name, ShortType()) for name in offset_names(lengths)])
+
+
+def anchor_rows(docs: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    schema = anchor_schema(lengths)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                columns: list[list] = [[] for _ in ANCHOR.names]
+                columns: list[list] = [[] for _ in schema.names]
                 for key, mark, text in zip(part.column("id").to_pylist(), part.column("mark").to_pylist(), texts_of(part.column("text"))):
-                    for grams, contexts, places, low, high in anchors(np.frombuffer(text.encode(), np.uint8), length, gram):
+                    for grams, contexts, places, *offsets in anchors(np.frombuffer(text.encode(), np.uint8), lengths, gram):
                         n = len(grams)
                         made = (grams.view(np.int64), contexts.view(np.int64), np.full(n, key, np.int64))
-                        made += (np.full(n, mark, np.int64), places, low.astype(np.int16), high.astype(np.int16))
+                        made += (np.full(n, mark, np.int64), places, *(o.astype(np.int16) for o in offsets))
                         for column, values in zip(columns, made):
                             column.append(values)
                 if columns[0]:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in columns], names=ANCHOR.names)
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in columns], names=schema.names)
 
-    return docs.mapInArrow(run, ANCHOR)
+    return docs.mapInArrow(run, schema)
 
 
-def context_rows(texts: DataFrame, length: int) -> DataFrame:
-    """The bytes of each context that a row of ``texts`` lists in ``wanted``."""
-    schema = StructType([f for f in ANCHOR.fields if f.name != "context"] + [StructField("bytes", BinaryType())])
+def context_rows(rows: DataFrame, names: tuple[str, str, str, str], lengths: list[int]) -> DataFrame:
+    """The bytes of each context that a row lists, with the anchor's place in them; ``names`` are id, mark, text and list."""
+    fields = [f for f in anchor_schema(lengths).fields if f.name != "context"]
+    schema = StructType([*fields, StructField("at", ShortType()), StructField("bytes", BinaryType())])
+    offsets = offset_names(lengths)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), *(pa.int16() for _ in offsets), pa.int16(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1 << 20):
-                rows = []
-                for key, mark, text, wanted in zip(*(part.column(c).to_pylist() for c in ("id", "mark", "text", "wanted"))):
-                    data = text.encode()
+                made = []
+                for key, mark, text, wanted in zip(*(part.column(c).to_pylist() for c in names)):
+                    data = (text or "").encode()
                     for w in wanted:
-                        span = data[w["place"] - w["high"] : w["place"] - w["low"] + length]
-                        rows.append((w["gram"], key, mark, w["place"], w["low"], w["high"], span))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
-                if rows:
-                    yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=schema.names)
+                        ranges = [w[o] for o in offsets]
+                        at = max(ranges[1::2])
+                        stop = w["place"] + max(length - low for length, low in zip(lengths, ranges[::2]))
+                        made.append((w["gram"], key, mark, w["place"], *ranges, at, data[w["place"] - at : stop]))
+                if made:
+                    yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*made), kinds)], names=schema.names)
 
-    return texts.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def sorted_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+def sorted_runs(contexts: DataFrame, lengths: list[int], gram: int) -> DataFrame:
     """Runs of window starts that repeat among the contexts of a gram; a gram's contexts meet in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,19 +277,19 @@ def sorted_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
         def close() -> None:
             if len(group) > 1:
-                for i, first, last in repeated_offsets([g[3:] for g in group], length, gram):
+                for i, size, first, last in repeated_offsets([g[3:] for g in group], lengths, gram):
                     key, mark, place = group[i][:3]
-                    out.append((key, mark, place - last, place - first))
+                    out.append((key, mark, size, place - last, place - first))
 
         for batch in batches:
-            for g, key, mark, place, low, high, data in zip(*(c.to_pylist() for c in batch.columns)):
+            for g, key, mark, place, *offsets, at, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if g != current:
                     close()
                     current, group = g, []
                     if len(out) > 20_000:
                         yield _runs(out)
                         out = []
-                group.append((key, mark, place, data, low, high))
+                group.append((key, mark, place, data, at, list(zip(offsets[::2], offsets[1::2]))))
         close()
         if out:
             yield _runs(out)
@@ -259,25 +298,64 @@ def sorted_runs(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _runs(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=RUN.names)
+    return pa.record_batch([pa.array(v, k) for v, k in zip(zip(*rows), RUN_KINDS)], names=RUN.names)
+
 
+def context_halves(contexts: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """Contexts cut in two for each length, with two hashes of the bytes that all windows of the half hold.
 
-def counted_runs(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many contexts: every window by two 64-bit hashes, counted before the shuffle."""
-    schema = StructType([StructField("h1", LongType()), StructField("h2", LongType()), StructField("id", LongType()), StructField("mark", LongType()), StructField("first", LongType())])
+    Windows in which the anchor stands early hold much of what follows it, the others of what precedes it.
+    """
+    whole = ("h1", "h2", "id", "mark", "place")
+    short = ("size", "low", "high")
+    fields = [StructField(n, LongType()) for n in whole] + [StructField(n, ShortType()) for n in short]
+    schema = StructType([*fields, StructField("bytes", BinaryType())])
+    kinds = (*(pa.int64() for _ in whole), *(pa.int16() for _ in short), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, mark, place, low, high, data in zip(*(batch.column(c).to_pylist() for c in ("id", "mark", "place", "low", "high", "bytes"))):
+            for part in slices(batch, 1 << 20):
+                made = []
+                for _, key, mark, place, *offsets, at, data in zip(*(c.to_pylist() for c in part.columns)):
+                    sums = [prefix_sums(np.frombuffer(data, np.uint8), seed) for seed in (2, 3)]
+                    for size, (length, low, high) in enumerate(zip(lengths, offsets[::2], offsets[1::2])):
+                        middle = (length - gram) // 2
+                        early = low, min(high, middle), at, at + length - middle
+                        late = max(low, middle + 1), high, at - middle - 1, at + gram
+                        for first, last, start, stop in (early, late):
+                            if first <= last:
+                                held = [int(span_hashes(s, np.array([start]), np.array([stop])).view(np.int64)[0]) for s in sums]
+                                made.append((*held, key, mark, place, size, first, last, data[at - last : at - first + length]))
+                if made:
+                    yield pa.record_batch([pa.array(v, k) for v, k in zip(zip(*made), kinds)], names=schema.names)
+
+    return contexts.mapInArrow(run, schema)
+
+
+def counted_runs(contexts: DataFrame, lengths: list[int], gram: int) -> DataFrame:
+    """The same for grams with very many contexts: windows by two 64-bit hashes, counted before the shuffle.
+
+    Only windows of halves whose common bytes repeat are made.
+    """
+    schema = StructType([StructField("h1", LongType()), StructField("h2", LongType()), *(f for f in RUN.fields if f.name != "last")])
+    columns = ("id", "mark", "place", "size", "low", "high", "bytes")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, mark, place, size, low, high, data in zip(*(batch.column(c).to_pylist() for c in columns)):
                 part = np.frombuffer(data, np.uint8)
                 starts = np.arange(high - low + 1)
-                hashes = [span_hashes(prefix_sums(part, seed), starts, starts + length).view(np.int64) for seed in (2, 3)]
-                columns = [*hashes, np.full(len(starts), key, np.int64), np.full(len(starts), mark, np.int64), starts + (place - high)]
-                yield pa.record_batch([pa.array(c) for c in columns], names=schema.names)
+                n = len(starts)
+                made = [span_hashes(prefix_sums(part, seed), starts, starts + lengths[size]).view(np.int64) for seed in (2, 3)]
+                made += [np.full(n, key, np.int64), np.full(n, mark, np.int64), np.full(n, size, np.int16), starts + (place - high)]
+                yield pa.record_batch([pa.array(c) for c in made], names=schema.names)
 
-    windows = contexts.mapInArrow(run, schema)
-    twice = windows.groupBy("h1", "h2").count().filter("count > 1").drop("count")
-    return windows.join(twice, ["h1", "h2"]).select("id", "mark", "first", F.col("first").alias("last"))
+    def again(df: DataFrame) -> DataFrame:
+        hashes = ["size", "h1", "h2"]
+        return df.join(df.groupBy(hashes).count().filter("count > 1").drop("count"), hashes)
+
+    windows = again(context_halves(contexts, lengths, gram)).mapInArrow(run, schema)
+    return again(windows).select("id", "mark", "size", "first", F.col("first").alias("last"))
 
 
 def merged_spans(runs: list[dict], length: int) -> np.ndarray:
@@ -300,34 +378,49 @@ def whole_words(data: bytes, start: int, stop: int) -> int:
     return len(WORDS.findall(data, start, stop))
 
 
-def repeated_runs(docs: DataFrame, length: int, gram: int, hot: int = HOT_CONTEXTS) -> DataFrame:
-    """``id, mark, first, last`` from ``id, mark, text``: every start of a repeated window lies in a run."""
-    found = stage(anchor_rows(docs, length, gram), "anchors")
+def repeated_runs(rows: DataFrame, names: tuple[str, str, str], lengths: list[int], gram: int, hot: int = HOT_CONTEXTS) -> DataFrame:
+    """``id, mark, size, first, last``: every start of a repeated window of ``lengths[size]`` bytes lies in a run.
+
+    ``names`` are the columns of ``rows`` with id, mark and text.
+    """
+    id_, mark, text = names
+    docs = rows.select(F.col(id_).alias("id"), F.col(mark).alias("mark"), F.col(text).cast("string").alias("text"))
+    found = stage(anchor_rows(docs, lengths, gram), "anchors")
     groups = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("c1"), F.max("context").alias("c2"))
     # Written, so that both sides of the join are dealt for it alone and a skewed gram can be split.
     groups = stage(groups.filter("n > 1").select("gram", (F.col("c1") == F.col("c2")).alias("equal")), "groups")
     repeated = stage(found.join(groups, "gram"), "repeated")
-    runs = ["id", "mark", (F.col("place") - F.col("high")).alias("first"), (F.col("place") - F.col("low")).alias("last")]
+    offsets = offset_names(lengths)
+
+    def runs(anchors: DataFrame) -> DataFrame:
+        ends = [(F.col("place") - F.col(f"high{k}"), F.col("place") - F.col(f"low{k}")) for k in range(len(lengths))]
+        each = [F.struct(F.lit(k).cast("short").alias("size"), a.alias("first"), b.alias("last")) for k, (a, b) in enumerate(ends)]
+        return anchors.select("id", "mark", F.inline(F.array(*each))).filter("first <= last")
+
     partly = repeated.filter("NOT equal")
-    one = F.min(F.struct("id", "mark", "place", "low", "high")).alias("one")
+    one = F.min(F.struct("id", "mark", "place", *offsets)).alias("one")
     kinds = stage(partly.groupBy("gram", "context").agg(F.count("*").alias("n"), one), "kinds")
-    whole = repeated.filter("equal").select(*runs)
-    copies = partly.join(kinds.filter("n > 1").select("gram", "context"), ["gram", "context"]).select(*runs)
-    crowds = kinds.groupBy("gram").agg(F.count("*").alias("kinds"))
-    wanted = kinds.join(crowds, "gram").select(F.struct("gram", "one.place", "one.low", "one.high", (F.col("kinds") > hot).alias("hot")).alias("w"), "one.id", "one.mark")
-    lists = wanted.groupBy("id", "mark").agg(F.collect_list("w").alias("wanted"))
-    busy = stage(crowds.filter(F.col("kinds") > hot).select("gram"), "hot")
-    contexts = context_rows(docs.join(lists, ["id", "mark"]), length)
-    if busy.isEmpty():
-        return whole.unionByName(copies).unionByName(sorted_runs(contexts, length, gram))
-    contexts = stage(contexts, "contexts")
-    few, many = contexts.join(busy, "gram", "left_anti"), contexts.join(busy, "gram", "left_semi")
-    return whole.unionByName(copies).unionByName(sorted_runs(few, length, gram)).unionByName(counted_runs(many, length))
+    whole = runs(repeated.filter("equal"))
+    copies = runs(partly.join(kinds.filter("n > 1").select("gram", "context"), ["gram", "context"]))
+    crowds = stage(kinds.groupBy("gram").agg(F.count("*").alias("kinds")).filter(F.col("kinds") > hot).select("gram"), "hot")
+    list_ = free_name("_wanted", rows)
+
+    def contexts(chosen: DataFrame) -> DataFrame:
+        wanted = chosen.select(F.struct("gram", "one.place", *(f"one.{o}" for o in offsets)).alias("w"), "one.id", "one.mark")
+        lists = wanted.groupBy(F.col("id").alias(id_), F.col("mark").alias(mark)).agg(F.collect_list("w").alias(list_))
+        # All columns of ``rows`` are kept, so that the caller's join with the runs takes its rows from the same shuffle.
+        return context_rows(rows.join(lists, [id_, mark]), (id_, mark, text, list_), lengths)
+
+    marked = whole.unionByName(copies)
+    if crowds.isEmpty():
+        return marked.unionByName(sorted_runs(contexts(kinds), lengths, gram))
+    few, many = (contexts(kinds.join(crowds, "gram", how)) for how in ("left_anti", "left_semi"))
+    return marked.unionByName(sorted_runs(few, lengths, gram)).unionByName(counted_runs(many, lengths, gram))
 
 
 def remove_repeats(
     df: DataFrame, length: int = 400, gram: int = 128, row_id: str = "doc_id", text: str = "text", hot: int = HOT_CONTEXTS,
-    least_words: int = 0,
+    least_words: int = 0, passages: tuple[int, int] | None = None,
 ) -> DataFrame:
     """``df`` with ``kept`` (bytes), ``kept_text``, ``n_bytes``, ``n_removed`` and ``n_spans`` (maximal removed spans).
 
@@ -338,22 +431,40 @@ def remove_repeats(
     such bytes those with fewer than ``least_words`` whole words stay. ``row_id`` must be a whole
     number; rows are told apart by it and a 64-bit hash of the text, a null id as -1. A null text is
     empty; texts shorter than ``length`` stay whole. Repeated rows are copies of each other. Columns
-    of the five names are replaced; all others stay.
+    of these names are replaced; all others stay.
+
+    ``passages``, a length and a least number of words, adds ``cut_text`` and ``n_passages``: what the
+    same rule leaves of the whole text by that second length, and how many spans it cuts. Both lengths
+    share the anchors, the sorting and the shuffles; neither may be less than ``gram``.
 
-    Anchors, one for about ``(length - gram) / 2`` bytes, are the only rows that grow with the whole
-    text; of contexts, only those that agree in part are sent. The text is shuffled by row id.
+    Anchors, one for about ``(length - gram) / 2`` bytes of the smallest length, are the only rows that
+    grow with the whole text; of contexts, only those that agree in part are sent. The text is shuffled
+    once, by row id.
     """
     names = ["kept", "kept_text", "n_bytes", "n_removed", "n_spans"]
+    kinds = [BinaryType(), StringType(), LongType(), LongType(), LongType()]
+    rules = [(length, least_words)]
+    if passages:
+        names, kinds, rules = [*names, "cut_text", "n_passages"], [*kinds, StringType(), LongType()], [*rules, passages]
+    lengths = sorted({n for n, _ in rules})
+    sizes = [lengths.index(n) for n, _ in rules]
     key = F.coalesce(F.col(row_id).cast("long"), F.lit(-1))
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     id_, mark, spans_ = (free_name(n, df) for n in ("_id", "_mark", "_runs"))
     rows = df.withColumns({id_: key, mark: F.xxhash64(value)})
-    docs = df.select(key.alias("id"), F.xxhash64(value).alias("mark"), value.alias("text"))
-    runs = repeated_runs(docs, length, gram, hot).groupBy("id", "mark").agg(F.collect_list(F.struct("first", "last")).alias(spans_))
-    joined = rows.join(runs.withColumnsRenamed({"id": id_, "mark": mark}), [id_, mark], "left").drop(id_, mark)
-    kinds = [BinaryType(), StringType(), LongType(), LongType(), LongType()]
+    runs = repeated_runs(rows, (id_, mark, text), lengths, gram, hot)
+    runs = runs.groupBy(F.col("id").alias(id_), F.col("mark").alias(mark)).agg(F.collect_list(F.struct("size", "first", "last")).alias(spans_))
+    joined = rows.join(runs, [id_, mark], "left").drop(id_, mark)
     fields = [StructField(n, k, False) for n, k in zip(names, kinds)]
     schema = with_fields(df.schema, *fields)
+    types = [{BinaryType: pa.binary(), StringType: pa.string(), LongType: pa.int64()}[type(k)] for k in kinds]
+
+    def kept_by(rule: tuple[int, int], size: int, data: bytes, found: list[dict]) -> tuple[bytes, int]:
+        spans = merged_spans([r for r in found if r["size"] == size], rule[0])
+        if rule[1] and len(spans):
+            spans = spans[[whole_words(data, a, b) >= rule[1] for a, b in spans.tolist()]]
+        edges = [0, *spans.ravel().tolist(), len(data)]
+        return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])), len(spans)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -361,13 +472,10 @@ def remove_repeats(
                 made = []
                 for value, found in zip(texts_of(part.column(text)), part.column(spans_).to_pylist()):
                     data = value.encode()
-                    spans = merged_spans(found or [], length)
-                    if least_words and len(spans):
-                        spans = spans[[whole_words(data, a, b) >= least_words for a, b in spans.tolist()]]
-                    edges = [0, *spans.ravel().tolist(), len(data)]
-                    kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                    made.append((kept, kept.decode("utf-8", "ignore"), len(data), len(data) - len(kept), len(spans)))
-                arrays = [pa.array(v, t) for v, t in zip(zip(*made), (pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.int64()))]
+                    (kept, n_spans), *more = (kept_by(rule, size, data, found or []) for rule, size in zip(rules, sizes))
+                    row = (kept, kept.decode("utf-8", "ignore"), len(data), len(data) - len(kept), n_spans)
+                    made.append(row + tuple(v for cut, n in more for v in (cut.decode("utf-8", "ignore"), n)))
+                arrays = [pa.array(v, t) for v, t in zip(zip(*made), types)]
                 yield with_arrays(part, names, arrays).select(schema.names)
 
     return joined.mapInArrow(run, schema)
