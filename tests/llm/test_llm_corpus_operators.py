@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from textmill.llm import ann, components, mixing, ngram_join, queries, suffix_dedup, url_lists
+from textmill.llm import ann, components, hashing, mixing, ngram_join, queries, suffix_dedup, url_lists
 
 SF = "/root/testdata/sf0.001"
 
@@ -491,3 +491,51 @@ def test_samples_join_near_copies_at_a_fixed_number_of_rows(spark):
     assert {r.component_id for r in ngram_join.link_documents(df).collect()} == {0}
     tiny = [len(ngram_join.sample_keys(np.arange(n, dtype=np.uint64))) for n in (1, 2, 3)]
     assert all(1 <= n <= ngram_join.SAMPLES for n in tiny)
+
+
+def test_shared_lines_make_no_candidates(spark):
+    rng = np.random.default_rng(7)
+    lines = [" ".join(f"line{k}w{w}" for w in range(14)) for k in range(6)]
+    texts = []
+    for k in range(300):
+        own = [f"w{w}" for w in rng.integers(0, 10**6, 45)]
+        texts.append("\n".join([" ".join(own[:20]), *rng.permutation(lines)[:3], " ".join(own[20:])]))
+    copies = [texts[0].replace("w", "W", 1), texts[0] + " more", texts[9] + " or less"]
+    rows = [(k, k, False, t) for k, t in enumerate(texts + copies)]
+    df = spark.createDataFrame(rows, "id long, group long, many boolean, text string").repartition(4)
+    edges = ngram_join.candidate_edges(df, ngram_join.Similarity(85, 100), 4, 3).collect()
+    assert {tuple(sorted(e)) for e in edges} <= {(0, 300), (0, 301), (300, 301), (9, 302)}
+    linked = ngram_join.link_documents(df.select(df["id"].alias("doc_id"), "text")).collect()
+    assert {(r.doc_id, r.component_id) for r in linked if r.doc_id != r.component_id} == {(300, 0), (301, 0), (302, 9)}
+
+
+def test_what_similar_sets_show_has_a_common_element():
+    rng = np.random.default_rng(2)
+    for similarity in (ngram_join.Similarity(85, 100), ngram_join.Similarity(80, 100), ngram_join.Similarity(1, 2)):
+        for _ in range(2000):
+            a = rng.permutation(1000)[: rng.integers(1, 60)]
+            b = np.concatenate([a[rng.integers(0, len(a) // 4 + 1) :], 1000 + np.arange(rng.integers(0, len(a) // 4 + 1))])
+            if similarity.linked(len(np.intersect1d(a, b)), len(a), len(b)) and set(a) != set(b):
+                order = rng.permutation(2000)
+                first = [set(s[np.argsort(order[s])][: similarity.prefix(len(s))].tolist()) for s in (a, b)]
+                assert first[0] & first[1] and all(similarity.has_others(len(s)) for s in (a, b))
+
+
+def test_documents_of_several_texts_join_what_each_is_similar_to(spark):
+    rng = np.random.default_rng(3)
+    one, two = (" ".join(f"w{k}" for k in rng.integers(0, 10**6, 90)) for _ in range(2))
+    rows = [(2, one), (5, one), (5, two), (5, two), (7, two + " end"), (7, two + " end"), (9, "far away from all of these")]
+    found = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(2, 2), (5, 2), (5, 2), (5, 2), (7, 2), (7, 2), (9, 9)]
+
+
+def test_shingles_of_many_texts_equal_those_of_each():
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 5, n).astype(np.uint64) for n in [0, 1, 2, 3, 4, 5, 0, 40, 3, 0]]
+    for width in (1, 3, 4):
+        found = hashing.shingle_sets(words, width)
+        alone = [hashing.shingle_sets([w], width)[0] for w in words]
+        runs = [{tuple(w[k : k + width].tolist()) for k in range(max(1, len(w) - width + 1)) if len(w)} for w in words]
+        assert [len(f) for f in found] == [len(r) for r in runs]
+        assert all(np.array_equal(a, b) and (a[1:] > a[:-1]).all() for a, b in zip(found, alone))
+    assert hashing.shingle_sets([], 4) == []

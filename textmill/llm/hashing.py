@@ -82,17 +82,32 @@ def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
-    """Sorted distinct hashes of all runs of ``width`` words; fewer words are one shingle, none are no shingle."""
-    n = len(words)
-    if n == 0:
-        return words
-    span = min(n, width)
-    factors = mix(np.arange(1, span + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
-    total = np.full(n - span + 1, span, dtype=np.uint64)
-    for k in range(span):
-        total += words[k : n - span + 1 + k] * factors[k]
-    return np.unique(mix(total))
+def shingle_sets(words: list[np.ndarray], width: int) -> list[np.ndarray]:
+    """For each text's words the sorted distinct hashes of all runs of ``width`` words; fewer words are one shingle, none are no shingle."""
+    counts = np.array([len(w) for w in words], dtype=np.int64)
+    # Spans are the same for all but short texts, whose words are one run.
+    spans = np.minimum(counts, width)
+    flat, starts = np.concatenate([*words, np.zeros(width, np.uint64)]), np.cumsum(counts) - counts
+    runs = np.where(counts > 0, counts - spans + 1, 0)
+    ends = np.cumsum(runs)
+    first = np.repeat(starts - (ends - runs), runs) + np.arange(runs.sum())
+    total = np.repeat(spans, runs).astype(np.uint64)
+    factors = mix(np.arange(1, width + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
+    short = np.flatnonzero((counts > 0) & (counts < width))
+    for k in range(width):
+        total += flat[first + k] * factors[k]
+        # A short text's run ends with the text.
+        past = ends[short[counts[short] <= k]] - 1
+        total[past] -= flat[first[past] + k] * factors[k]
+    total = mix(total)
+    for a, b in zip(ends - runs, ends):
+        total[a:b].sort()
+    new = np.ones(len(total), dtype=bool)
+    new[1:] = total[1:] != total[:-1]
+    new[(ends - runs)[runs > 0]] = True
+    kept = np.concatenate([[0], np.cumsum(new)])
+    total, cuts = total[new], kept[np.concatenate([[0], ends])]
+    return [total[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def lower_ascii(text: str) -> bytes:

@@ -1,18 +1,19 @@
-"""Jaccard join of documents on word n-grams, by size-banded tiles and bitmap signatures.
-
-Two sets that are similar enough differ in few elements, so if all hashes are dealt to one part more
-than that number, some part of both sets is equal. Bands of set sizes fix the number of parts for
-all pairs of a band. Documents with an equal part are joined into candidate clusters, which fall into
-tiles. Within a tile only sizes that allow the similarity meet. A bitmap of each set bounds the
-overlap: bits that one bitmap has and the other lacks are elements that they do not share. First
-only the bitmaps, a few bits for each shingle, meet in tiles; pairs that pass the bound make smaller
-clusters. For these the sets meet, and pairs that pass are intersected exactly, unless they are known
-to belong together already.
+"""Jaccard join of documents on word n-grams, by rare shingles, size-banded tiles and bitmap signatures.
+
+In any one order of all shingles, two sets that are similar enough have one in common among the first
+few of each: all but so many as a pair must share, and one more. The order goes by the number of sets
+that have a shingle, rarest first, so lines that many documents share decide only for documents that
+have little else, and chance matches of common words hardly ever. Each shingle is counted in its bucket;
+those of several sets go to the sets' homes, and what a set shows of them meets. Documents that show
+a shingle in common are joined into candidate clusters, which fall into tiles. Within a tile only
+sizes that allow the similarity meet. A bitmap of each set bounds the overlap: bits that one bitmap
+has and the other lacks are elements that they do not share. First only the bitmaps, a few bits for
+each shingle, meet in tiles; pairs that pass the bound make smaller clusters. For these the sets
+meet, and pairs that pass are intersected exactly, unless they are known to belong together already.
 
 Equal sets are one vertex from the start, so thousands of copies cost one set. A few samples of each
-set join most near copies beforehand, at a fixed number of rows for each document; the parts then
-speak for such a group as a whole, so a group's equal parts make no edges among themselves. Equal
-parts within a batch are combined before the shuffle.
+set join most near copies beforehand, at a fixed number of rows for each document; what they show
+then speaks for such a group as a whole, so near copies make no edges among themselves.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
+from textmill.llm import hashing
 from textmill.llm.arrow import add_columns, slices, texts_of
 from textmill.llm.components import components
-from textmill.llm.hashing import lower_ascii, mix, shingle_set, word_hashes
+from textmill.llm.hashing import lower_ascii, mix, word_hashes
 from textmill.sources.staging import stage
 
-POSTINGS_PER_BUCKET = 200_000
+POSTINGS_PER_BUCKET, SET_BITS = 1_000_000, 14
 TILE_ROWS, TILE_SHINGLES = 4096, 1 << 22
 SAMPLES, SAMPLE_WIDTH = 8, 3
 
@@ -72,8 +74,21 @@ class Similarity:
         return differ + 1 + spare, spare
 
 
+    def prefix(self, size: int) -> int:
+        """In any one order of all elements, similar sets have one in common among so many first ones of each."""
+        return size + self.num * size // -self.den + 1
+
+    def has_others(self, size: int) -> bool:
+        """Whether a set of this size can be similar to a different one."""
+        return size * self.den // self.num > size or self.prefix(size) > 1
+
+
 class PartKeys:
-    """Keys of a set's parts, for its own band and the next; two similar sets have a key in common."""
+    """Keys of a set's parts, for its own band and the next; two similar sets have a key in common.
+
+    Parts need no counts of shingles, but lines that many documents share fill some parts of them. ``link_documents``
+    therefore takes rare shingles instead.
+    """
 
     def __init__(self, similarity: Similarity):
         self.similarity, self.known = similarity, {}
@@ -107,7 +122,7 @@ def with_sets(make_set: Callable[[list[str]], list[np.ndarray]], text: str) -> C
 
 def shingle_sets(width: int) -> Callable[[list[str]], list[np.ndarray]]:
     """The sets of hashed shingles of ASCII-lower-cased texts."""
-    return lambda texts: [shingle_set(w, width) for w in word_hashes([lower_ascii(t) for t in texts])]
+    return lambda texts: hashing.shingle_sets(word_hashes([lower_ascii(t) for t in texts]), width)
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
@@ -123,12 +138,18 @@ def sample_keys(hashes: np.ndarray) -> np.ndarray:
 
     Near copies have most of them in common, unlike sets that only share a passage. They save work, and decide nothing.
     """
+    return np.array(sorted(set(all_sample_keys([hashes])[0].tolist())), dtype=np.uint64)
+
+
+def all_sample_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """The samples of sets that are not empty, one row for each."""
     points = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64))
-    places = np.searchsorted(hashes, points)[:, None] + np.arange(SAMPLE_WIDTH)
-    key = points.copy()
+    picked = [s[(np.searchsorted(s, points)[:, None] + np.arange(SAMPLE_WIDTH)) % len(s)] for s in sets]
+    picked = np.array(picked, dtype=np.uint64).reshape(-1, SAMPLES, SAMPLE_WIDTH)
+    keys = np.tile(points, (len(sets), 1))
     for k in range(SAMPLE_WIDTH):
-        key = mix(key + hashes[places[:, k] % len(hashes)])
-    return np.unique(key)
+        keys = mix(keys + picked[:, :, k])
+    return keys
 
 
 def set_keys(df: DataFrame, text: str, width: int) -> DataFrame:
@@ -141,7 +162,8 @@ def set_keys(df: DataFrame, text: str, width: int) -> DataFrame:
             found = sets(batch)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in found]
             maps = [bitmap(s).tobytes() for s in found]
-            samples = [sample_keys(s).view(np.int64) if len(s) else [] for s in found]
+            drawn = iter(all_sample_keys([s for s in found if len(s)]).view(np.int64).tolist())
+            samples = [sorted(set(next(drawn))) if len(s) else [] for s in found]
             sizes = pa.array([len(s) for s in found], pa.int64())
             return [sizes, pa.array(keys, pa.binary()), pa.array(maps, pa.binary()), pa.array(samples, pa.list_(pa.int64()))]
 
@@ -181,59 +203,190 @@ def _pairs_with_least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np
     return keys[first], ids[first], edges
 
 
-def candidate_edges(docs: DataFrame, similarity: Similarity, width: int, buckets: int) -> DataFrame:
-    """``a, b``: a forest, for each bucket of keys, of the ids (of documents or groups) with equal parts, from ``id, text``.
+def _planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on: what is equal among them packs well."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+
+
+def _values(blobs: list[bytes], dtype: type) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    parts = [np.frombuffer(b, dtype=np.uint8).reshape(width, -1).T for b in blobs]
+    return np.ascontiguousarray(np.concatenate(parts)).view(dtype).ravel() if parts else np.empty(0, dtype)
+
+
+def _cuts(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    if not len(ordered):
+        return np.zeros(1, np.int64)
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+
+
+def _dealt(values: np.ndarray, parts: int) -> np.ndarray:
+    """A part for each value, by the upper half of its bits."""
+    return (((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Each value of the first column with its rows, from rows in its order."""
+    current, rows = None, []
+    for batch in batches:
+        for part, *row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns))):
+            if part != current:
+                if rows:
+                    yield current, rows
+                current, rows = part, []
+            rows.append(row)
+    if rows:
+        yield current, rows
+
+
+def _rows_of(rows: list[tuple], schema: StructType) -> pa.RecordBatch:
+    kinds = {IntegerType(): pa.int32(), BinaryType(): pa.binary()}
+    return pa.record_batch([pa.array(v, kinds[f.dataType]) for v, f in zip(zip(*rows), schema)], names=schema.names)
+
 
-    A batch sends one block for each bucket of keys. The bucket is part of the key, so 40 more bits
-    of it suffice; a chance match only adds a candidate. Edges found within a batch travel along.
+def _regrouped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    part = df.columns[0]
+    return df.repartition(part).sortWithinPartitions(part).mapInArrow(run, schema)
+
+
+def post_shingles(docs: DataFrame, similarity: Similarity, width: int, buckets: int) -> DataFrame:
+    """Blocks ``bucket, refs, tokens, sizes, groups`` of the shingles of the sets, from ``id, group, many, text``.
+
+    A token is a shingle's bucket and 32 more bits of its hash. A set's ``ref`` is its document's id, or a hash
+    of id and set if the document has ``many`` sets. Blocks without tokens have a set's number of tokens, the
+    number of them that it needs to show (its prefix) and its group.
     """
-    blocks = StructType([StructField("bucket", IntegerType()), StructField("ids", BinaryType()), StructField("keys", BinaryType())])
-    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
+    schema = _schema("bucket", "refs", "tokens", "sizes", "groups")
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, keys_of = with_sets(shingle_sets(width), "text"), PartKeys(similarity)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = shingle_sets(width)
         for batch in batches:
-            for part in slices(batch):
-                keys = [keys_of(s) for s in sets(part)]
-                ids = np.repeat(part.column(0).to_numpy(), [len(k) for k in keys])
-                if not len(ids):
+            for part in (p.slice(k, 1 << SET_BITS) for p in slices(batch, 8 << 20) for k in range(0, p.num_rows, 1 << SET_BITS)):
+                # Bucket, token and place of the set fill one number of 64 bits, so that one sort orders them.
+                sets = make(texts_of(part.column("text")))
+                refs = part.column("id").to_numpy().copy()
+                for k in np.flatnonzero(part.column("many").to_numpy(zero_copy_only=False)):
+                    own = hashlib.blake2b(refs[k].tobytes() + sets[k].tobytes(), digest_size=8).digest()
+                    refs[k] = np.frombuffer(own, np.int64)[0]
+                sizes = np.array([len(s) for s in sets])
+                sizes[[not similarity.has_others(n) for n in sizes.tolist()]] = 0
+                if not sizes.any():
                     continue
-                keys, ids, edges = _pairs_with_least(np.concatenate(keys), ids)
-                bucket = (((keys >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)).astype(np.int32)
-                cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                rows = []
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    order = np.argsort(ids[a:b], kind="stable")
-                    low = (keys[a:b][order] & np.uint64((1 << 40) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-                    rows.append((int(bucket[a]), ids[a:b][order].tobytes(), low.tobytes()))
-                for k in range(0, len(edges), 1 << 16):
-                    some = edges[k : k + (1 << 16)]
-                    rows.append((int(some[0, 0] % buckets), some.tobytes(), None))
-                yield pa.record_batch([pa.array(v, t) for v, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=blocks.names)
+                hashes = np.concatenate([s[:n] for s, n in zip(sets, sizes.tolist())])
+                keys = (_dealt(hashes, buckets).astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+                keys = np.sort((keys << np.uint64(SET_BITS)) | np.repeat(np.arange(len(sets), dtype=np.uint64), sizes))
+                keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+                owner = (keys & np.uint64((1 << SET_BITS) - 1)).astype(np.int64)
+                keys >>= np.uint64(SET_BITS)
+                bucket, tokens, of = (keys >> np.uint64(32)).astype(np.int32), keys.astype(np.uint32), refs[owner]
+                cuts = _cuts(bucket)
+                rows = [(int(bucket[a]), _planes(of[a:b]), _planes(tokens[a:b]), None, None) for a, b in zip(cuts[:-1], cuts[1:])]
+                used = np.flatnonzero(sizes)
+                shown = np.array([similarity.prefix(n) for n in sizes[used].tolist()])
+                numbers = np.stack([np.bincount(owner, minlength=len(sets))[used], shown], axis=1)
+                groups = part.column("group").to_numpy()[used]
+                rows.append((int(used[0] + bucket[0]) % buckets, _planes(refs[used]), None, _planes(numbers), _planes(groups)))
+                yield _rows_of(rows, schema)
+
+    return docs.mapInArrow(run, schema)
+
+
+def repeated_shingles(posted: DataFrame, homes: int) -> DataFrame:
+    """Blocks ``home, refs, keys, rarity, sizes, groups`` of the tokens that several sets have, for the sets' homes.
+
+    ``rarity`` is eight times the logarithm of the number of sets. Blocks about sets pass through.
+    """
+    schema = _schema("home", "refs", "keys", "rarity", "sizes", "groups")
+
+    def to_homes(refs: np.ndarray, *columns: np.ndarray | None) -> list[tuple]:
+        home = _dealt(mix(refs.view(np.uint64)), homes)
+        order = np.argsort(home, kind="stable")
+        cuts = _cuts(home[order])
+        some = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return [(int(home[k[0]]), _planes(refs[k]), *(None if c is None else _planes(c[k]) for c in columns)) for k in some]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, rows in _by_part(batches):
+            for refs, tokens, sizes, groups in rows:
+                if tokens is None:
+                    about = to_homes(_values([refs], np.int64), None, None, _values([sizes], np.int64).reshape(-1, 2), _values([groups], np.int64))
+                    yield _rows_of(about, schema)
+            refs, tokens = (_values([r[k] for r in rows if r[1] is not None], kind) for k, kind in ((0, np.int64), (1, np.uint32)))
+            order = np.sort((tokens.astype(np.uint64) << np.uint64(32)) | np.arange(len(tokens), dtype=np.uint64))
+            cuts = _cuts(order >> np.uint64(32))
+            order = (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            order = order[np.repeat(np.diff(cuts) > 1, np.diff(cuts))]
+            # Rows that stand twice in the table are one set.
+            order = order[np.lexsort((refs[order], tokens[order]))]
+            refs, tokens = refs[order], tokens[order]
+            if len(refs):
+                new = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (refs[1:] != refs[:-1])])
+                refs, tokens = refs[new], tokens[new]
+            times = np.diff(_cuts(tokens))
+            rarity = np.repeat(np.minimum(8 * np.log2(np.maximum(times, 1)), 255).astype(np.uint8), times)
+            keys = (np.uint64(bucket) << np.uint64(32)) | tokens.astype(np.uint64)
+            several = np.repeat(times > 1, times)
+            if several.any():
+                yield _rows_of(to_homes(refs[several], keys[several], rarity[several], None, None), schema)
+
+    return _regrouped(posted, run, schema)
+
+
+def shown_shingles(repeated: DataFrame, parts: int) -> DataFrame:
+    """Blocks ``part, groups, keys`` of the tokens among each set's rarest that other sets have too."""
+    schema = _schema("part", "groups", "keys")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_part(batches):
+            about, rows = [r for r in rows if r[1] is None], [r for r in rows if r[1] is not None]
+            known, place = np.unique(_values([r[0] for r in about], np.int64), return_index=True)
+            sizes = _values([r[3] for r in about], np.int64).reshape(-1, 2)[place]
+            groups = _values([r[4] for r in about], np.int64)[place]
+            refs, keys, rarity = (_values([r[k] for r in rows], kind) for k, kind in ((0, np.int64), (1, np.uint64), (2, np.uint8)))
+            owner = np.searchsorted(known, refs)
+            # Tokens of one set only stand first and meet nothing, so most sets show none.
+            several = np.bincount(owner, minlength=len(known))
+            shown = sizes[:, 1] - (sizes[:, 0] - several)
+            some = shown[owner] > 0
+            owner, keys, rarity = owner[some], keys[some], rarity[some]
+            order = np.lexsort((keys, rarity, owner))
+            owner, keys = owner[order], keys[order]
+            first = _cuts(owner)
+            number = np.arange(len(owner)) - np.repeat(first[:-1], np.diff(first))
+            kept = number < shown[owner]
+            owner, keys = owner[kept], keys[kept]
+            part = _dealt(mix(keys), parts)
+            order = np.argsort(part, kind="stable")
+            cuts = _cuts(part[order])
+            blocks = [order[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+            if blocks:
+                yield _rows_of([(int(part[k[0]]), _planes(groups[owner[k]]), _planes(keys[k])) for k in blocks], schema)
+
+    return _regrouped(repeated, run, schema)
+
+
+def candidate_edges(docs: DataFrame, similarity: Similarity, width: int, buckets: int) -> DataFrame:
+    """``a, b``: a forest, for each part of the tokens, of the groups whose sets show a token in common, from ``id, group, many, text``.
+
+    All tokens go to their buckets once, where it is counted how many sets have each. Those of several sets go
+    to the sets' homes, which put them in order, and what a set shows of them meets. The order is the same for all
+    sets, so two similar ones show a token in common; a chance match of tokens only adds a candidate.
+    """
+    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ids, keys = None, [], []
+        for _, rows in _by_part(batches):
+            groups, keys = (_values([r[k] for r in rows], kind) for k, kind in ((0, np.int64), (1, np.uint64)))
+            yield _edge_batch(_pairs_with_least(keys, groups)[2])
 
-        def found() -> Iterator[pa.RecordBatch]:
-            if ids:
-                low = np.zeros((sum(map(len, keys)), 8), dtype=np.uint8)
-                low[:, :5] = np.concatenate(keys)
-                yield _edge_batch(_pairs_with_least(low.view("<u8").ravel(), np.concatenate(ids))[2])
+    homes = 1 + buckets // 4
+    shown = shown_shingles(repeated_shingles(post_shingles(docs, similarity, width, buckets), homes), homes)
+    return _regrouped(shown, meet, schema)
 
-        for batch in batches:
-            for bucket, some_ids, some_keys in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                if some_keys is None:
-                    yield _edge_batch(np.frombuffer(some_ids, dtype=np.int64).reshape(-1, 2))
-                    continue
-                if bucket != current:
-                    yield from found()
-                    current, ids, keys = bucket, [], []
-                ids.append(np.frombuffer(some_ids, dtype=np.int64))
-                keys.append(np.frombuffer(some_keys, dtype=np.uint8).reshape(-1, 5))
-        yield from found()
 
-    posted = docs.mapInArrow(post, blocks)
-    return posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, schema)
+def _schema(part: str, *blobs: str) -> StructType:
+    return StructType([StructField(part, IntegerType()), *(StructField(b, BinaryType()) for b in blobs)])
 
 
 def sample_edges(classes: DataFrame) -> DataFrame:
@@ -345,9 +498,9 @@ def link_documents(
     without words is linked with nothing. Texts are lower-cased in ASCII; words are runs without ASCII
     white space; a text of fewer words than ``width`` is one shingle. Other columns are not read.
 
-    The text is scanned for the set keys, shuffled to the distinct sets' ids for the part keys, and
-    once more for the sets of the documents whose bitmaps have a similar one. Part keys move as packed blocks in buckets whose number follows the
-    number of documents. Clusters beyond a tile's bounds are cut into a grid of tiles within size bands.
+    The text is scanned for the set keys, shuffled to the distinct sets' ids for their shingles, and
+    once more for the sets of the documents whose bitmaps have a similar one. Shingles move as packed blocks in buckets whose number follows
+    theirs. Clusters beyond a tile's bounds are cut into a grid of tiles within size bands.
     """
     docs = df.select(F.col(row_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     keyed = stage(set_keys(docs, "text", width).drop("text"), "sets")
@@ -355,13 +508,13 @@ def link_documents(
     classes = known.groupBy("set_key").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("samples").alias("samples"))
     classes = stage(classes, "classes")
     postings = classes.agg(F.sum("n")).head()[0] or 0
-    share = 2 * (similarity.den - similarity.num) / (similarity.den + similarity.num)
-    buckets = 1 + int(2.2 * share * postings / POSTINGS_PER_BUCKET)
+    buckets = min(1 + postings // POSTINGS_PER_BUCKET, 1 << (32 - SET_BITS))
     # Ids grow with the documents: they are joined by merging at every size, not sent to all tasks.
     groups = components(sample_edges(classes))
-    own = classes.select("id").distinct().join(groups.hint("merge"), "id", "left")
-    own = own.select("id", F.coalesce("component", "id").alias("group")).hint("merge")
-    spoken = docs.join(own, "id").select(F.col("group").alias("id"), "text")
+    many = known.groupBy("id").agg((F.min("set_key") != F.max("set_key")).alias("many"))
+    own = classes.select("id").distinct().join(many.hint("merge"), "id").join(groups.hint("merge"), "id", "left")
+    own = own.select("id", F.coalesce("component", "id").alias("group"), "many").hint("merge")
+    spoken = docs.join(own, "id").select("id", "group", "many", "text")
     edges = candidate_edges(spoken, similarity, width, buckets)
     near = components(edges.unionByName(groups.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
